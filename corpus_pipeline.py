@@ -1,12 +1,51 @@
-"""The corpus pipeline: quality rules, near duplicates, benchmark decontamination, secrets, packing."""
+"""The corpus pipeline: quality rules, near duplicates, benchmark decontamination, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns
+of documents. Stage 1 drops rejected documents, stage 2 leaves one document of each group of near duplicates (shingles
+of five words, similarity 0.8 or more), stage 3 drops documents that contain benchmark items, stage 4 replaces secrets
+by a mark and keeps every document, stage 5 returns each document's place in a batch.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from ridgeline.llm import decontam, ngram_join, packing, quality, secrets
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.deduplicated(docs, k=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redacted(docs)
+
+
+def length_bucket_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packing(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("length_bucket_packing", length_bucket_packing),
+]
+
+#: SQL has no compression, tokenizer or prefix join; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

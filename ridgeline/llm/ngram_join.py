@@ -31,12 +31,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ridgeline.llm.common import cut, mix, pruned, shingles, slices, utf8, words
 
-#: Counters of the frequency sketch (4 bytes each, 16 MB broadcast, whatever the input).
-SLOTS = 1 << 22
+#: Counters of the frequency sketch: one byte each (an eighth of a power of two) once summed, 16 MB broadcast, whatever
+#: the input.
+SLOTS = 1 << 24
 #: Counters in one row of the sketch.
 CHUNK = 1 << 14
 #: Classes in a block of a large tile.
@@ -84,9 +84,7 @@ def _stats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
             digests += d
             ns.append(s)
             slot = (value & _U(SLOTS - 1)).astype(np.int64)
-            counts += np.bincount(slot, minlength=SLOTS).astype(np.uint32) if len(slot) > SLOTS // 16 else 0
-            if len(slot) <= SLOTS // 16:
-                np.add.at(counts, slot, 1)
+            np.add.at(counts, slot, 1)
         n = batch.num_rows
         if n:
             ns = np.concatenate(ns).astype(np.int64)
@@ -100,15 +98,15 @@ def _stats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the chunks of the sketch; holds the chunks of this task only."""
+    """Sums the chunks of the sketch, and rounds to eighths of powers of two; holds the chunks of this task only."""
     large, total = zstandard.ZstdDecompressor(), {}
     for batch in batches:
         for c, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             part = np.frombuffer(large.decompress(payload), np.uint32).astype(np.uint64)
             total[c] = total[c] + part if c in total else part
     if total:
-        top = _U(2**32 - 1)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(x, top).astype(np.uint32).tobytes() for x in total.values()], pa.binary())], names=["chunk", "payload"])
+        levels = [np.minimum(np.round(8 * np.log2(1 + x.astype(np.float64))), 255).astype(np.uint8).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], names=["chunk", "payload"])
 
 
 def least_overlap(n: np.ndarray | int, percent: int):
@@ -140,14 +138,15 @@ _PREFIX = "cls binary, n long, least_matches int, base int, tokens array<long>"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -> Iterator[pa.RecordBatch]:
-    counts = sketch.value
-    noise = int(np.mean(counts))
+    levels = sketch.value
+    about = np.exp2(np.arange(256) / 8) - 1
+    noise = float(np.bincount(levels, minlength=256) @ about) / SLOTS
     for batch in batches:
         for i, j, value, row in _sets(batch, k):
             digests, sizes = _digests(value, row, j - i)
-            seen = counts[(value & _U(SLOTS - 1)).astype(np.int64)]
+            seen = levels[(value & _U(SLOTS - 1)).astype(np.int64)]
             order = np.lexsort((value, seen, row))
-            value, seen = value[order], np.maximum(seen[order].astype(np.int64) - noise - 1, 0)
+            value, seen = value[order], np.maximum(about[seen[order]] - noise - 1, 0)
             ends = np.cumsum(sizes)
             out = []
             for r in np.flatnonzero(sizes):
@@ -344,27 +343,29 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text
     base = pruned(docs, text, doc_id)
     stats = cut(base.mapInArrow(lambda it: _stats(it, k), _STATS))
     chunks = stats.where("chunk is not null").select("chunk", "payload").repartition("chunk").mapInArrow(_summed, "chunk int, payload binary")
-    counts = np.zeros(SLOTS, np.uint32)
+    levels = np.zeros(SLOTS, np.uint8)
     for r in chunks.toLocalIterator():
-        counts[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.payload, np.uint32)
-    sketch = spark.sparkContext.broadcast(counts)
+        levels[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.payload, np.uint8)
+    sketch = spark.sparkContext.broadcast(levels)
 
     rows = stats.where("chunk is null").select("doc_id", "n", "cls")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     prefixes = base.mapInArrow(lambda it: _prefixes(it, k, percent, sketch), _PREFIX)
     prefixes = cut(prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies")).select("cls", "p.*", "copies"))
 
-    held = prefixes.select("cls", F.explode(F.slice("tokens", F.lit(1), F.col("base"))).alias("token"))
-    tiles = held.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")).alias("sig")).where("size > 1")
-    member = held.join(tiles, "token").groupBy("sig", "cls").agg(F.max("size").alias("size"))
-    member = cut(member)
-    own = member.groupBy("cls").agg(F.collect_set("sig").alias("sigs"))  # at most as many as the prefix has tokens
+    held = prefixes.select("cls", "base", F.posexplode("tokens").alias("at", "token")).select("cls", "token", (F.col("at") < F.col("base")).alias("short"))
+    # a token that one class alone has in its prefix links nothing, and is carried no further
+    tiles = held.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.count_if("short").alias("size"), F.bit_xor(F.when(F.col("short"), F.xxhash64("cls")).otherwise(F.lit(0).cast("long"))).alias("sig"))
+    tiles = tiles.where("`all` > 1").select("token", "size", F.xxhash64("sig", "size").alias("sig"))
+    shared = held.join(tiles, "token")
+    tile = F.when(F.col("short") & (F.col("size") > 1), F.struct("sig", "size"))
+    carried = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"), F.collect_set(tile).alias("tiles"))  # both at most as long as the prefix
+    carried = cut(carried.where(F.size("tiles") > 0).join(prefixes.select("cls", "n", "least_matches", "copies"), "cls"))
+    member = carried.select("*", F.col("tiles.sig").alias("sigs"), F.explode("tiles").alias("tile")).select("*", "tile.*")
     parts = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
     block = F.pmod(F.xxhash64("cls", F.lit(7)), parts).cast("int")
-    placed = member.select("sig", "cls", block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"))
-    placed = placed.select("sig", "cls", "block", F.least("block", "j").alias("lo"), F.greatest("block", "j").alias("hi"))
-    carried = prefixes.join(own, "cls")
-    dealt = placed.join(carried, "cls").select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "least_matches", "tokens")
+    dealt = member.select("sig", "cls", block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"), "n", "copies", "sigs", "least_matches", "tokens")
+    dealt = dealt.withColumn("lo", F.least("block", "j")).withColumn("hi", F.greatest("block", "j")).select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "least_matches", "tokens")
     kept = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _filtered(it, percent), _KEPT)
     kept = cut(kept)
 
@@ -395,5 +396,3 @@ def deduplicated(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     seen = left.where("doc_id is not null").dropDuplicates(["doc_id"])
     return seen.unionByName(left.where("doc_id is null"))
 
-
-SCHEMA = T.StructType().add("doc_id", "long").add("n_shingles", "long").add("component_id", "long").add("n_links", "long")
