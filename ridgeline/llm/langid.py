@@ -14,10 +14,9 @@ without any labelled row every text is `und`. Repeated rows get equal rows; extr
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from heapq import nsmallest
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,49 +27,77 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Characters of a text that are counted at a time.
-BLOCK = 1 << 16
+BLOCK = 1 << 20
+_SPACE = ord(" ")
 
 
-def grams(text: str, longest: int) -> Counter:
-    """Counts of the 1..longest-grams of the lower-cased words, each padded by a space on both sides."""
+def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of each one's counts (1 each by default)."""
+    if counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts, first) if len(first) else counts
+
+
+def grams(text: str, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the 1..longest-grams (at most 3) of the lower-cased words, each padded by a space on both sides.
+
+    A key holds 21 bits for each code point, so that its order is by length, then by code points.
+    """
     clean = f" {_NOT_LETTERS.sub(' ', text.lower()).strip()} "
-    found: Counter = Counter()
-    for at in range(0, len(clean), BLOCK):
-        part = clean[at : at + BLOCK + longest - 1]
-        for n in range(1, longest + 1):
-            ends = part[: min(len(part), BLOCK + n - 1)]
-            found.update([ends[i : i + n] for i in range(len(ends) - n + 1)] if n > 1 else ends)
-    found.pop(" ", None)
-    return found
-
-
-def ranked(found: Counter, size: int) -> list[str]:
-    """The `size` most frequent n-grams; ties in the order of the n-gram."""
-    if len(found) > 4 * size:
-        least = sorted(found.values(), reverse=True)[size - 1]
-        return [g for g, _ in sorted(((g, c) for g, c in found.items() if c >= least), key=lambda x: (-x[1], x[0]))[:size]]
-    return nsmallest(size, found, key=lambda g: (-found[g], g))
-
-
-def distances(own: list[str], profiles: dict[str, dict[str, int]], size: int) -> dict[str, int]:
-    out = {}
-    for lang, ranks in profiles.items():
-        get = ranks.get
-        out[lang] = sum(size if (r := get(g)) is None else abs(r - i) for i, g in enumerate(own))
-    return out
-
-
-def predict(text: str | None, profiles: dict[str, dict[str, int]], size: int, longest: int) -> tuple[str, float]:
-    """Language and score: how much nearer the best profile is than the next one, on top of how near it is at all."""
-    if not text or not profiles or not _LETTER.search(text):
+    codes = np.frombuffer(clean.encode("utf-32-le", "surrogatepass"), np.uint32)
+    parts = []
+    for at in range(0, len(codes), BLOCK):
+        part = codes[at : at + BLOCK + longest - 1].astype(np.int64)
+        own = min(BLOCK, len(codes) - at)
+        key, keys = part, [part[:own]]
+        for n in range(2, longest + 1):
+            key = (key[:-1] << 21) | part[n - 1 :]
+            keys.append(key[:own])
+        parts.append(summed(np.concatenate(keys)))
+    keys, counts = parts[0] if len(parts) == 1 else summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+    real = keys != _SPACE
+    return keys[real], counts[real]
+
+
+def ranked(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """The `size` most frequent n-grams; ties in the order of the key."""
+    return keys[np.argsort(-counts, kind="stable")[:size]]
+
+
+class Profiles:
+    """Ranks of n-grams in each language: languages in order, all n-grams in order, a rank (or `size`) for each pair."""
+
+    def __init__(self, lists: dict[str, np.ndarray], size: int):
+        self.langs, self.size = sorted(lists), size
+        self.keys = np.unique(np.concatenate([lists[x] for x in self.langs])) if lists else np.zeros(0, np.int64)
+        self.ranks = np.full((len(self.keys) + 1, len(self.langs)), -1, np.int32)
+        for i, lang in enumerate(self.langs):
+            self.ranks[np.searchsorted(self.keys, lists[lang]), i] = np.arange(len(lists[lang]))
+
+    def distances(self, own: np.ndarray) -> np.ndarray:
+        """Out-of-place distance of a ranked list to each language."""
+        at = np.searchsorted(self.keys, own)
+        at[(at == len(self.keys)) | (self.keys[np.minimum(at, len(self.keys) - 1)] != own)] = len(self.keys)
+        ranks = self.ranks[at]
+        return np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(own), dtype=np.int32)[:, None])).sum(0)
+
+
+def predict(text: str | None, profiles: Profiles, longest: int) -> tuple[str, float]:
+    """Language and score: how far the second nearest profile lies behind the nearest, from 0.5 on."""
+    if not text or not profiles.langs or not _LETTER.search(text):
         return UNKNOWN, 0.0
-    own = ranked(grams(text, longest), size)
-    far = sorted((d, lang) for lang, d in distances(own, profiles, size).items())
-    best, lang = far[0]
-    if len(far) == 1:
-        return lang, 1.0 - best / (size * len(own))
-    rest = far[1][0]
-    return lang, 0.5 + 0.5 * (rest - best) / rest if rest else 0.5
+    own = ranked(*grams(text, longest), profiles.size)
+    far = profiles.distances(own)
+    order = np.argsort(far, kind="stable")
+    best = float(far[order[0]])
+    if len(order) == 1:
+        return profiles.langs[0], 1.0 - best / (profiles.size * len(own))
+    rest = float(far[order[1]])
+    return profiles.langs[order[0]], 0.5 + 0.5 * (rest - best) / rest if rest else 0.5
 
 
 def sample(rows: DataFrame, per_lang: int, max_langs: int) -> DataFrame:
@@ -79,37 +106,35 @@ def sample(rows: DataFrame, per_lang: int, max_langs: int) -> DataFrame:
     The hash is cut into cells that are counted (map-side combined); each language takes whole cells until it has
     enough, so that no language's rows are sorted in one place.
     """
-    cells = 1 << 12
     cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 52).cast("int")
     sums = rows.groupBy("lang", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("lang").orderBy("cell")
     sums = sums.withColumn("before", F.sum("n").over(upto) - F.col("n")).withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
     chosen = sums.where(F.col("before") < per_lang).groupBy("lang").agg(F.max("cell").alias("last"), F.max("total").alias("total"))
     chosen = chosen.orderBy(F.desc("total"), "lang").limit(max_langs).select("lang", "last")
-    picked = rows.join(F.broadcast(chosen), "lang").where(cell <= F.col("last"))
-    del cells
-    return picked.select("lang", "text").limit(2 * per_lang * max_langs)
+    return rows.join(F.broadcast(chosen), "lang").where(cell <= F.col("last")).select("lang", "text")
 
 
 def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
-    total: dict[str, Counter] = {}
     for batch in batches:
+        own: dict[str, list] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            total.setdefault(lang, Counter()).update(grams(text.as_py() or "", longest))
-    for lang, found in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "gram", "n"])
+            own.setdefault(lang, []).append(grams(text.as_py() or "", longest))
+        for lang, found in own.items():
+            keys, counts = summed(np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
 
 
-def learn(rows: DataFrame, size: int = 400, longest: int = 3, per_lang: int = 1000, max_langs: int = 256) -> dict[str, dict[str, int]]:
-    """Profiles (n-gram to rank) from rows (doc_id, lang, text). The driver gets size * max_langs n-grams at most."""
+def learn(rows: DataFrame, size: int = 400, longest: int = 3, per_lang: int = 1000, max_langs: int = 256) -> Profiles:
+    """Profiles from rows (doc_id, lang, text). The driver gets size * max_langs n-grams at most."""
     picked = sample(rows.where("lang is not null and text is not null"), per_lang, max_langs)
-    sums = picked.mapInArrow(lambda it: _counted(it, longest), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = picked.mapInArrow(lambda it: _counted(it, longest), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = sums.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size)
-    profiles: dict[str, dict[str, int]] = {}
-    for r in top.collect():
-        profiles.setdefault(r.lang, {})[r.gram] = r.rank
-    return dict(sorted(profiles.items()))
+    lists: dict[str, list] = {}
+    for r in top.orderBy("lang", "rank").collect():
+        lists.setdefault(r.lang, []).append(r.gram)
+    return Profiles({k: np.array(v, np.int64) for k, v in lists.items()}, size)
 
 
 _SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -124,7 +149,7 @@ def language_id(docs: DataFrame, held_out: Column | None = None, size: int = 400
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = profiles.value
         for batch in batches:
-            got = [predict(t.as_py(), known, size, longest) for t in batch.column(2)]
+            got = [predict(t.as_py(), known, longest) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(scored, _SCHEMA)

@@ -105,7 +105,7 @@ def packed(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> Dat
     spark = rows.sparkSession
     rows = cut(rows.select("doc_id", "n_tokens", "text_hash", (F.col("n_tokens") + 1).alias("length")))
     octave = F.greatest(F.ceil(F.log2(F.col("length") / F.lit(float(EXACT)))), F.lit(1)).cast("long")
-    low = F.shiftleft(F.lit(EXACT).cast("long"), (octave - 1).cast("int")) if False else F.lit(EXACT) * F.pow(F.lit(2.0), octave - 1)
+    low = F.lit(EXACT) * F.pow(F.lit(2.0), octave - 1)
     wide = F.lit(EXACT) + (octave - 1) * STEPS + F.ceil((F.col("length") - low) * STEPS / low)
     binned = rows.withColumn("bin", F.when(F.col("length") <= EXACT, F.col("length")).otherwise(wide).cast("long"))
     found = sorted(binned.groupBy("bin").agg(F.max("length").alias("top"), F.count(F.lit(1)).alias("n"), F.sum("length").alias("total")).collect(), key=lambda r: r.top)

@@ -6,8 +6,8 @@ mention can count for more than either alone. The pair sum costs one pass over t
 half of (sum of vectors)^2 minus the sum of squared vectors.
 
 The machine is fitted on the driver, on at most `sample` labelled rows (those with the least hash of their id), by
-mini-batch AdaGrad with weight decay. Terms that fewer than `least` sampled texts have keep zero weights. Scoring
-reads every text whole.
+mini-batch AdaGrad with weight decay. Terms whose presence does not go with the label (a G-test statistic below
+`least`) keep zero weights, so that rare words of few texts are not learned by heart. Scoring reads every text whole.
 
 Defined results: null and empty texts get the bias's score; several labels of one id count as their maximum; without
 labels of both kinds every score is the share of label 1 (0 without labels). Extra columns are ignored.
@@ -54,7 +54,24 @@ class Machine:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(ids), -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int = 8, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4, least: int = 3, batch: int = 256, seed: int = 1) -> Machine:
+def association(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """G-test statistic of each term's presence against the label."""
+    labels = np.asarray(labels, float)
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    ids = np.concatenate(rows)
+    a = np.bincount(ids, np.repeat(labels, lengths), size)
+    b = np.bincount(ids, minlength=size) - a
+    ones, zeros, n = labels.sum(), len(rows) - labels.sum(), len(rows)
+    total = np.zeros(size)
+    for seen, side in ((a, ones), (b, zeros), (ones - a, ones), (zeros - b, zeros)):
+        has = (a + b) if seen is a or seen is b else n - (a + b)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            part = seen * np.log(seen * n / (has * side))
+        total += np.where(seen > 0, part, 0)
+    return 2 * total
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int = 8, epochs: int = 15, rate: float = 0.15, decay: float = 1e-4, least: float = 12.0, batch: int = 256, seed: int = 1) -> Machine:
     """Fits a machine to rows of term ids and labels 0/1."""
     size = 1 << bits
     weights, vectors = np.zeros(size, np.float32), np.zeros((size, rank), np.float32)
@@ -62,8 +79,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int =
     bias = float(np.log(share / (1 - share))) if 0 < share < 1 else (30.0 if share == 1 else -30.0)
     if not 0 < share < 1:
         return Machine(bias, weights, vectors)
-    counts = np.bincount(np.concatenate(rows), minlength=size)
-    used = counts >= least
+    used = association(rows, labels, size) >= least
     rows = [r[used[r]] for r in rows]
     rng = np.random.default_rng(seed)
     vectors[used] = rng.normal(0, 0.02, (int(used.sum()), rank)).astype(np.float32)
@@ -102,7 +118,6 @@ def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, bits: int
     """Fits on at most `sample` labelled rows of (doc_id, text)."""
     given = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("y")).where("doc_id is not null and y is not null")
     given = given.groupBy("doc_id").agg(F.max("y").alias("y"))
-    given = given.join(rows.select("doc_id").distinct(), "doc_id", "left_semi") if False else given
     picked = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,8 +125,8 @@ def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, bits: int
             ids = [terms(t.as_py(), bits).astype(np.int32).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1)], names=["ids", "y"])
 
-    found = rows.join(F.broadcast(picked), "doc_id").select("text", "y").limit(sample)
-    got = found.mapInArrow(hashed, "ids binary, y int").toArrow()
+    found = rows.join(F.broadcast(picked), "doc_id").select("text", "y")
+    got = found.mapInArrow(hashed, "ids binary, y int").limit(2 * sample).toArrow()  # an id may have several rows
     ids = [np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in got.column("ids")]
     y = np.asarray(got.column("y"), np.float64) if len(ids) else np.zeros(0)
     order = sorted(range(len(ids)), key=lambda i: (ids[i].tobytes(), y[i]))  # the order of arrival doesn't count
