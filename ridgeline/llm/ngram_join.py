@@ -12,7 +12,7 @@ over all documents:
 3. Classes meet in tiles: the classes of one token of the shortest (l = 1) prefix. Tokens with the same classes share a
    tile, and a pair belongs to its smallest common tile only. Tiles of more than `BLOCK` classes are split into pairs of
    blocks, so that no task holds an unbounded group. A tile counts common prefix tokens, and keeps classes that have a
-   pair with enough of them.
+   pair with enough of them (`needed_matches`).
 4. Kept classes get their whole sets and tiles verify exactly. A tile returns a spanning forest of its links, not its
    pairs, and the number of links of each class.
 5. Links become components by minimum labels with pointer jumping, checkpointed in the shared folder.
@@ -134,7 +134,7 @@ def choose_matches(frequencies: np.ndarray, n: int, base: int, least: int) -> in
     return best
 
 
-_PREFIX = "cls binary, n long, least_matches int, base int, tokens array<long>"
+_PREFIX = "cls binary, n long, least_matches int, base int, edge_level int, edge long, tokens array<long>"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -> Iterator[pa.RecordBatch]:
@@ -146,7 +146,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -
             digests, sizes = _digests(value, row, j - i)
             seen = levels[(value & _U(SLOTS - 1)).astype(np.int64)]
             order = np.lexsort((value, seen, row))
-            value, seen = value[order], np.maximum(about[seen[order]] - noise - 1, 0)
+            value, level = value[order], seen[order]
+            seen = np.maximum(about[level] - noise - 1, 0)
             ends = np.cumsum(sizes)
             out = []
             for r in np.flatnonzero(sizes):
@@ -155,10 +156,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -
                 least = int(least_overlap(n, percent))
                 base = n - least + 1
                 m = choose_matches(seen[start : start + n], n, base, least)
-                out.append((digests[r], n, m, base, value[start : start + base - 1 + m].view(np.int64)))
+                end = start + base - 1 + m
+                out.append((digests[r], n, m, base, int(level[end - 1]), int(value[end - 1].view(np.int64)), value[start:end].view(np.int64)))
             if out:
-                cls, n, m, base, tokens = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(m, pa.int32()), pa.array(base, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))], names=["cls", "n", "least_matches", "base", "tokens"])
+                names = ["cls", "n", "least_matches", "base", "edge_level", "edge", "tokens"]
+                kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[dict[str, list]]:
@@ -235,6 +238,27 @@ def _sized(n: np.ndarray, percent: int) -> np.ndarray:
     return 100 * small >= percent * large
 
 
+def needed_matches(run: dict[str, list], percent: int) -> np.ndarray:
+    """How many prefix tokens each pair of a tile must share.
+
+    min(l, l') by the choice of prefixes; and where r's prefix ends no later than s's in the common order, all tokens
+    that r's prefix shares with s lie in s's prefix too, so that the intersection is at most the shared prefix tokens
+    and the n - p tokens after r's prefix.
+    """
+    n, least, base = (np.asarray(run[x]) for x in ("n", "least_matches", "base"))
+    tokens = np.asarray(run["edge"], np.int64).view(np.uint64)
+    order = np.lexsort((tokens, run["edge_level"]))
+    new = np.append(False, (np.diff(np.asarray(run["edge_level"])[order]) != 0) | (tokens[order][1:] != tokens[order][:-1]))
+    rank = np.empty(len(n), np.int64)
+    rank[order] = np.cumsum(new)
+    both = np.add.outer(n, n)
+    overlap = -(-percent * both // (100 + percent))
+    after = n - (base - 1 + least)
+    here = np.less_equal.outer(rank, rank)
+    need = np.where(here, overlap - after[:, None], 0)
+    return np.maximum(np.maximum(need, need.T), np.minimum.outer(least, least))
+
+
 def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of each tile, the classes that have a pair with enough common prefix tokens."""
     names = ["sig", "lo", "hi", "block", "cls", "n", "copies", "sigs"]
@@ -250,11 +274,10 @@ def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
     for run in _runs(batches, ("sig", "lo", "hi")):
         if len(run["cls"]) < 2:
             continue
-        n, least = np.asarray(run["n"]), np.asarray(run["least_matches"])
         pair = _owned(run)
-        pair &= _sized(n, percent)
+        pair &= _sized(np.asarray(run["n"]), percent)
         if pair.any():
-            pair &= overlaps(run["tokens"]) >= np.minimum.outer(least, least)
+            pair &= overlaps(run["tokens"]) >= needed_matches(run, percent)
         for i in np.flatnonzero(pair.any(0) | pair.any(1)):
             for x in names:
                 out[x].append(run[x][i])
@@ -351,7 +374,7 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text
     rows = stats.where("chunk is null").select("doc_id", "n", "cls")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     prefixes = base.mapInArrow(lambda it: _prefixes(it, k, percent, sketch), _PREFIX)
-    prefixes = cut(prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies")).select("cls", "p.*", "copies"))
+    prefixes = cut(prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "edge_level", "edge", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies")).select("cls", "p.*", "copies"))
 
     held = prefixes.select("cls", "base", F.posexplode("tokens").alias("at", "token")).select("cls", "token", (F.col("at") < F.col("base")).alias("short"))
     # a token that one class alone has in its prefix links nothing, and is carried no further
@@ -360,12 +383,12 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text
     shared = held.join(tiles, "token")
     tile = F.when(F.col("short") & (F.col("size") > 1), F.struct("sig", "size"))
     carried = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"), F.collect_set(tile).alias("tiles"))  # both at most as long as the prefix
-    carried = cut(carried.where(F.size("tiles") > 0).join(prefixes.select("cls", "n", "least_matches", "copies"), "cls"))
+    carried = cut(carried.where(F.size("tiles") > 0).join(prefixes.select("cls", "n", "least_matches", "base", "edge_level", "edge", "copies"), "cls"))
     member = carried.select("*", F.col("tiles.sig").alias("sigs"), F.explode("tiles").alias("tile")).select("*", "tile.*")
     parts = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
     block = F.pmod(F.xxhash64("cls", F.lit(7)), parts).cast("int")
-    dealt = member.select("sig", "cls", block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"), "n", "copies", "sigs", "least_matches", "tokens")
-    dealt = dealt.withColumn("lo", F.least("block", "j")).withColumn("hi", F.greatest("block", "j")).select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "least_matches", "tokens")
+    dealt = member.select("sig", "cls", block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"), "n", "copies", "sigs", "least_matches", "base", "edge_level", "edge", "tokens")
+    dealt = dealt.withColumn("lo", F.least("block", "j")).withColumn("hi", F.greatest("block", "j")).select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "least_matches", "base", "edge_level", "edge", "tokens")
     kept = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _filtered(it, percent), _KEPT)
     kept = cut(kept)
 
