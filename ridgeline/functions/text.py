@@ -7,15 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the label key: entities, one-to-one folds and Greek names.
-ENTITIES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'")]
-FOLD_FROM = "₀₁₂₃₄₅₆₇₈₉⁰¹²³⁴⁵⁶⁷⁸⁹"
-FOLD_TO = "01234567890123456789"
-GREEK = [("α", "alpha"), ("β", "beta"), ("γ", "gamma"), ("δ", "delta"), ("ε", "epsilon"), ("θ", "theta"), ("λ", "lambda"), ("μ", "mu"), ("π", "pi"), ("σ", "sigma"), ("φ", "phi"), ("ω", "omega")]
-GENERIC = ["asprepared", "assynthesized", "experimental", "simulated", "observed", "calculated", "pristine", "sample", "product", "powder", "blank", "reference"]
-
-# Fixed values of the keyword score.
-KEYWORDS = [("powder x-ray", 2.0), ("diffraction", 1.5), ("crystal", 1.0), ("theta", 1.0), ("intensity", 0.5), ("spectrum", -0.5), ("isotherm", -1.5), ("microscopy", -1.0)]
+from ridgeline.functions import vocabulary as V
 
 
 def folded_replace(text: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -23,20 +15,27 @@ def folded_replace(text: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def label_key(text: Column) -> Column:
-    """Key under which spellings of one label meet: entities and tags off, digits and Greek folded, [a-z0-9@/] kept."""
-    plain = F.lower(F.regexp_replace(folded_replace(text, ENTITIES), r"(?i)</?[a-z][^>]{0,40}>", ""))
-    return F.regexp_replace(folded_replace(F.translate(plain, FOLD_FROM, FOLD_TO), GREEK), "[^a-z0-9@/]", "")
+    """Key under which spellings of one label meet: entities and tags off, scripts and Greek folded, [a-z0-9@/] kept."""
+    plain = F.lower(F.regexp_replace(folded_replace(text, V.ENTITIES), V.MARKUP, ""))
+    return F.coalesce(F.regexp_replace(folded_replace(F.translate(plain, *V.SCRIPTS), V.GREEK), "[^a-z0-9@/]", ""), F.lit(""))
+
+
+def key_patterns() -> dict[str, str]:
+    """Patterns over label keys, from the word lists."""
+    some = lambda words: "(" + "|".join(words) + ")"
+    framework = some(V.FRAMEWORKS)
+    return {
+        "generic": f"^{some(V.ADJECTIVES)}?{framework}{some(V.FORMS)}?$",
+        "serial": f"^({some(V.FRAMEWORKS)}|{some(V.COUNTERS)})([0-9]{{1,2}}[a-z]?|[a-z][0-9]{{1,2}}|[a-z]{{1,3}})$",
+        "paper_local": f"^[a-z]{{1,3}}[0-9]{{0,2}}{framework}([a-z]?[0-9]{{1,2}})?$",
+    }
 
 
 def specificity(key: Column) -> Column:
-    """generic, serial, paper_local or specific; the first rule that holds."""
-    return (
-        F.when(F.length(key) < 3, "paper_local")
-        .when(key.isin(GENERIC), "generic")
-        .when(key.rlike("^(sample|compound|entry|curve|run)?[0-9]{1,3}$"), "serial")
-        .when(key.rlike("^[a-z]{1,2}[0-9]{0,2}$"), "paper_local")
-        .otherwise("specific")
-    )
+    """paper_local (too short), generic, serial, paper_local or specific; the first rule that holds."""
+    patterns = key_patterns()
+    rules = F.when(F.coalesce(F.length(key), F.lit(0)) < V.SHORTEST_KEY, "paper_local").when(key.isin(V.GENERIC), "generic")
+    return reduce(lambda c, p: c.when(key.rlike(p[1]), p[0]), patterns.items(), rules).otherwise("specific")
 
 
 def published(text: Column) -> Column:
@@ -67,8 +66,8 @@ def slug(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
 
 
-def keyword_score(text: Column, keywords: list[tuple[str, float]]) -> Column:
-    """Sigmoid of the summed weights of the keywords present."""
+def keyword_score(text: Column, keywords: list[tuple[str, float]] = V.KEYWORDS + V.KEYWORDS_AGAINST) -> Column:
+    """Sigmoid of the summed weights of the keywords present, for and against."""
     low = F.lower(text)
     total = reduce(lambda a, b: a + b, [F.when(F.contains(low, F.lit(k)), w).otherwise(0.0) for k, w in keywords])
     return 1.0 / (1.0 + F.exp(-total))
@@ -79,31 +78,34 @@ def figure_label(text: Column) -> Column:
 
 
 def numeric_token(token: Column) -> Column:
-    """A scanned number with common misreadings repaired: letters for digits, comma for point, doubled signs and points."""
-    t = F.translate(F.trim(token), "OoIlSBb,–—−", "0011588.---")
-    t = F.regexp_replace(t, "[^0-9.-]", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"\.+", "."), "-+", "-")
-    t = F.regexp_replace(t, r"^(-?)\.", "${1}0.")
-    return F.regexp_replace(t, r"^([^.]*\.[^.]*)\..*$", "$1")
+    """A scanned number with common misreadings repaired: letters for digits, comma for point, doubled points and signs."""
+    t = F.regexp_replace(F.translate(F.trim(token), V.MISREAD[0] + V.MISREAD_GONE, V.MISREAD[1]), "[^0-9.-]", "")
+    dot = F.instr(t, ".")
+    t = F.when(F.regexp_count(t, F.lit("[.]")) > 1, F.concat(F.left(t, dot), F.replace(F.substr(t, dot + 1), F.lit("."), F.lit("")))).otherwise(t)
+    t = F.when(F.regexp_count(t, F.lit("-")) > 1, F.concat(F.lit("-"), F.replace(t, F.lit("-"), F.lit("")))).otherwise(t)
+    return F.regexp_replace(F.regexp_replace(t, r"^\.", "0."), r"^-\.", "-0.")
 
 
 def numeric_value(token: Column) -> Column:
     t = numeric_token(token)
-    return F.when(t.rlike(r"^-?[0-9]+(\.[0-9]*)?$"), t.try_cast("double"))
+    return F.when(t.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), t.try_cast("double"))
 
 
 def axis_label(text: Column) -> Column:
-    t = folded_replace(F.lower(F.trim(text)), [("θ", "theta"), ("°", " degree"), ("deg.", "degree")])
-    return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))
+    t = F.translate(folded_replace(F.lower(text), V.AXIS_WORDS), "-_", "  ")
+    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9(). ]+", " "), r"\s+", " "))
 
 
 def angle_axis(text: Column) -> Column:
-    """Whether an axis label or its ticks speak of a diffraction angle."""
+    """Whether an axis label or its ticks speak of a diffraction angle: by name, by ticks 5 or 10 apart, or by a degree with a 2."""
     t = axis_label(text)
-    numbers = F.transform(F.regexp_extract_all(t, F.lit(r"\b([0-9]{2})\b"), F.lit(1)), lambda x: x.cast("int"))
-    steps = F.zip_with(F.slice(numbers, F.lit(2), F.greatest(F.size(numbers) - 1, F.lit(0))), F.slice(numbers, F.lit(1), F.greatest(F.size(numbers) - 1, F.lit(0))), lambda b, a: b - a)
-    even = F.size(F.filter(steps, lambda d: d.isin(5, 10))) >= 2
-    return t.rlike(r"(2|two) ?theta|\b20 degree|bragg") | ((F.size(numbers) >= 3) & even) | (F.contains(t, F.lit("degree")) & F.contains(t, F.lit("2")))
+    numbers = F.transform(F.regexp_extract_all(t, F.lit(r"\b([0-9]{1,2})\b"), F.lit(1)), lambda x: x.cast("int"))
+    rest = F.greatest(F.size(numbers) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(numbers, F.lit(2), rest), F.slice(numbers, F.lit(1), rest), lambda b, a: b - a)
+    apart = lambda k: F.size(F.filter(steps, lambda d: d == k)) >= 2
+    named = t.rlike(r"two theta|\b2\s*theta\b|\b2\s*t[hx][a-z]{0,4}\b")
+    degree = t.rlike(r"\bdeg(ree)?\b") & t.rlike(r"\b2\b|\b2.{0,10}deg|\b2\s*0\b")
+    return (t != "") & (named | ((F.size(numbers) >= 3) & (apart(5) | apart(10))) | degree)
 
 
 def without_controls(text: Column) -> Column:
@@ -123,10 +125,12 @@ def usable_title(text: Column) -> Column:
     return F.length(t).between(20, 500) & (letters >= 10) & (words >= 4) & ~bad
 
 
-def divergence(a: Column, b: Column) -> Column:
+def divergence(local: Column, other: Column) -> Column:
     """How two titles differ: identical, whitespace, punctuation, local_mojibake or material."""
-    space = lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))
-    return F.when(a == b, "identical").when(space(a) == space(b), "whitespace").when(name_key(a) == name_key(b), "punctuation").when(F.contains(a, F.lit("�")) | a.rlike("Ã.|â€"), "local_mojibake").otherwise("material")
+    tight = lambda x: F.regexp_replace(x, r"\s+", "")
+    fold = lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}\p{N}]+", ""))
+    broken = lambda x: x.rlike("Ã.|â€|�")
+    return F.when(local == other, "identical").when(tight(local) == tight(other), "whitespace").when(fold(local) == fold(other), "punctuation").when(broken(local) & ~broken(other), "local_mojibake").otherwise("material")
 
 
 def authors(people: Column, most: int = 12) -> Column:
@@ -137,11 +141,11 @@ def authors(people: Column, most: int = 12) -> Column:
 
 
 def without_stamp(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?i)^\s*(retracted( article)?|withdrawn)\s*[:.-]\s*", "")
+    return F.regexp_replace(text, V.TITLE_STAMP, "")
 
 
 def is_notice(text: Column) -> Column:
-    return F.lower(text).rlike(r"^\s*(retraction|correction|erratum|corrigendum|expression of concern)\b")
+    return text.rlike(V.NOTICE_TITLE)
 
 
 def stacking(text: Column) -> Column:

@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Local (status, verification) pairs to admission classes.
-ADMISSION = {("A", "F"): "clean", ("N", "O"): "axis_verified", ("R", "F"): "shape_flagged"}
+from ridgeline.functions import vocabulary as V
 
 
 def lookup(value: Column, names: dict[str, str], default: str | None = None) -> Column:
@@ -17,9 +16,29 @@ def lookup(value: Column, names: dict[str, str], default: str | None = None) ->
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
-def admission(status: Column, verification: Column, table: dict[tuple[str, str], str] = ADMISSION) -> Column:
-    """Class of a pair by a generated chain of cases; null for pairs that the table lacks."""
-    return reduce(lambda c, p: c.when((status == p[0][0]) & (verification == p[0][1]), p[1]), table.items(), F.when(F.lit(False), F.lit("")))
+def admission(kind: Column, reason: Column, table=V.ADMISSION) -> Column:
+    """Published class of a (class, reason) pair by a generated chain of cases; null for pairs that the table lacks."""
+    empty = F.coalesce(F.trim(reason), F.lit("")) == ""
+    fits = lambda pair: (kind == pair[0]) & (empty if pair[1] is None else reason == pair[1])
+    return reduce(lambda c, p: c.when(fits(p[0]), p[1]), table, F.when(F.lit(False), F.lit("")))
+
+
+def verification(status: Column) -> Column:
+    return lookup(F.lower(F.trim(status)), dict(V.VERIFICATION), "axis_unverified")
+
+
+def quality(figure_status: Column, verified: Column) -> tuple[Column, Column]:
+    """('pending' or 'flagged', reasons)."""
+    why = reasons({"axis_arbitrated": verified == "axis_arbitrated", "series_incomplete": F.lower(F.trim(figure_status)) == "partial"})
+    return F.when(F.size(why) > 0, "flagged").otherwise("pending"), why
+
+
+def role(context: Column, label: Column, state: Column) -> Column:
+    """A known context role; else experimental by its state; else by marks in the label, in order; else unclassified."""
+    low = F.lower(F.trim(F.coalesce(label, F.lit(""))))
+    rules = F.when(context.isin(V.ROLES), context).when(F.lower(F.trim(state)).isin(V.EXPERIMENTAL_STATES), "experimental")
+    has = lambda marks: reduce(lambda a, b: a | b, [F.contains(low, F.lit(m)) for m in marks])
+    return reduce(lambda c, r: c.when(has(r[1]), r[0]), V.ROLE_MARKS, rules).otherwise("unclassified")
 
 
 def reasons(rules: dict[str, Column]) -> Column:
@@ -37,10 +56,13 @@ def hump_status(value: Column, computed: Column, covered: Column, detected: Colu
 
 
 def wavelength(assumed: Column, reported: Column, default: float = 1.5406) -> Column:
-    """struct<wavelength, source, anomaly> of a flag (1, 0, null) and a reported value."""
-    own = F.when((assumed == 1) | reported.isNull(), F.lit(default)).otherwise(reported)
-    source = F.when((assumed == 0) & reported.isNotNull(), "paper_reported").when(assumed.isNull() & reported.isNull(), "unknown").otherwise("assumed")
-    return F.struct(own.alias("wavelength"), source.alias("source"), ((assumed == 0) & reported.isNull()).alias("anomaly"))
+    """struct<wavelength, source, anomaly> of the flag that a default was used (1, 0, null) and a reported value.
+
+    A reported value counts only where the flag says that it was used; every disagreement is named.
+    """
+    used = F.coalesce((assumed == 0) & reported.isNotNull(), F.lit(False))
+    odd = F.when(used | (F.coalesce(assumed == 1, F.lit(False)) & reported.isNull()), F.lit(None)).when(assumed == 1, "stale_paper_wavelength").otherwise("unverifiable_wavelength")
+    return F.struct(F.when(used, reported).otherwise(F.lit(default)).alias("wavelength"), F.when(used, "paper_reported").otherwise("assumed_cu_ka").alias("source"), odd.alias("anomaly"))
 
 
 def bounded(value: Column, kind: str, low: float, high: float) -> Column:
@@ -53,10 +75,11 @@ def one_of(value: Column, names: list[str]) -> Column:
     return F.when(plain.isin(names), plain)
 
 
-def computed(state: Column, label: Column, extra: str = "") -> Column:
-    """Whether a curve is computed: a non-empty state decides alone, else marks in the label."""
-    marks = "simulat|calculat|comput|theor" + (f"|{extra}" if extra else "")
-    return F.when(state != "", state.rlike("^(simulated|calculated|computed|theoretical|refined|fitted)")).otherwise(F.lower(label).rlike(marks))
+def computed(state: Column, label: Column) -> Column:
+    """Whether a curve is model-derived: a non-empty state decides alone, else marks in the label and name."""
+    s, text = F.lower(F.trim(F.coalesce(state, F.lit("")))), F.lower(F.coalesce(label, F.lit("")))
+    has = lambda c, marks: reduce(lambda a, b: a | b, [F.contains(c, F.lit(m)) for m in marks])
+    return F.when(s != "", s.isin(V.COMPUTED_WHOLE) | has(s, V.COMPUTED_STATE)).otherwise(has(text, V.COMPUTED_LABEL))
 
 
 def plausible_fit(slope: Column, intercept: Column, x0: Column, x1: Column) -> Column:

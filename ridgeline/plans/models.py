@@ -1 +1,31 @@
+"""Corpus analytics and models."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ridgeline.operators import models
+from ridgeline.plans.registry import query, table
+
+
+@query()
+def a18_neighbour_enrichment(spark, sf_dir):
+    rows = models.principal(table(spark, sf_dir, "embeddings"), "embedding", 16)
+    pairs = models.top_neighbours(rows, F.col("vec_id") % 50 == 0)
+    return models.neighbour_enrichment(pairs, rows.select("vec_id", F.col("label").alias("family"), (F.col("vec_id") % 50).alias("paper")))
+
+
+@query()
+def r9_forest_baseline(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.expr("nullif(p_size, 7)").cast("double").alias("size"), F.col("p_retailprice").alias("price"), (F.col("p_retailprice") > 1200).cast("double").alias("dear"))
+    return models.forest_scores(rows, ["size", "price"], ["dear"], "p_brand", folds=2, trees=5)
+
+
+@query()
+def r10_principal_components(spark, sf_dir):
+    return models.principal(table(spark, sf_dir, "embeddings"), "embedding", 8).select("vec_id", F.round(F.abs(F.get("components", F.lit(0))), 6).alias("c0"))
+
+
+@query("SELECT max(n) / sum(n) AS majority, sum(n * n) / (sum(n) * sum(n)) AS permuted_expected FROM (SELECT p_type, CAST(count(*) AS DOUBLE) AS n FROM part GROUP BY p_type)")
+def r12_frequency_baseline(spark, sf_dir):
+    return models.frequency_baseline(table(spark, sf_dir, "part"), "p_type")

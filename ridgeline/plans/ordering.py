@@ -25,7 +25,7 @@ def l3_page_clamp(spark, sf_dir):
     return asked.crossJoin(F.broadcast(n)).select("asked", F.least(F.greatest(F.col("asked"), F.lit(1)), F.greatest(F.lit(1), F.ceil(F.col("n") / 50.0))).cast("long").alias("page"))
 
 
-@query("""WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id % 50 = 0), d AS (SELECT q, vec_id, round(sqrt(list_sum(list_transform(range(1, 65), i -> (CAST(e[i] AS DOUBLE) - CAST(embedding[i] AS DOUBLE)) ** 2))), 9) AS d FROM q, embeddings WHERE q <> vec_id)
+@query("""WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id % 50 = 0), d AS (SELECT q, vec_id, round(sqrt(list_sum(list_transform(range(1, 65), lambda i: (CAST(e[i] AS DOUBLE) - CAST(embedding[i] AS DOUBLE)) ** 2))), 9) AS d FROM q, embeddings WHERE q <> vec_id)
 SELECT q, vec_id, k FROM (SELECT q, vec_id, row_number() OVER (PARTITION BY q ORDER BY d, vec_id) AS k FROM d) WHERE k <= 10""")
 def l6_nearest_neighbours(spark, sf_dir):
     """Stated queries (ids divisible by 50) against all vectors; exact, with a running top ten a query."""

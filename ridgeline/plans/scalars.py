@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridgeline.functions import physics, text
+from ridgeline.functions import vocabulary as V
 from ridgeline.operators import mapping
 from ridgeline.plans.registry import query, table
 
@@ -61,30 +62,39 @@ def f9_facet_conjunction(spark, sf_dir):
     return facets.where(F.contains(F.lower("name"), F.lit("1")) & F.col("segment").isin("BUILDING", "AUTOMOBILE") & (F.col("n") >= 5) & F.array_contains("roles", "F")).select("c_custkey")
 
 
-_ADMISSION = "CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'clean' WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'axis_verified' WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'shape_flagged' END"
+_CLASSES = "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 15 THEN 'clean' WHEN l_quantity < 25 THEN 'axis_verified' WHEN l_quantity < 48 THEN 'excluded' ELSE 'new' END AS kind, CASE WHEN l_quantity >= 25 THEN CASE CAST(l_quantity AS INT) % 5 WHEN 0 THEN 'own_shape_flag' WHEN 1 THEN 'axis_arbitrated' WHEN 2 THEN 'model_derived' WHEN 3 THEN 'unknown' END END AS reason FROM lineitem"
+_ADMISSION = "CASE " + " ".join(f"WHEN kind = '{k}' AND " + ("coalesce(trim(reason), '') = ''" if r is None else f"reason = '{r}'") + f" THEN '{c}'" for (k, r), c in V.ADMISSION) + " END"
 
 
-@query(f"SELECT l_orderkey, l_returnflag, l_linestatus, {_ADMISSION} AS admission FROM lineitem")
+def _classes(spark, sf_dir):
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("ridgeline_lineitem")
+    return spark.sql(_CLASSES.replace("FROM lineitem", "FROM ridgeline_lineitem"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, kind, reason, {_ADMISSION} AS admission FROM ({_CLASSES})")
 def f10_admission_class(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", mapping.admission(F.col("l_returnflag"), F.col("l_linestatus")).alias("admission"))
+    return _classes(spark, sf_dir).withColumn("admission", mapping.admission(F.col("kind"), F.col("reason")))
 
 
-@query(f"SELECT l_orderkey, {_ADMISSION} AS admission FROM lineitem WHERE {_ADMISSION} IS NOT NULL")
+@query(f"SELECT l_orderkey, l_linenumber, {_ADMISSION} AS admission FROM ({_CLASSES}) WHERE {_ADMISSION} IS NOT NULL")
 def f11_published(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", mapping.admission(F.col("l_returnflag"), F.col("l_linestatus")).alias("admission"))
-    return rows.where("admission is not null")
+    return _classes(spark, sf_dir).select("l_orderkey", "l_linenumber", mapping.admission(F.col("kind"), F.col("reason")).alias("admission")).where("admission is not null")
+
+
+_STATUS = "CASE o_orderpriority WHEN '1-URGENT' THEN ' Consensus' WHEN '2-HIGH' THEN 'single_method' WHEN '3-MEDIUM' THEN 'arbitrated' WHEN '5-LOW' THEN 'failed' END"
+_VERIFIED = "CASE lower(trim(s)) WHEN 'consensus' THEN 'axis_cross_validated' WHEN 'single_method' THEN 'axis_single_method' WHEN 'arbitrated' THEN 'axis_arbitrated' ELSE 'axis_unverified' END"
 
 
-@query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'verified' WHEN '2-HIGH' THEN 'single_method' WHEN '5-LOW' THEN 'contradicted' ELSE 'unverified' END AS verification FROM orders")
+@query(f"SELECT o_orderkey, {_VERIFIED} AS verification FROM (SELECT o_orderkey, {_STATUS} AS s FROM orders)")
 def f12_verification_status(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", mapping.lookup(F.col("o_orderpriority"), {"1-URGENT": "verified", "2-HIGH": "single_method", "5-LOW": "contradicted"}, "unverified").alias("verification"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", mapping.verification(F.expr(_STATUS)).alias("verification"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' OR o_orderstatus = 'P' THEN 'flagged' ELSE 'ok' END AS quality,
-concat_ws(';', CASE WHEN o_orderpriority = '1-URGENT' THEN 'arbitrated_axis' END, CASE WHEN o_orderstatus = 'P' THEN 'partial_figure' END) AS reasons FROM orders""")
+@query(f"""SELECT o_orderkey, CASE WHEN v = 'axis_arbitrated' OR f = 'partial' THEN 'flagged' ELSE 'pending' END AS quality, concat_ws(';', CASE WHEN v = 'axis_arbitrated' THEN v END, CASE WHEN f = 'partial' THEN 'series_incomplete' END) AS reasons
+FROM (SELECT o_orderkey, {_VERIFIED} AS v, f FROM (SELECT o_orderkey, {_STATUS} AS s, CASE WHEN o_orderstatus = 'P' THEN 'partial' END AS f FROM orders))""")
 def f13_quality_reasons(spark, sf_dir):
-    reasons = mapping.reasons({"arbitrated_axis": F.col("o_orderpriority") == "1-URGENT", "partial_figure": F.col("o_orderstatus") == "P"})
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.size(reasons) > 0, "flagged").otherwise("ok").alias("quality"), F.array_join(reasons, ";").alias("reasons"))
+    status, why = mapping.quality(F.when(F.col("o_orderstatus") == "P", " Partial "), mapping.verification(F.expr(_STATUS)))
+    return table(spark, sf_dir, "orders").select("o_orderkey", status.alias("quality"), F.array_join(why, ";").alias("reasons"))
 
 
 _HUMP = "CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN 'not_computed' WHEN l_discount > 0.08 THEN 'window_not_covered' WHEN l_tax > 0.04 THEN 'hump_detected' ELSE 'no_hump' END"
@@ -102,8 +112,8 @@ def f15_descriptor_gate(spark, sf_dir):
     return rows.select("l_orderkey", "status", F.when(F.col("status") == "hump_detected", F.col("l_extendedprice")).alias("centre"))
 
 
-@query("""SELECT l_orderkey, CASE WHEN assumed = 1 OR reported IS NULL THEN 1.5406 ELSE reported END AS wavelength,
-CASE WHEN assumed = 0 AND reported IS NOT NULL THEN 'paper_reported' WHEN assumed IS NULL AND reported IS NULL THEN 'unknown' ELSE 'assumed' END AS source, assumed = 0 AND reported IS NULL AS anomaly
+@query("""SELECT l_orderkey, CASE WHEN assumed = 0 AND reported IS NOT NULL THEN reported ELSE 1.5406 END AS wavelength, CASE WHEN assumed = 0 AND reported IS NOT NULL THEN 'paper_reported' ELSE 'assumed_cu_ka' END AS source,
+CASE WHEN assumed = 1 AND reported IS NOT NULL THEN 'stale_paper_wavelength' WHEN assumed = 1 OR (assumed = 0 AND reported IS NOT NULL) THEN NULL ELSE 'unverifiable_wavelength' END AS anomaly
 FROM (SELECT l_orderkey, CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber < 5 THEN 0 END AS assumed, CASE WHEN l_quantity > 0.4 AND l_quantity < 3.0 THEN l_quantity END AS reported FROM lineitem)""")
 def f16_wavelength_source(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.expr("CASE WHEN l_linenumber = 1 THEN 1 WHEN l_linenumber < 5 THEN 0 END").alias("assumed"), F.when((F.col("l_quantity") > 0.4) & (F.col("l_quantity") < 3.0), F.col("l_quantity")).alias("reported"))
@@ -117,17 +127,22 @@ def f17_bounded_coercion(spark, sf_dir):
     return rows.select("event_id", mapping.bounded(F.col("k"), "int", 10, 60).alias("bounded"), mapping.bounded(F.col("k").try_cast("int") + 1790, "int", 1800, 2200).alias("year"), mapping.one_of(F.col("event_type"), ["click", "view"]).alias("kind"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size < 3 THEN 'context' WHEN lower(p_type) IN ('small', 'economy') THEN 'sample' WHEN p_name LIKE '%blue%' THEN 'simulated' WHEN p_name LIKE '%red%' THEN 'reference' ELSE 'experimental' END AS role FROM part""")
+_ROLE_ROWS = "SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'reference' WHEN 1 THEN 'odd' END AS context, CASE p_partkey % 5 WHEN 0 THEN ' Exp' WHEN 1 THEN 'measured' END AS state, p_name || CASE p_partkey % 6 WHEN 0 THEN ' Simulated' WHEN 1 THEN ' Pawley refined' WHEN 2 THEN ' difference' WHEN 3 THEN ' JCPDS' ELSE '' END AS label FROM part"
+
+
+@query("SELECT p_partkey, CASE WHEN context IN (" + ", ".join(f"'{r}'" for r in V.ROLES) + ") THEN context WHEN lower(trim(state)) IN (" + ", ".join(f"'{r}'" for r in V.EXPERIMENTAL_STATES) + ") THEN 'experimental' " + " ".join("WHEN " + " OR ".join(f"contains(lower(label), '{m}')" for m in marks) + f" THEN '{r}'" for r, marks in V.ROLE_MARKS) + f" ELSE 'unclassified' END AS role FROM ({_ROLE_ROWS})")
 def f18_role(spark, sf_dir):
-    role = F.when(F.col("p_size") < 3, "context").when(F.lower("p_type").isin("small", "economy"), "sample").when(F.contains("p_name", F.lit("blue")), "simulated").when(F.contains("p_name", F.lit("red")), "reference").otherwise("experimental")
-    return table(spark, sf_dir, "part").select("p_partkey", role.alias("role"))
+    table(spark, sf_dir, "part").createOrReplaceTempView("ridgeline_part")
+    return spark.sql(_ROLE_ROWS.replace("FROM part", "FROM ridgeline_part")).select("p_partkey", mapping.role(F.col("context"), F.col("label"), F.col("state")).alias("role"))
+
+
+_STATE_ROWS = "SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Simulated AA' WHEN 1 THEN 'as-prepared' WHEN 2 THEN ' calc ' WHEN 3 THEN 'calcined' ELSE '' END AS state, p_name || CASE p_partkey % 5 WHEN 0 THEN ' (sim)' WHEN 1 THEN ' AB stacking' ELSE '' END AS label FROM part"
 
 
-@query("""SELECT p_partkey, CASE WHEN s <> '' THEN regexp_matches(s, '^(simulated|calculated|computed|theoretical|refined|fitted)') ELSE regexp_matches(lower(p_name || ' ' || p_type), 'simulat|calculat|comput|theor|blue') END AS computed
-FROM (SELECT *, CASE WHEN p_size % 3 = 0 THEN 'simulated AA' WHEN p_size % 3 = 1 THEN 'as-prepared' ELSE '' END AS s FROM part)""")
+@query("SELECT p_partkey, CASE WHEN trim(state) <> '' THEN trim(lower(state)) IN (" + ", ".join(f"'{m}'" for m in V.COMPUTED_WHOLE) + ") OR " + " OR ".join(f"contains(lower(state), '{m}')" for m in V.COMPUTED_STATE) + " ELSE " + " OR ".join(f"contains(lower(label), '{m}')" for m in V.COMPUTED_LABEL) + f" END AS computed FROM ({_STATE_ROWS})")
 def f19_computed_classifier(spark, sf_dir):
-    state = F.when(F.col("p_size") % 3 == 0, "simulated AA").when(F.col("p_size") % 3 == 1, "as-prepared").otherwise("")
-    return table(spark, sf_dir, "part").select("p_partkey", mapping.computed(state, F.concat_ws(" ", "p_name", "p_type"), extra="blue").alias("computed"))
+    table(spark, sf_dir, "part").createOrReplaceTempView("ridgeline_part")
+    return spark.sql(_STATE_ROWS.replace("FROM part", "FROM ridgeline_part")).select("p_partkey", mapping.computed(F.col("state"), F.col("label")).alias("computed"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity, l_discount <= 0.08 AND NOT bool_or(l_discount > 0.08) OVER (PARTITION BY l_orderkey) AND l_quantity < 45 AS clean FROM lineitem")

@@ -1 +1,126 @@
+"""Signal operators: embeddings as dense curves, resampled to twice their density; events as sparse ones."""
 
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ridgeline.operators import signal
+from ridgeline.plans.registry import query, table
+
+
+def _points(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return rows.select("vec_id", F.posexplode("embedding").alias("pos", "v")).select("vec_id", (F.lit(2.0) + 0.5 * F.col("pos")).alias("x"), (F.col("v").cast("double") * 100).alias("y"))
+
+
+@query()
+def g1_detect_peaks(spark, sf_dir):
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: signal.detect_peaks(x, y), "two_theta double, rel_height double, prominence double")
+
+
+@query()
+def g2_first_peak(spark, sf_dir):
+    def run(x, y):
+        r = signal.first_peak(x, y)
+        return [] if r is None else [(r["status"], r.get("two_theta"), r.get("fwhm"), r.get("snr"))]
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "status string, two_theta double, fwhm double, snr double")
+
+
+@query()
+def g3_first_peak_spacing(spark, sf_dir):
+    def run(x, y):
+        r = signal.first_peak(x, y)
+        r = signal.with_spacing(r, None) if r else None
+        return [] if r is None else [(r["status"], r.get("two_theta"), r["d"], r["wavelength"], r["assumed"])]
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "status string, two_theta double, d double, wavelength double, assumed int")
+
+
+@query()
+def g4_descriptors(spark, sf_dir):
+    def run(x, y):
+        r = signal.descriptors(x, y)
+        return [] if r is None else [tuple(r.values())]
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "crystalline_fraction double, hump_status string, hump_center double, hump_width double, hump_height double, hump_ratio double")
+
+
+@query()
+def g5_shape_verdict(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", F.col("event_id").cast("double").alias("x"), F.col("value").alias("y"))
+    return signal.per_series(e, "user_id", "x", "y", lambda x, y: [tuple(signal.shape_verdict(y).values())], "flagged boolean, reasons string, steps int, notches int, rev_frac double, tv double")
+
+
+@query()
+def g6_process_curve(spark, sf_dir):
+    def run(x, y):
+        grid, v, peaks = signal.process_curve(x, y, 0.25)
+        return [(len(grid), float(v.max()), len(peaks))]
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "n int, top double, peaks int")
+
+
+@query()
+def g7_asls_baseline(spark, sf_dir):
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: list(zip(map(float, x), map(float, signal.asls(y, 1e3)))), "x double, base double")
+
+
+@query()
+def g8_savgol(spark, sf_dir):
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: list(zip(map(float, x), map(float, signal.savgol(y, 7, 2)))), "x double, y double")
+
+
+@query()
+def g9_interpolate(spark, sf_dir):
+    def run(x, y):
+        g, v = signal.interpolate(x, y, 0.3)
+        return list(zip(map(float, g), map(float, v)))
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "x double, y double")
+
+
+@query()
+def g10_pick_peaks(spark, sf_dir):
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: signal.pick_peaks(x, np.maximum(y - y.min(), 0)), "position double, height double")
+
+
+@query("""SELECT vec_id, i AS pos, round((v - lo) / (hi - lo) * 100 + (4 - 1 - vec_id % 4) * 60, 9) AS y FROM (SELECT vec_id, r.i AS i, CAST(embedding[r.i + 1] AS DOUBLE) AS v, CAST(list_min(embedding) AS DOUBLE) AS lo, CAST(list_max(embedding) AS DOUBLE) AS hi FROM embeddings, range(64) r(i))""")
+def g12_offset_stack(spark, sf_dir):
+    lo, hi = F.array_min("embedding").cast("double"), F.array_max("embedding").cast("double")
+    y = F.transform("embedding", lambda v: (v.cast("double") - lo) / (hi - lo) * 100 + (3 - F.col("vec_id") % 4) * 60)
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(y).alias("pos", "y")).select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("y", 9).alias("y"))
+
+
+@query()
+def g11_peak_fidelity(spark, sf_dir):
+    """Loss of each peak's local prominence when the curve is smoothed, and whether it counts as amputated."""
+
+    def run(x, y):
+        smooth = signal.savgol(y, 5, 2)
+        peaks, prom = signal.find_peaks(y, 0.08 * float(np.ptp(y)) if len(y) else 0.0)
+        out = []
+        for p, h in zip(peaks, prom):
+            a, b = max(0, p - 4), min(len(y), p + 5)
+            after = float(smooth[p] - max(smooth[a : p + 1].min(), smooth[p:b].min()))
+            loss = float(1 - after / h) if h > 0 else 0.0
+            out.append((float(x[p]), float(h), loss, bool(loss >= 0.35)))
+        return out
+
+    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "x double, prominence double, loss double, amputated boolean")
+
+
+@query()
+def j15_box_suppression(spark, sf_dir):
+    """Greedy suppression of overlapping boxes of each user, a box an event, the strongest first."""
+    import pandas as pd
+
+    x, y = F.col("value") / 50, F.col("event_id") % 50 / 5
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", x.alias("x0"), y.alias("y0"), (x + 3).alias("x1"), (y + 3).alias("y1"), "value")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["value", "event_id"], ascending=[False, True])
+        return pdf.iloc[signal.suppress_boxes(pdf[["x0", "y0", "x1", "y1"]].to_numpy(), 0.3)][["user_id", "event_id"]]
+
+    return rows.groupBy("user_id").applyInPandas(run, "user_id long, event_id long")

@@ -1 +1,158 @@
+"""Scans, sinks and updates."""
 
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ridgeline.functions import text
+from ridgeline.operators import joins, validation
+from ridgeline.plans.registry import query, table
+from ridgeline.sources import files
+
+_CELLS = "SELECT user_id, CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'bad' WHEN 2 THEN 'NaN' ELSE CAST(event_id AS VARCHAR) END AS x, CAST(CAST(floor(value) AS INT) AS VARCHAR) AS y FROM events"
+
+
+def _cells(spark, sf_dir):
+    n = F.col("event_id") % 7
+    x = F.when(n == 0, "").when(n == 1, "bad").when(n == 2, "NaN").otherwise(F.col("event_id").cast("string"))
+    return table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("series_id"), x.alias("two_theta_deg"), F.floor("value").cast("int").cast("string").alias("relative_intensity"))
+
+
+@query(f"SELECT CAST(user_id AS VARCHAR) AS series_id, count(*) AS n, min(v) AS lo FROM (SELECT user_id, TRY_CAST(nullif(nullif(x, 'NaN'), '') AS DOUBLE) AS v FROM ({_CELLS})) WHERE v IS NOT NULL GROUP BY user_id HAVING n >= 2")
+def s2_csv_points(spark, sf_dir):
+    return files.curve_points(_cells(spark, sf_dir)).groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.min("two_theta_deg").alias("lo"))
+
+
+@query(f"SELECT user_id, count(TRY_CAST(nullif(nullif(x, 'NaN'), '') AS DOUBLE)) AS n, count(*) AS rows FROM ({_CELLS}) GROUP BY user_id")
+def s4_numeric_cells(spark, sf_dir):
+    rows = _cells(spark, sf_dir).select(F.col("series_id").cast("long").alias("user_id"), files.number(F.col("two_theta_deg")).alias("v"))
+    return rows.groupBy("user_id").agg(F.count("v").alias("n"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("SELECT l_orderkey, l_partkey FROM lineitem WHERE l_suppkey = 7")
+def s7_projected_scan(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").where("l_suppkey = 7").select("l_orderkey", "l_partkey")
+
+
+@query("SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 500 OFFSET 500")
+def s8_paged_sweep(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey").orderBy("p_partkey").offset(500).limit(500)
+
+
+@query("SELECT (SELECT count(*) FROM lineitem) AS points, (SELECT count(*) FROM orders) AS curves, (SELECT count(*) FROM customer) AS papers, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS clean")
+def s11_export_manifest(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("curves"), F.count_if(F.col("o_orderstatus") == "F").alias("clean"))
+    return o.crossJoin(table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("points"))).crossJoin(table(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("papers"))).select("points", "curves", "papers", "clean")
+
+
+@query("SELECT p_partkey, CASE WHEN regexp_matches(c, '^[=+\\-@]') THEN '''' || c ELSE c END AS cell FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '=' WHEN 1 THEN '-' WHEN 2 THEN '@' ELSE '' END || p_name AS c FROM part)")
+def s13_guarded_manifest(spark, sf_dir):
+    n = F.col("p_partkey") % 4
+    c = F.concat(F.when(n == 0, "=").when(n == 1, "-").when(n == 2, "@").otherwise(""), "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", text.guarded_cell(c).alias("cell"))
+
+
+@query("SELECT count(*) FILTER (WHERE c_custkey IS NULL) AS orphans, sum(n)::BIGINT = (SELECT count(*) FROM orders) AS sums_agree FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) LEFT JOIN customer ON o_custkey = c_custkey")
+def s14_snapshot_gate(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    g = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    total = o.agg(F.count(F.lit(1)).alias("total"))
+    return g.agg(F.count_if(F.col("c_custkey").isNull()).alias("orphans"), F.sum("n").alias("s")).crossJoin(total).select("orphans", (F.col("s") == F.col("total")).alias("sums_agree"))
+
+
+def _old_new(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    old = o.where("o_orderkey % 3 < 2")
+    new = o.where("o_orderkey % 3 > 0").select("o_orderkey", F.expr("nullif(o_orderstatus, 'O')").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    return old, new
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN nullif(o_orderstatus, 'O') ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+CASE WHEN o_orderkey % 3 < 2 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def s15_upsert(spark, sf_dir):
+    return joins.upsert(*_old_new(spark, sf_dir), "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders")
+def s16_replace(spark, sf_dir):
+    old, new = _old_new(spark, sf_dir)
+    return joins.replace_rows(old.select("o_orderkey", "o_totalprice"), new.select("o_orderkey", "o_totalprice"), "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderstatus = 'F' THEN 'axis' ELSE o_orderstatus END AS status FROM orders")
+def s17_guarded_update(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    values = o.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("axis").alias("new_value"))
+    rows = o.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    return joins.guarded_update(rows, values, "o_orderkey", "status", F.col("status") == "F", small=False)
+
+
+@query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN nullif(c_mktsegment, 'BUILDING') END, c_name) AS label FROM customer")
+def s18_coalesce_update(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    new = c.where("c_custkey % 2 = 0").select("c_custkey", F.expr("nullif(c_mktsegment, 'BUILDING')").alias("new"))
+    return c.join(new, "c_custkey", "left").select("c_custkey", F.coalesce("new", "c_name").alias("label"))
+
+
+@query("SELECT p_partkey, CAST(NULL AS DOUBLE) AS first_peak FROM part")
+def s19_schema_evolution(spark, sf_dir):
+    return files.evolve(files.evolve(table(spark, sf_dir, "part"), {"first_peak": "double"}), {"first_peak": "double", "p_partkey": "long"}).select("p_partkey", "first_peak")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0")
+def s20_resumable_batch(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.join(d.where("doc_id % 2 = 1").select("doc_id"), "doc_id", "left_anti").select("doc_id", "source")
+
+
+@query("SELECT p_partkey, sha256(p_name || chr(0) || p_type || chr(0) || CAST(p_size AS VARCHAR)) AS key FROM part")
+def s21_cache_key(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", files.cache_key(F.col("p_name"), F.col("p_type"), F.col("p_size").cast("string")).alias("key"))
+
+
+@query("SELECT class, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(u, '\\.(csv|csv\\.gz|json)$') THEN 'data' WHEN regexp_matches(u, '(^|/)(overlay|replot|preview)[^/]*\\.(png|svg|pdf)$') THEN 'own' WHEN regexp_matches(u, '\\.(png|jpe?g|tiff?|gif|pdf)$') THEN 'publisher' ELSE 'other' END AS class FROM (SELECT url || CASE WHEN page_id % 3 = 0 THEN '.png' ELSE '' END AS u FROM pages)) GROUP BY class")
+def s22_object_walk(spark, sf_dir):
+    u = F.concat("url", F.when(F.col("page_id") % 3 == 0, ".png").otherwise(""))
+    return table(spark, sf_dir, "pages").select(text.object_class(u).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- declared invariants: rows that break them
+
+_CURVES = "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice / 2000 END AS x, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 1.5406 END AS w, o_orderstatus AS status, CASE WHEN o_orderkey % 17 = 0 THEN -1.0 ELSE o_totalprice / 300000 END AS fidelity, o_orderkey % 9 AS lo, o_orderkey % 7 + 3 AS hi FROM orders"
+
+
+def _curves(spark, sf_dir):
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 11 != 0, F.col("o_totalprice") / 2000).alias("x"), F.when(k % 13 != 0, 1.5406).alias("w"), F.col("o_orderstatus").alias("status"), F.when(k % 17 == 0, -1.0).otherwise(F.col("o_totalprice") / 300000).alias("fidelity"), (k % 9).alias("lo"), (k % 7 + 3).alias("hi"))
+
+
+@query(f"""SELECT 'c1' AS rule, o_orderkey AS id FROM ({_CURVES}) WHERE NOT coalesce((status = 'P') = (x IS NULL), true) UNION ALL SELECT 'c5', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(fidelity BETWEEN 0 AND 1, true)
+UNION ALL SELECT 'c6', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(x > 0 AND x < 180, true) UNION ALL SELECT 'c7', o_orderkey FROM ({_CURVES}) WHERE (x IS NULL) <> (w IS NULL) UNION ALL SELECT 'c10', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(lo <= hi, true)""")
+def c_row_invariants(spark, sf_dir):
+    x, w = F.col("x"), F.col("w")
+    rules = {"c1": (F.col("status") == "P") == x.isNull(), "c5": F.col("fidelity").between(0, 1), "c6": (x > 0) & (x < 180), "c7": x.isNull() == w.isNull(), "c10": F.col("lo") <= F.col("hi")}
+    return validation.violations(_curves(spark, sf_dir), "o_orderkey", rules).select("rule", F.col("key").alias("id"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def c11_foreign_keys(spark, sf_dir):
+    return validation.orphans(table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "customer").where("c_acctbal > 0"), "c_custkey").select("o_orderkey")
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING n > 1")
+def c12_unique_keys(spark, sf_dir):
+    return validation.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders WHERE (o_orderstatus, o_orderpriority) NOT IN (('F', '1-URGENT'), ('O', '2-HIGH')) GROUP BY ALL")
+def c13_unmapped_pairs(spark, sf_dir):
+    known = spark.createDataFrame([("F", "1-URGENT"), ("O", "2-HIGH")], "o_orderstatus string, o_orderpriority string")
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(known), ["o_orderstatus", "o_orderpriority"], "left_anti")
+
+
+@query("SELECT conv_id, turn, n FROM (SELECT conv_id, turn, length(text) // 100 AS n, lag(length(text) // 100) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) WHERE p IS NULL OR p <> n")
+def r2_progress_changes(spark, sf_dir):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.floor(F.length("text") / 100).cast("long").alias("n"))
+    return rows.withColumn("p", F.lag("n").over(w)).where("p is null or p <> n").select("conv_id", "turn", "n")

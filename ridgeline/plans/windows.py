@@ -85,7 +85,7 @@ last_value(CASE WHEN good IS NOT NULL THEN event_id END IGNORE NULLS) OVER (PART
 SELECT event_id, round(CASE WHEN good IS NOT NULL THEN good WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE a + (b - a) * (event_id - xa) / (xb - xa) END, 6) AS value FROM n""")
 def w9_outlier_repair(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("event_id")
-    m = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.abs(F.col("value") - F.median("value").over(w.rowsBetween(-2, 2))) <= 60, F.col("value")).alias("good"))
+    m = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.abs(F.col("value") - F.percentile("value", 0.5).over(w.rowsBetween(-2, 2))) <= 60, F.col("value")).alias("good"))
     before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
     at = F.when(F.col("good").isNotNull(), F.col("event_id"))
     n = m.withColumns({"a": F.last("good", True).over(before), "b": F.first("good", True).over(after), "xa": F.last(at, True).over(before), "xb": F.first(at, True).over(after)})
@@ -95,7 +95,7 @@ def w9_outlier_repair(spark, sf_dir):
 
 @query(f"SELECT event_id, CASE WHEN abs(value - m) > 50 THEN m ELSE value END AS value FROM (SELECT event_id, value, {_MED} AS m FROM events)")
 def w10_jump_suppression(spark, sf_dir):
-    m = F.median("value").over(Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-2, 2))
+    m = F.percentile("value", 0.5).over(Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-2, 2))
     return table(spark, sf_dir, "events").select("event_id", "value", m.alias("m")).select("event_id", F.when(F.abs(F.col("value") - F.col("m")) > 50, F.col("m")).otherwise(F.col("value")).alias("value"))
 
 
