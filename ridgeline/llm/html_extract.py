@@ -71,7 +71,10 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, inside article or main) in page order: 'word' and 'link word' with raw text, 'tag' with a name, 'end' between blocks."""
+    """(kind, text, inside article or main) in page order: 'word' and 'link word' with raw text, 'tag' with a name, 'end' between blocks.
+
+    Elements that never are article text leave no trace, so that a region can reach across an advert.
+    """
     stack: list[tuple[str, bool, bool]] = []  # name, skipped from here on, inside content from here on
     skipped = inside = False
     links = 0
@@ -97,9 +100,10 @@ def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
             if name not in INLINE and not skipped:
                 yield "end", "", inside
             continue
-        if not skipped:
-            if name not in INLINE:
-                yield "end", "", inside
+        drop = skipped or _boilerplate(name, m[4], inside)
+        if not skipped and name not in INLINE:
+            yield "end", "", inside
+        if not drop:
             yield "tag", name, inside
         if name == "br":
             yield from text(" ")
@@ -107,8 +111,7 @@ def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
             continue
         if name == "a" and links:
             continue
-        skipped = skipped or _boilerplate(name, m[4], inside)
-        inside = inside or name in CONTENT
+        skipped, inside = drop, inside or name in CONTENT
         links += name == "a"
         stack.append((name, skipped, inside))
     rest = html[at:]

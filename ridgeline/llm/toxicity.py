@@ -71,8 +71,8 @@ def association(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.nda
     return 2 * total
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int = 8, epochs: int = 15, rate: float = 0.15, decay: float = 1e-4, least: float = 12.0, batch: int = 256, seed: int = 1) -> Machine:
-    """Fits a machine to rows of term ids and labels 0/1."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int = 8, epochs: int = 15, steps: int = 1500, rate: float = 0.3, decay: float = 1e-4, least: float = 12.0, batch: int = 256, seed: int = 1) -> Machine:
+    """Fits a machine to rows of term ids and labels 0/1, by `epochs` passes or as many as make `steps` batches."""
     size = 1 << bits
     weights, vectors = np.zeros(size, np.float32), np.zeros((size, rank), np.float32)
     share = float(labels.mean()) if len(labels) else 0.0
@@ -85,12 +85,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int =
     vectors[used] = rng.normal(0, 0.02, (int(used.sum()), rank)).astype(np.float32)
     gw, gv, gb = np.full(size, 1e-2, np.float32), np.full((size, rank), 1e-2, np.float32), 1e-2
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * batch // len(rows)))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), batch):
             part = order[at : at + batch]
+            bare = part[lengths[part] == 0]  # rows without a term only move the bias
             part = part[lengths[part] > 0]
+            chance = 1 / (1 + np.exp(-bias))
             if not len(part):
+                db = chance - float(labels[bare].mean())
+                gb += db * db
+                bias -= rate * db / gb**0.5
                 continue
             ids = np.concatenate([rows[i] for i in part])
             starts = np.append(0, np.cumsum(lengths[part])[:-1])
@@ -108,7 +113,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int =
             weights[touched] -= rate * dw / np.sqrt(gw[touched])
             gv[touched] += dv * dv
             vectors[touched] -= rate * 0.3 * dv / np.sqrt(gv[touched])
-            db = float(error.mean())
+            db = float(error.sum() + chance * len(bare) - labels[bare].sum()) / (len(part) + len(bare))
             gb += db * db
             bias -= rate * db / gb**0.5
     return Machine(bias, weights, vectors)
