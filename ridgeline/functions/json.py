@@ -12,9 +12,13 @@ from ridgeline.functions import vocabulary as V
 def peak_list(text: Column) -> Column:
     """array<struct<two_theta, rel_height, prominence>> by angle; null for what is no array, bad entries dropped."""
     raw = F.from_json(text, "array<struct<two_theta: string, rel_height: string, prominence: string>>")
-    number = lambda c: c.try_cast("double")
-    rows = F.transform(raw, lambda p: F.struct(number(p["two_theta"]).alias("two_theta"), number(p["rel_height"]).alias("rel_height"), number(p["prominence"]).alias("prominence")))
-    good = F.filter(rows, lambda p: (p["two_theta"] > 0) & (p["two_theta"] < 180))
+
+    def number(c, most):
+        x = c.try_cast("double")
+        return F.when(x.between(0, most), x)
+
+    rows = F.transform(raw, lambda p: F.struct(number(p["two_theta"], 180).alias("two_theta"), number(p["rel_height"], 1).alias("rel_height"), number(p["prominence"], 1).alias("prominence")))
+    good = F.filter(rows, lambda p: p["two_theta"].isNotNull())
     return F.when(F.try_parse_json(text).isNotNull() & F.trim(text).startswith("["), F.array_sort(good))
 
 

@@ -58,12 +58,13 @@ def name_key(text: Column) -> Column:
 
 def doi_in_name(name: Column) -> Column:
     """DOI in a file name, underscores as slashes; null if there is none."""
-    found = F.regexp_extract(name, r"(10\.[0-9]{4,9}[_/][A-Za-z0-9._()/-]+)", 1)
+    found = F.regexp_extract(name, V.DOI_IN_NAME, 1)
     return F.when(found != "", F.translate(found, "_", "/"))
 
 
-def slug(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+def slug(text: Column, fallback: str = "item") -> Column:
+    plain = F.regexp_replace(F.regexp_replace(F.lower(F.trim(text)), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.when(plain == "", fallback).otherwise(plain)
 
 
 def keyword_score(text: Column, keywords: list[tuple[str, float]] = V.KEYWORDS + V.KEYWORDS_AGAINST) -> Column:
@@ -121,7 +122,8 @@ def title(text: Column) -> Column:
 def usable_title(text: Column) -> Column:
     t = F.trim(text)
     letters, words = F.regexp_count(t, F.lit("[A-Za-z]")), F.size(F.split(t, r"\s+"))
-    bad = F.lower(t).rlike(r"^10\.[0-9]{4,}/|\.(pdf|docx?|tex|indd)$|^(microsoft word|untitled|doi)|[0-9]+\.\.[0-9]+")
+    low = F.lower(t)
+    bad = t.rlike(V.TITLE_DOI) | t.rlike(V.TITLE_PAGE_RANGE) | low.rlike(V.TITLE_FILES) | low.rlike("|".join(V.TITLE_BAD))
     return F.length(t).between(20, 500) & (letters >= 10) & (words >= 4) & ~bad
 
 
@@ -129,7 +131,7 @@ def divergence(local: Column, other: Column) -> Column:
     """How two titles differ: identical, whitespace, punctuation, local_mojibake or material."""
     tight = lambda x: F.regexp_replace(x, r"\s+", "")
     fold = lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}\p{N}]+", ""))
-    broken = lambda x: x.rlike("Ã.|â€|�")
+    broken = lambda x: x.rlike(V.MOJIBAKE)
     return F.when(local == other, "identical").when(tight(local) == tight(other), "whitespace").when(fold(local) == fold(other), "punctuation").when(broken(local) & ~broken(other), "local_mojibake").otherwise("material")
 
 
@@ -150,11 +152,22 @@ def is_notice(text: Column) -> Column:
 
 def stacking(text: Column) -> Column:
     low = F.lower(text)
-    return F.when(low.rlike(r"\baa\b|eclips"), "AA").when(low.rlike(r"\bab\b|stagger"), "AB")
+    return F.when(low.rlike(r"\baa\b|eclips"), "AA / eclipsed").when(low.rlike(r"\bab\b|stagger"), "AB / staggered")
 
 
 def treated(text: Column) -> Column:
-    return text.rlike(r"(?i)\b(after|treated|annealed|activated|soaked|recycled|exposed)\b")
+    return F.coalesce(text, F.lit("")).rlike(V.TREATED)
+
+
+def applications(text: Column) -> Column:
+    """Sorted application classes of a list parted by ; or , (each part counts for the first class that marks it)."""
+    parts = F.filter(F.transform(F.split(F.lower(text), "[;,]"), lambda x: F.trim(x)), lambda x: x != "")
+
+    def kind(part):
+        has = lambda marks: reduce(lambda a, b: a | b, [F.contains(part, F.lit(m)) for m in marks])
+        return reduce(lambda c, a: c.when(has(a[1]), a[0]), V.APPLICATIONS, F.when(F.lit(False), F.lit("")))
+
+    return F.array_sort(F.array_distinct(F.filter(F.transform(parts, kind), lambda x: x.isNotNull())))
 
 
 def pair_key(a: Column, b: Column) -> Column:
@@ -167,12 +180,17 @@ def like_pattern(query: str) -> str:
 
 
 def valid_id(text: Column) -> Column:
-    return text.rlike(r"^[A-Za-z0-9][A-Za-z0-9._()-]{0,199}$")
+    return text.rlike(V.IDENTIFIER)
 
 
-def object_class(name: Column) -> Column:
-    """Class of a stored object by its name."""
-    return F.when(name.rlike(r"\.(csv|csv\.gz|json)$"), "data").when(name.rlike(r"(^|/)(overlay|replot|preview)[^/]*\.(png|svg|pdf)$"), "own").when(name.rlike(r"\.(png|jpe?g|tiff?|gif|pdf)$"), "publisher").otherwise("other")
+def object_class(path: Column) -> Column:
+    """Class of a stored object by its name; a gzipped file by what is inside."""
+    name = F.regexp_replace(path, "^.*/", "")
+    inner = F.regexp_replace(F.lower(name), r"\.gz$", "")
+    stem, suffix = F.regexp_extract(inner, r"^([^.]*)", 1), F.regexp_extract(inner, r"\.([^.]*)$", 1)
+    words = F.split(stem, "[^a-z0-9]+")
+    source = F.arrays_overlap(words, F.array(*map(F.lit, V.PUBLISHER_WORDS))) | stem.rlike("^page[-_]?[0-9]+$")
+    return F.when((name == V.PLACEHOLDER) | suffix.isin(V.DATA_SUFFIXES), "data").when(~suffix.isin(V.IMAGE_SUFFIXES), "unclassified").when(source, "publisher_derived").when(stem.isin(V.OWN_STEMS), "own_replot").otherwise("unclassified")
 
 
 def year_in(text: Column) -> Column:

@@ -58,3 +58,34 @@ COMPUTED_LABEL = "simulat (sim -sim calculat pawley rietveld refined difference
 ROLES = "experimental simulated refined difference reference unclassified".split()
 EXPERIMENTAL_STATES = ["experimental", "experiment", "exp", "observed", "measured", "experimental/observed", "experimentally observed"]
 ROLE_MARKS = [("simulated", ["simulated", "simulation", "calculated"]), ("refined", ["pawley", "rietveld", "refined"]), ("difference", ["difference"]), ("reference", ["reference", "jcpds"])]
+
+#: Broken encodings: a lead byte read as Latin-1, then a continuation byte read so too.
+MOJIBAKE = "[\u00c3\u00c2\u00e2][\u0080-\u00ff\u0152-\u0178\u02c6\u02dc\u2013\u2014\u2018-\u201e\u20ac\u2122\u2039\u203a]|\ufffd"
+TREATED = "(?i)soak|hcl|naoh|koh|h2so4|boil|treat|day|calcin|after"
+IDENTIFIER = "^[A-Za-z0-9._()-]{1,80}$"
+DOI_IN_NAME = r"(?i)(10\.[0-9]{4,9}[_./][^/\s]+)"
+
+# Stored objects: suffixes and words of file names.
+IMAGE_SUFFIXES = "png webp jpg jpeg gif tif tiff bmp svg avif".split()
+DATA_SUFFIXES = "csv json parquet txt".split()
+PUBLISHER_WORDS = "source crop overlay montage".split()
+OWN_STEMS = "digitized replot_qa".split()
+PLACEHOLDER = ".emptyFolderPlaceholder"
+
+# Application classes and the marks of each, in order.
+APPLICATIONS = [
+    ("photocatalysis", ["photocat", "h2 evolution", "hydrogen evolution", "h2o2", "water splitting", "co2 photoreduction", "photoreduction", "solar", "photodegrad", "photocataly"]),
+    ("gas_adsorption", ["co2 capture", "gas separation", "gas storage", "h2 storage", "ch4", "iodine", "adsorption", "uptake", "capture", "storage"]),
+    ("catalysis", ["cataly", "suzuki", "orr", "oer", "her", "co2 reduction", "oxidation", "hydrogenation", "coupling", "electrocataly"]),
+    ("water_membrane", ["pfas", "dye", "nanofiltration", "water purification", "water treatment", "membrane", "desalination", "removal", "extraction", "separation"]),
+    ("sensing", ["sens", "fluorescen", "sers", "voc", "photonic", "detect", "luminescen", "probe"]),
+    ("energy_storage", ["supercapacitor", "battery", "li-s", "electrode", "lithium", "sodium", "zinc", "anode", "cathode"]),
+    ("ion_conduction", ["proton conduct", "fuel cell", "ion conduct", "ionic conduct", "ion separation", "conductivity"]),
+    ("biomedical", ["drug", "bioimag", "antibacter", "glycoprotein", "biomed", "therapy", "tumor", "antimicrob", "biosens", "cancer"]),
+]
+HUMP_STATUSES = "hump_detected no_hump_detected window_not_covered not_computed".split()
+
+TITLE_DOI = r"(?i)^(https?://(dx\.)?doi\.org/)?10\.\S+$"
+TITLE_PAGE_RANGE = r"\b[0-9]+\s*\.\.\s*[0-9]+\b"
+TITLE_BAD = ["microsoft word", "untitled document", "full text pdf", "downloaded from", "elsevier editorial system"]
+TITLE_FILES = r"\.(pdf|doc|docx)$"

@@ -112,12 +112,80 @@ def pair_ticks(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "ticks", "labels").mapInPandas(fit, f"{key} {kind}, slope double, intercept double, rmse double")
 
 
-def increasing_candidates(values: Column, step: float) -> Column:
-    """Tick readings that keep an axis increasing by whole steps: greedy, from the first reading."""
-    state = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<double>").alias("kept"))
-
-    def add(s, v):
-        fits = s["last"].isNull() | ((v > s["last"]) & (F.abs((v - s["last"]) / step - F.round((v - s["last"]) / step)) <= 0.08))
-        return F.struct(F.when(fits, v).otherwise(s["last"]).alias("last"), F.when(fits, F.array_append(s["kept"], v)).otherwise(s["kept"]).alias("kept"))
+def trace_rejection(m: dict[str, Column], primary_span: Column, single_curve: Column) -> Column:
+    """Why a secondary trace is refused, or null. m: degree_span, support_coverage, support_density, fill_inflation,
+    text_overlap; single_curve: whether the figure is surely of one curve. The first rule that holds names it."""
+    span, cover = m["degree_span"], m["support_coverage"]
+    wide = F.greatest(primary_span, F.lit(0.0))
+    alone = single_curve & ((span < F.greatest(F.lit(10.0), 0.55 * wide)) | (cover < 0.2) | (m["text_overlap"] > 0.08))
+    return (
+        F.when(m["text_overlap"] > 0.18, "text_overlap")
+        .when(span < F.greatest(F.lit(6.0), 0.22 * wide), "short_span")
+        .when((cover < 0.08) & (m["fill_inflation"] > 1.8), "sparse_support")
+        .when((m["support_density"] < 0.22) & (m["fill_inflation"] > 1.6), "poor_density")
+        .when(alone, "single_curve_figure")
+    )
+
+
+def repaired_ticks(ticks: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """(pixel, value) readings made strictly increasing: a value that falls back, or strays from the line of the two
+    before it, takes the nearest plausible reading above the last one."""
+    if len(ticks) < 2:
+        return list(ticks)
+    rises = [round(b - a, 4) for (_, a), (_, b) in zip(ticks, ticks[1:]) if b > a]
+    usual, out = max(rises, default=None), []
+    for pixel, seen in sorted(ticks, key=lambda t: t[0]):
+        value = float(seen)
+        if out:
+            last, line, step = out[-1][1], None, usual
+            if len(out) > 1 and out[-1][0] - out[-2][0] > 1 and last > out[-2][1]:
+                step = last - out[-2][1]
+                line = last + step / (out[-1][0] - out[-2][0]) * (pixel - out[-1][0])
+            near = line is None or abs(value - line) <= max(5.0, 0.35 * (step or 0.0))
+            if value <= last or not near:
+                value = _reading(value, last, line, step)
+                if step and abs(value - last - step) <= max(1.5, 0.15 * step):
+                    value = last + step
+        out.append((float(pixel), value))
+    kept = out[:1]
+    for t in out[1:]:
+        if t[1] > kept[-1][1]:
+            kept.append(t)
+    return kept
+
+
+def _reading(seen: float, last: float, line: float | None, step: float | None) -> float:
+    options = {seen, *(seen + k for k in (10.0, 20.0, 40.0, 60.0, 80.0))}
+    options |= {seen * 10, seen * 100} if 0 < seen < 10 else set()
+    options |= {last + k * step for k in (1, 2, 3)} if step and step > 0 else set()
+    options |= {float(round(line / k) * k) for k in (1, 2, 5, 10)} if line is not None else set()
+    above = [o for o in options if o > last]
+    if not above:
+        return seen
+    if line is None and step is None:
+        return min(above)
+    return min(above, key=lambda o: (abs(o - line) if line is not None else 0.0, abs(o - last - step) if step is not None else 0.0, 0.15 * abs(o - seen), o))
+
+
+def repair_ticks(rows: DataFrame, key: str) -> DataFrame:
+    """rows (key, ticks array<struct<px, value>>) with repaired ticks, in Arrow batches without a shuffle."""
+    kind = rows.schema[key].dataType.simpleString()
 
-    return F.aggregate(values, state, add, lambda s: s["kept"])
+    def fix(batches):
+        for pdf in batches:
+            done = [repaired_ticks([(t["px"], t["value"]) for t in ticks]) for ticks in pdf["ticks"]]
+            yield pd.DataFrame({key: pdf[key], "ticks": [[{"px": p, "value": v} for p, v in d] for d in done]})
+
+    return rows.select(key, "ticks").mapInPandas(fix, f"{key} {kind}, ticks array<struct<px: double, value: double>>")
+
+
+def spread_labels(rows: list[float], least: float, low: float, high: float) -> list[float]:
+    """Label positions moved apart to at least `least`, inside [low, high]: forward, then back from the end."""
+    out = sorted(rows)
+    for i in range(len(out)):
+        out[i] = max(out[i], low if i == 0 else out[i - 1] + least)
+    limit = high
+    for i in range(len(out) - 1, -1, -1):
+        out[i] = min(out[i], limit)
+        limit = out[i] - least
+    return out

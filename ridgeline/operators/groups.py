@@ -21,7 +21,7 @@ def label_groups(rows: DataFrame, label: str, paper: str) -> DataFrame:
     names = spelled.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("a"), F.length("label").alias("b"), F.col("label").alias("c"))).alias("best"), F.sum("n").alias("curve_count"), F.count(F.lit(1)).alias("n_variants"), F.array_sort(F.collect_list("label")).alias("label_variants"))
     papers = named.groupBy("key").agg(F.count_distinct("paper").alias("paper_count"))
     out = names.join(papers, "key").select("key", F.col("best.c").alias("display_name"), "curve_count", "paper_count", "n_variants", "label_variants", text.specificity(F.col("key")).alias("specificity"))
-    return out.withColumns({"match_basis": F.when(F.col("n_variants") == 1, "exact").otherwise("normalized"), "publishable": F.col("paper_count") >= 2})
+    return out.withColumns({"match_basis": F.when(F.col("n_variants") == 1, "label_identical").otherwise("label_normalised"), "publishable": (F.col("paper_count") >= 2) & (F.col("specificity") == "specific")})
 
 
 def beta_binomial(groups: DataFrame, key: str, least: int = 15, grid: int = 120, most_groups: int = 100_000) -> DataFrame:

@@ -52,7 +52,7 @@ def ratio_band(ratio: Column) -> Column:
 
 def hump_status(value: Column, computed: Column, covered: Column, detected: Column) -> Column:
     """Four states, and null where nothing was recorded."""
-    return F.when(value.isNull(), F.lit(None).cast("string")).when(~computed, "not_computed").when(~covered, "window_not_covered").when(detected, "hump_detected").otherwise("no_hump")
+    return F.when(value.isNull(), F.lit(None).cast("string")).when(~computed, "not_computed").when(~covered, "window_not_covered").when(detected, "hump_detected").otherwise("no_hump_detected")
 
 
 def wavelength(assumed: Column, reported: Column, default: float = 1.5406) -> Column:

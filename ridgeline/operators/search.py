@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions import physics, text
+from ridgeline.functions import vocabulary as V
 
 
 class BadParameter(ValueError):
@@ -72,7 +73,7 @@ class Params:
 
     def identifier(self, name: str) -> str | None:
         v = self.text(name)
-        if v is not None and not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._()-]{0,199}", v):
+        if v is not None and not re.fullmatch(V.IDENTIFIER, v):
             raise BadParameter(f"{name} is no identifier")
         return v
 
@@ -178,3 +179,33 @@ def first_peak_search(rows: DataFrame, target: float, tolerance: float, unit: st
         target = 2 * math.degrees(math.asin(min(1.0, physics.WAVELENGTH / (2 * target))))
     near = rows.where(F.abs(F.col("first_peak") - target) <= F.greatest(F.lit(tolerance), F.coalesce("uncertainty", F.lit(0.0))))
     return near.groupBy("paper_id").agg(F.count(F.lit(1)).alias("matches"), F.count_if(F.col("axis_verification").isin(disputed or ["axis_arbitrated"])).alias("disputed"))
+
+
+def peak_target(entered: str, unit: str = "two_theta", low: float = 0.1, high: float = 90.0) -> float | None:
+    """A search box's target as an angle; None for an empty box; BadParameter for what addresses no peak."""
+    if not entered.strip():
+        return None
+    try:
+        value = float(entered)
+    except ValueError as e:
+        raise BadParameter("enter a positive number") from e
+    if not math.isfinite(value) or value <= 0:
+        raise BadParameter("enter a positive number")
+    if unit == "d":
+        ratio = physics.WAVELENGTH / (2 * value)
+        if ratio > 1:
+            raise BadParameter(f"no reflection exists at d = {value} for the assumed wavelength")
+        value = 2 * math.degrees(math.asin(ratio))
+    if not low <= value <= high:
+        raise BadParameter(f"{value:.2f} lies outside {low} to {high} degrees")
+    return value
+
+
+def describe(target: float | None, tolerance: float, entered: float | None = None, low_confidence: bool = False, filters: tuple[str, ...] = ()) -> str:
+    """One line that says what a search asked for; a spacing names the wavelength it assumed."""
+    parts = []
+    if target is not None:
+        window = f"±{tolerance:g}° 2θ (widened per curve to that curve's axis uncertainty)"
+        what = f"{target:.6g}° 2θ" if entered is None else f"d = {entered:.6g} Å = {target:.3f}° 2θ [assumed λ {physics.WAVELENGTH} Å]"
+        parts = [f"first peak at {what}, {window}", "first-peak status ok or low_confidence" if low_confidence else "first-peak status ok only"]
+    return "; ".join([*parts, *filters])

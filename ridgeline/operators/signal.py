@@ -260,7 +260,7 @@ def descriptors(x: np.ndarray, y: np.ndarray, peak: tuple[float, float] | None =
     open_ = (gx >= gx[0] + 0.5) & (gx <= gx[-1] - 0.5)
     if peak is not None:
         open_ &= np.abs(gx - peak[0]) > max(1.5, 3 * peak[1])
-    out["hump_status"] = "no_hump"
+    out["hump_status"] = "no_hump_detected"
     if open_.sum() < 10:
         return out
     span = float(v.max() - v.min())

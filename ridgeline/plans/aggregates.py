@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ridgeline.functions import text
+from ridgeline.functions import vocabulary as V
 from ridgeline.operators import groups
 from ridgeline.plans.registry import query, table
 
@@ -58,13 +60,14 @@ def a7_figure_quarantine(spark, sf_dir):
 
 
 _NAMES = "SELECT p_brand, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) WHEN 2 THEN '<i>' || p_name || '</i>' ELSE replace(p_name, ' ', '-') END AS label FROM part"
+_NOT_SPECIFIC = "length(g.key) < 3 OR g.key IN (" + ", ".join(f"'{w}'" for w in V.GENERIC) + ")" + "".join(f" OR regexp_matches(g.key, '{p}')" for p in text.key_patterns().values())
 _KEY = "regexp_replace(lower(regexp_replace(label, '</?[a-zA-Z][^>]{0,40}>', '', 'g')), '[^a-z0-9@/]', '', 'g')"
 
 
 @query(f"""WITH n AS (SELECT p_brand, trim(regexp_replace(label, '\\s+', ' ', 'g')) AS label, {_KEY} AS key FROM ({_NAMES})),
 v AS (SELECT key, label, count(*) AS n FROM n GROUP BY key, label), d AS (SELECT key, label, row_number() OVER (PARTITION BY key ORDER BY n DESC, length(label), label) AS r FROM v),
 g AS (SELECT key, count(*) AS curve_count, count(DISTINCT p_brand) AS paper_count, count(DISTINCT label) AS n_variants FROM n GROUP BY key)
-SELECT g.key, d.label AS display_name, curve_count, paper_count, n_variants, CASE WHEN n_variants = 1 THEN 'exact' ELSE 'normalized' END AS match_basis, paper_count >= 2 AS publishable FROM g JOIN d ON g.key = d.key AND r = 1""")
+SELECT g.key, d.label AS display_name, curve_count, paper_count, n_variants, CASE WHEN n_variants = 1 THEN 'label_identical' ELSE 'label_normalised' END AS match_basis, paper_count >= 2 AND NOT ({_NOT_SPECIFIC}) AS publishable FROM g JOIN d ON g.key = d.key AND r = 1""")
 def a8_label_groups(spark, sf_dir):
     n = F.col("p_partkey") % 4
     label = F.when(n == 0, F.col("p_name")).when(n == 1, F.upper("p_name")).when(n == 2, F.concat(F.lit("<i>"), "p_name", F.lit("</i>"))).otherwise(F.replace("p_name", F.lit(" "), F.lit("-")))
@@ -100,13 +103,15 @@ def a13_one_hot(spark, sf_dir):
     return part.select("p_partkey", F.coalesce((F.col("p_type") == F.lit(top[0])).cast("int"), F.lit(0)).alias("is_1"), F.coalesce((F.col("p_type") == F.lit(top[1])).cast("int"), F.lit(0)).alias("is_2"), F.when(F.col("p_size").between(5, 40), F.col("p_size")).alias("size_ok"))
 
 
-@query("""WITH t AS (SELECT doc_id, trim(x) AS x FROM documents, unnest(string_split_regex(left(text, 200), '[;,]')) AS u(x)),
-c AS (SELECT doc_id, CASE WHEN x ILIKE '%the%' THEN 'article' WHEN x ILIKE '%tion%' THEN 'noun' WHEN x ILIKE '%ing%' THEN 'verb' END AS c FROM t)
-SELECT doc_id, array_to_string(list_sort(list(DISTINCT c)), '+') AS classes FROM c WHERE c IS NOT NULL GROUP BY doc_id""")
+_USES = "CASE p_partkey % 7 WHEN 0 THEN 'Photocatalysis; CO2 capture' WHEN 1 THEN 'dye removal, Sensing' WHEN 2 THEN 'H2 storage' WHEN 3 THEN 'Fuel cell;; battery' WHEN 4 THEN 'drug delivery, OER' WHEN 5 THEN 'unknown' END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, trim(lower(x)) AS x FROM part, unnest(string_split_regex({_USES}, '[;,]')) AS u(x)),
+c AS (SELECT p_partkey, CASE """ + " ".join("WHEN " + " OR ".join(f"contains(x, '{m}')" for m in marks) + f" THEN '{k}'" for k, marks in V.APPLICATIONS) + """ END AS c FROM t WHERE x <> '')
+SELECT p_partkey, array_to_string(list_sort(list(DISTINCT c)), '+') AS classes FROM c WHERE c IS NOT NULL GROUP BY p_partkey""")
 def a15_multi_label(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.left("text", F.lit(200)), "[;,]")).alias("x"))
-    c = F.when(F.col("x").ilike("%the%"), "article").when(F.col("x").ilike("%tion%"), "noun").when(F.col("x").ilike("%ing%"), "verb")
-    return rows.select("doc_id", c.alias("c")).where("c is not null").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("c")), "+").alias("classes"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", text.applications(F.expr(_USES)).alias("c"))
+    return rows.where(F.size("c") > 0).select("p_partkey", F.array_join("c", "+").alias("classes"))
 
 
 @query("SELECT p_type, count(*) AS n, count(*) FILTER (WHERE p_size < 10) AS hits FROM part GROUP BY p_type HAVING n >= 15")

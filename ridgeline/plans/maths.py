@@ -173,3 +173,17 @@ def m25_euclidean(spark, sf_dir):
 def m26_cost(spark, sf_dir):
     low, high = physics.cost_range(F.col("p_size"), F.col("p_partkey") % 6, 0.02, 0.15)
     return table(spark, sf_dir, "part").select("p_partkey", low.alias("low"), high.alias("high"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN o > 0.18 THEN 'text_overlap' WHEN s < greatest(6.0::DOUBLE, 0.22::DOUBLE * 60) THEN 'short_span' WHEN c < 0.08 AND f > 1.8 THEN 'sparse_support' WHEN d < 0.22 AND f > 1.6 THEN 'poor_density'
+WHEN l_linenumber % 2 = 0 AND (s < greatest(10.0::DOUBLE, 0.55::DOUBLE * 60) OR c < 0.2 OR o > 0.08) THEN 'single_curve_figure' END AS reason
+FROM (SELECT *, l_tax * 2.5::DOUBLE AS o, l_quantity AS s, l_discount * 2 AS c, l_discount * 4 AS d, 1 + l_tax * 20 AS f FROM lineitem)""")
+def x2_trace_rejection(spark, sf_dir):
+    m = {"text_overlap": F.col("l_tax") * 2.5, "degree_span": F.col("l_quantity"), "support_coverage": F.col("l_discount") * 2, "support_density": F.col("l_discount") * 4, "fill_inflation": 1 + F.col("l_tax") * 20}
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", calibration.trace_rejection(m, F.lit(60.0), F.col("l_linenumber") % 2 == 0).alias("reason"))
+
+
+@query()
+def x1_tick_repair(spark, sf_dir):
+    ticks = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.struct((i * 50.0).alias("px"), F.when(i == F.col("p_size") % 6, 1.0).otherwise(10.0 + i * 10).alias("value")))
+    return calibration.repair_ticks(table(spark, sf_dir, "part").select("p_partkey", ticks.alias("ticks")), "p_partkey")

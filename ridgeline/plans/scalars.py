@@ -97,7 +97,7 @@ def f13_quality_reasons(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", status.alias("quality"), F.array_join(why, ";").alias("reasons"))
 
 
-_HUMP = "CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN 'not_computed' WHEN l_discount > 0.08 THEN 'window_not_covered' WHEN l_tax > 0.04 THEN 'hump_detected' ELSE 'no_hump' END"
+_HUMP = "CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10 THEN 'not_computed' WHEN l_discount > 0.08 THEN 'window_not_covered' WHEN l_tax > 0.04 THEN 'hump_detected' ELSE 'no_hump_detected' END"
 
 
 @query(f"SELECT l_orderkey, l_linenumber, {_HUMP} AS status FROM (SELECT * REPLACE (nullif(l_quantity, 25) AS l_quantity) FROM lineitem)")

@@ -111,9 +111,10 @@ def s21_cache_key(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", files.cache_key(F.col("p_name"), F.col("p_type"), F.col("p_size").cast("string")).alias("key"))
 
 
-@query("SELECT class, count(*) AS n FROM (SELECT CASE WHEN regexp_matches(u, '\\.(csv|csv\\.gz|json)$') THEN 'data' WHEN regexp_matches(u, '(^|/)(overlay|replot|preview)[^/]*\\.(png|svg|pdf)$') THEN 'own' WHEN regexp_matches(u, '\\.(png|jpe?g|tiff?|gif|pdf)$') THEN 'publisher' ELSE 'other' END AS class FROM (SELECT url || CASE WHEN page_id % 3 = 0 THEN '.png' ELSE '' END AS u FROM pages)) GROUP BY class")
+@query("SELECT CASE page_id % 4 WHEN 0 THEN 'publisher_derived' WHEN 1 THEN 'data' WHEN 2 THEN 'own_replot' ELSE 'unclassified' END AS class, count(*) AS n FROM pages GROUP BY 1")
 def s22_object_walk(spark, sf_dir):
-    u = F.concat("url", F.when(F.col("page_id") % 3 == 0, ".png").otherwise(""))
+    n = F.col("page_id") % 4
+    u = F.concat(F.lit("papers/"), "page_id", F.when(n == 0, "/page-3.png").when(n == 1, "/points.csv.gz").when(n == 2, "/digitized.webp").otherwise("/x.bin"))
     return table(spark, sf_dir, "pages").select(text.object_class(u).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 

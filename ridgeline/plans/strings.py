@@ -72,15 +72,16 @@ def t7_name_key(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", text.name_key(F.col("c_name")).alias("name"))
 
 
-@query("SELECT p_partkey, CASE WHEN x <> '' THEN replace(x, '_', '/') END AS doi FROM (SELECT p_partkey, regexp_extract(CASE WHEN p_partkey % 3 = 0 THEN 'file_10.1021_' || p_partkey || '_x' ELSE 'none' END, '(10\\.[0-9]{4,9}[_/][A-Za-z0-9._()/-]+)', 1) AS x FROM part)")
+@query(f"SELECT p_partkey, CASE WHEN x <> '' THEN replace(x, '_', '/') END AS doi FROM (SELECT p_partkey, regexp_extract(CASE p_partkey % 3 WHEN 0 THEN 'file_10.1021_' || p_partkey || '_x' WHEN 1 THEN '10.1000.' || p_partkey ELSE 'none' END, '{V.DOI_IN_NAME}', 1) AS x FROM part)")
 def t8_doi_in_name(spark, sf_dir):
-    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("file_10.1021_"), "p_partkey", F.lit("_x"))).otherwise("none")
+    n = F.col("p_partkey") % 3
+    name = F.when(n == 0, F.concat(F.lit("file_10.1021_"), "p_partkey", F.lit("_x"))).when(n == 1, F.concat(F.lit("10.1000."), "p_partkey")).otherwise("none")
     return table(spark, sf_dir, "part").select("p_partkey", text.doi_in_name(name).alias("doi"))
 
 
-@query("SELECT page_id, regexp_replace(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages")
+@query("SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(lower(trim(u)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'item') AS slug FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN ' -- ' ELSE url END AS u FROM pages)")
 def t9_slug(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.slug(F.col("url")).alias("slug"))
+    return table(spark, sf_dir, "pages").select("page_id", text.slug(F.when(F.col("page_id") % 9 == 0, " -- ").otherwise(F.col("url"))).alias("slug"))
 
 
 @query("SELECT doc_id, round(1 / (1 + exp(-(" + " + ".join(f"CASE WHEN contains(lower(text), '{k}') THEN {w} ELSE 0 END" for k, w in V.KEYWORDS + V.KEYWORDS_AGAINST) + "))), 4) AS score FROM documents")
@@ -166,8 +167,8 @@ def t18_title(spark, sf_dir):
 _TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 
 
-@query(f"""SELECT page_id, length(trim(t)) BETWEEN 20 AND 500 AND len(regexp_extract_all(trim(t), '[A-Za-z]')) >= 10 AND len(string_split_regex(trim(t), '\\s+')) >= 4
-AND NOT regexp_matches(lower(trim(t)), '^10\\.[0-9]{{4,}}/|\\.(pdf|docx?|tex|indd)$|^(microsoft word|untitled|doi)|[0-9]+\\.\\.[0-9]+') AS usable FROM (SELECT page_id, {_TITLE} AS t FROM pages)""")
+@query(f"""SELECT page_id, length(t) BETWEEN 20 AND 500 AND len(regexp_extract_all(t, '[A-Za-z]')) >= 10 AND len(string_split_regex(t, '\\s+')) >= 4
+AND NOT (regexp_matches(t, '{V.TITLE_DOI}') OR regexp_matches(t, '{V.TITLE_PAGE_RANGE}') OR regexp_matches(lower(t), '{V.TITLE_FILES}') OR regexp_matches(lower(t), '{"|".join(V.TITLE_BAD)}')) AS usable FROM (SELECT page_id, trim({_TITLE}) AS t FROM pages)""")
 def t19_usable_title(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.usable_title(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("usable"))
 
@@ -202,17 +203,17 @@ def t22_title_stamp(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.without_stamp(t).alias("title"), text.is_notice(t).alias("notice"))
 
 
-@query("SELECT p_partkey, CASE WHEN regexp_matches(lower(t), '\\baa\\b|eclips') THEN 'AA' WHEN regexp_matches(lower(t), '\\bab\\b|stagger') THEN 'AB' END AS stacking FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Eclipsed ' WHEN 1 THEN 'AB ' WHEN 2 THEN 'staggered ' ELSE '' END || p_name AS t FROM part)")
+@query("SELECT p_partkey, CASE WHEN regexp_matches(lower(t), '\\baa\\b|eclips') THEN 'AA / eclipsed' WHEN regexp_matches(lower(t), '\\bab\\b|stagger') THEN 'AB / staggered' END AS stacking FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Eclipsed ' WHEN 1 THEN 'AB ' WHEN 2 THEN 'staggered ' ELSE '' END || p_name AS t FROM part)")
 def t23_stacking(spark, sf_dir):
     n = F.col("p_partkey") % 4
     t = F.concat(F.when(n == 0, "Eclipsed ").when(n == 1, "AB ").when(n == 2, "staggered ").otherwise(""), "p_name")
     return table(spark, sf_dir, "part").select("p_partkey", text.stacking(t).alias("stacking"))
 
 
-@query("SELECT p_partkey, regexp_matches(t, '(?i)\\b(after|treated|annealed|activated|soaked|recycled|exposed)\\b') AS treated FROM (SELECT p_partkey, p_name || CASE WHEN p_size % 3 = 0 THEN ' After HCl' ELSE ' thereafter' END AS t FROM part)")
+@query(f"SELECT p_partkey, regexp_matches(t, '{V.TREATED}') AS treated FROM (SELECT p_partkey, p_name || CASE p_size % 3 WHEN 0 THEN ' 1 M HCl' WHEN 1 THEN ' Calcined' ELSE '' END AS t FROM part)")
 def t24_treated(spark, sf_dir):
-    t = F.concat("p_name", F.when(F.col("p_size") % 3 == 0, " After HCl").otherwise(" thereafter"))
-    return table(spark, sf_dir, "part").select("p_partkey", text.treated(t).alias("treated"))
+    n = F.col("p_size") % 3
+    return table(spark, sf_dir, "part").select("p_partkey", text.treated(F.concat("p_name", F.when(n == 0, " 1 M HCl").when(n == 1, " Calcined").otherwise(""))).alias("treated"))
 
 
 @query("SELECT p_partkey, array_to_string(list_sort([p_brand, p_type]), '+') AS family FROM part")
@@ -233,18 +234,18 @@ def t27_chunks(spark, sf_dir):
     return mining.chunks(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", 3, 1).select("conv_id", "start", "turns", F.md5(F.col("text").cast("binary")).alias("h"))
 
 
-@query("SELECT page_id, regexp_matches(url, '^[A-Za-z0-9][A-Za-z0-9._()-]{0,199}$') AS whole, regexp_matches(split_part(url, '/', 3), '^[A-Za-z0-9][A-Za-z0-9._()-]{0,199}$') AS host FROM pages")
+@query(f"SELECT page_id, regexp_matches(url, '{V.IDENTIFIER}') AS whole, regexp_matches(split_part(url, '/', 3), '{V.IDENTIFIER}') AS host FROM pages")
 def t29_valid_id(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.valid_id(F.col("url")).alias("whole"), text.valid_id(F.split_part("url", F.lit("/"), F.lit(3))).alias("host"))
 
 
-_OBJ = "CASE p_partkey % 5 WHEN 0 THEN 'a/b.csv.gz' WHEN 1 THEN 'x/overlay_1.png' WHEN 2 THEN 'fig.jpeg' WHEN 3 THEN 'm.json' ELSE 'readme' END"
+_OBJECTS = ["a/b.csv.gz", "x/digitized.webp", "p/fig_overlay-2.PNG", "page_012.jpg", "source.png.gz", "replot_qa.png", "m.json", "readme", "my.photo.png", ".emptyFolderPlaceholder"]
+_CLASSES = ["data", "own_replot", "publisher_derived", "publisher_derived", "publisher_derived", "own_replot", "data", "unclassified", "unclassified", "data"]
 
 
-@query(f"SELECT p_partkey, CASE WHEN regexp_matches(n, '\\.(csv|csv\\.gz|json)$') THEN 'data' WHEN regexp_matches(n, '(^|/)(overlay|replot|preview)[^/]*\\.(png|svg|pdf)$') THEN 'own' WHEN regexp_matches(n, '\\.(png|jpe?g|tiff?|gif|pdf)$') THEN 'publisher' ELSE 'other' END AS class FROM (SELECT p_partkey, {_OBJ} AS n FROM part)")
+@query("SELECT p_partkey, CASE p_partkey % 10 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CLASSES)) + " END AS class FROM part")
 def t30_object_class(spark, sf_dir):
-    n = F.col("p_partkey") % 5
-    name = F.when(n == 0, "a/b.csv.gz").when(n == 1, "x/overlay_1.png").when(n == 2, "fig.jpeg").when(n == 3, "m.json").otherwise("readme")
+    name = F.element_at(F.array(*map(F.lit, _OBJECTS)), (F.col("p_partkey") % 10 + 1).cast("int"))
     return table(spark, sf_dir, "part").select("p_partkey", text.object_class(name).alias("class"))
 
 

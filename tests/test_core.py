@@ -181,3 +181,18 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_query_without_sql_runs(spark, name):
     assert registry.queries()[name](spark, DATA).count() >= 1
+
+
+def test_targets_and_descriptions():
+    assert search.peak_target("  ") is None and search.peak_target("3.4") == 3.4
+    assert search.peak_target("26", "d") == pytest.approx(3.3955, abs=1e-3)
+    for bad, unit in (("x", "two_theta"), ("-1", "two_theta"), ("95", "two_theta"), ("0.5", "d")):
+        with pytest.raises(search.BadParameter):
+            search.peak_target(bad, unit)
+    assert "±0.1°" in search.describe(3.4, 0.1) and "assumed" in search.describe(3.4, 0.1, 26.0)
+
+
+def test_tick_repair_and_label_spread():
+    assert calibration.repaired_ticks([(0, 10), (50, 20), (100, 3), (150, 40)]) == [(0.0, 10.0), (50.0, 20.0), (100.0, 30.0), (150.0, 40.0)]
+    assert calibration.repaired_ticks([(0, 5)]) == [(0, 5)]
+    assert calibration.spread_labels([1, 1, 9.5], 2, 0, 10) == [1, 3, 9.5]
