@@ -15,7 +15,7 @@ def corpus(spark, folder):
     base = [prose(rng, rng.randrange(60, 120)) for _ in range(20)]
     items = [prose(rng, 20) for _ in range(4)]
     texts = base + [base[0], base[1] + " tail", base[2] + " " + items[0], items[1].upper() + " " + base[3]]
-    texts += [base[4] + ' token = "0123456789abcdef0123456789abcdef"', "short", None, "", "again and again " * 60]
+    texts += [prose(rng, 70) + ' token = "0123456789abcdef0123456789abcdef"', "short", None, "", "again and again " * 60]
     rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, DOCUMENTS)
     docs.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
