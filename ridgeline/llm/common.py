@@ -165,3 +165,50 @@ def numbered(df: DataFrame, group: str, ties: list[Column], slot: str, cells: in
         .withColumn(slot, (F.col(base) + F.row_number().over(inner) - 1).cast("long"))
         .select(*names, slot)
     )
+
+
+#: Bits of a membership filter (8 MB packed, whatever the input).
+FILTER_BITS = 1 << 26
+_PART = 1 << 16
+
+
+def filter_bit(*columns: Column) -> Column:
+    """Place of a key in a membership filter."""
+    return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed bits of each part of the filter that this task holds."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        part, low = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        for c in np.unique(part):
+            held.setdefault(int(c), np.zeros(_PART, bool))[low[part == c]] = True
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(b).tobytes() for b in held.values()], pa.binary())], names=["part", "bits"])
+
+
+def membership(keys: DataFrame, bit: Column):
+    """Broadcast packed filter of the bits of keys. A key of the table always passes; others rarely do, ever more often as
+    the table outgrows the filter, so that users of it must check what passes."""
+    bits = keys.select((bit / _PART).cast("int").alias("part"), F.pmod(bit, F.lit(_PART)).cast("int").alias("low"))
+    packed = np.zeros(FILTER_BITS // 8, np.uint8)
+    step = _PART // 8
+    for r in bits.repartition("part").mapInArrow(_packed, "part int, bits binary").toLocalIterator():
+        packed[r.part * step : (r.part + 1) * step] = np.frombuffer(r.bits, np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(packed)
+
+
+def passes(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (packed[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1 == 1
+
+
+def might_hold(shared):
+    """Arrow-batched column function: whether a bit of a shared filter is set."""
+    import pandas as pd
+
+    def test(bits):
+        return pd.Series(passes(shared.value, bits.to_numpy(np.int64)))
+
+    test.__annotations__ = {"bits": pd.Series, "return": pd.Series}
+    return F.pandas_udf(test, "boolean")

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import cut, mix, pruned, shingles, slices, utf8, words
+from ridgeline.llm.common import FILTER_BITS, cut, filter_bit, membership, might_hold, mix, passes, pruned, shingles, slices, utf8, words
 
 #: Counters of the frequency sketch: one byte each (an eighth of a power of two) once summed, 16 MB broadcast, whatever
 #: the input.
@@ -41,8 +41,6 @@ SLOTS = 1 << 24
 CHUNK = 1 << 14
 #: Classes in a block of a large tile.
 BLOCK = 2048
-#: Bits of the filter that says whose sets are needed (fixed size).
-FILTER_BITS = 1 << 22
 #: Lengths l that a prefix may choose from.
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 
@@ -289,18 +287,19 @@ def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _whole(batches: Iterator[pa.RecordBatch], k: int, wanted) -> Iterator[pa.RecordBatch]:
     """Whole sets of the classes that pass the filter (a few more may)."""
-    bits = np.unpackbits(wanted.value)
     for batch in batches:
         for i, j, value, row in _sets(batch, k):
             digests, sizes = _digests(value, row, j - i)
             ends = np.cumsum(sizes)
-            out = [(d, value[e - s : e].tobytes()) for d, s, e in zip(digests, sizes, ends) if d is not None and bits[_bit(d)]]
+            has = np.flatnonzero(sizes)
+            ok = has[passes(wanted.value, np.array([_bit(digests[r]) for r in has], np.int64))]
+            out = [(digests[r], value[ends[r] - sizes[r] : ends[r]].tobytes()) for r in ok]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.binary())], names=["cls", "tokens"])
 
 
 def _bit(cls: bytes) -> int:
-    return int.from_bytes(cls[:3], "big") % FILTER_BITS
+    return int.from_bytes(cls[:4], "big") % FILTER_BITS
 
 
 _LINKS = "cls binary, other binary, links long"
@@ -392,11 +391,7 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text
     kept = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _filtered(it, percent), _KEPT)
     kept = cut(kept)
 
-    bits = np.zeros(FILTER_BITS, bool)
-    need = kept.select(F.pmod(F.conv(F.hex(F.substring("cls", 1, 3)), 16, 10).cast("long"), F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
-    for part in need.toArrow().column(0).chunks:  # at most FILTER_BITS rows of 4 bytes
-        bits[np.asarray(part)] = True
-    wanted = spark.sparkContext.broadcast(np.packbits(bits))
+    wanted = membership(kept.select("cls").distinct(), F.pmod(F.conv(F.hex(F.substring("cls", 1, 4)), 16, 10).cast("long"), F.lit(FILTER_BITS)))
     sets = base.mapInArrow(lambda it: _whole(it, k, wanted), "cls binary, tokens binary").groupBy("cls").agg(F.first("tokens").alias("tokens"))
     ready = kept.join(sets, "cls").select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "tokens")
     linked = cut(ready.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _verified(it, percent), _LINKS))
@@ -414,8 +409,13 @@ def deduplicated(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 
     Repeated rows of one id are one document; rows without an id stay.
     """
-    gone = ngram_join(docs, k, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
-    seen = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return seen.unionByName(left.where("doc_id is null"))
-
+    joined = cut(ngram_join(docs, k, percent).select("doc_id", "component_id"))
+    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    again = joined.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__gone"))
+    # only rows that may go, or come twice, are moved; the filter lets all of those through
+    key = docs["doc_id"].cast("long")
+    doubted = membership(gone.union(again), filter_bit(F.col("__gone")))
+    doubt = F.coalesce(might_hold(doubted)(filter_bit(key)), F.lit(True))
+    sure = docs.where(~doubt)
+    left = docs.where(doubt).join(gone, key == gone["__gone"], "left_anti")
+    return sure.unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"])).unionByName(left.where("doc_id is null"))
