@@ -7,10 +7,12 @@ pages: pages that mark their content by a single article or main element. At mos
 their id) are counted, on top of fixed prior counts that serve where no page is labelled.
 
 Elements that never are article text (menus, forms, footers, sidebars, adverts, notices, reader comments, scripts,
-styles; told by element name, role, class or id) give no words.
+styles; told by element name, role, class or id) give no words. Inside an article or main element only containers are
+told by role, class or an unmistakable id, headings nowhere, and sections never by id: their names speak of the subject.
 
-Defined results: null and empty html give an empty text; unclosed elements end with their parent, truncated markup is
-dropped; character references are decoded once; repeated rows get equal rows. Extra columns are ignored.
+Defined results: null and empty html give an empty text; unclosed elements end with their parent, embedded ones (video,
+svg, object and the like) that are self-closed or never closed drop their tag only, truncated markup is dropped; the text
+of formulas is kept, annotations included; character references are decoded once; repeated rows get equal rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,8 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names and hints.
-RAW = "script style noscript template iframe svg math object canvas video audio textarea select title".split()
-SKIPPED = frozenset("nav aside footer form button menu dialog fieldset option datalist".split())
+RAW = frozenset("style textarea title iframe option".split())  # text up to the end tag, whatever it holds; an option's may be left out
+EMBEDDED = frozenset("noscript template svg object canvas video audio select".split())
+LABELS = frozenset("style title option".split())  # unclosed, they still own the text up to the next tag
+MATH = frozenset(
+    "math mi mn mo ms mspace mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split()
+)
+CONTAINERS = frozenset("div section ul ol li dl table tbody tr td header details figure center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+SKIPPED = frozenset("nav aside footer form button menu dialog fieldset datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROOTS = frozenset("html body main article".split())
@@ -37,10 +46,13 @@ HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot sidebar side aside widget widgets related recommended recommendations comment comments commentlist respond reply replies disqus discussion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social pagination pager toolbar login search searchform form copyright legal".split()
 )
 HEADS = frozenset("header masthead topbar".split())
+#: An id inside the content tells page furniture only if it says nothing else.
+FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox banner sponsored nav navbar navigation menubar breadcrumb breadcrumbs sidebar widget widgets comments commentlist respond disqus gdpr newsletter pagination pager toolbar".split())
+FILLERS = frozenset("area block box container form list section thread wrap wrapper".split())
 
-_RAW = "|".join(RAW)
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^<>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<script(?=[\s/>])[^>]*>.*?(?:</script(?=[\s/>])[^>]*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^<>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 _PARTS = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -57,19 +69,65 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         return False
     if tag == "header" and not inside:
         return True
+    told = tag not in HEADINGS and (not inside or tag in CONTAINERS or "-" in tag)
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
             return True
+        if not told:
+            continue
         if name == "role" and value.lower() in ROLES:
             return True
         if name in ("class", "id"):
             parts = set(_PARTS.findall(_CAMEL.sub(" ", value).lower()))
-            if parts & HINTS or parts & HEADS and not inside:
+            if name == "id" and (inside or tag == "section"):
+                if not (inside and tag == "section") and parts & FURNITURE and all(x in FURNITURE or x in FILLERS or x.isdigit() for x in parts):
+                    return True
+            elif parts & HINTS or parts & HEADS and not inside:
                 return True
     return False
 
 
+def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, name, is an end tag, attributes) in page order; what leaves no trace has an empty name.
+
+    A raw or embedded element with its end tag is one such entry; without one, or self-closed, its tag alone is.
+    """
+    out: list[tuple[int, int, str, bool, str]] = []
+    opened: dict[str, list[int]] = {}
+    endless: set[str] = set()
+    at = 0
+    while m := _TOKEN.search(html, at):
+        at = m.end()
+        name = (m[2] or "").lower()
+        if name in RAW:
+            close = None
+            if not m[1] and not m[3].endswith("/"):
+                close = None if name in endless or name == "option" else _END[name].search(html, at)
+                if close is None:
+                    endless.add(name)
+                if close:
+                    at = close.end()
+                elif name in LABELS:
+                    at = n if (n := html.find("<", at)) >= 0 else len(html)
+            name = ""
+        elif name in EMBEDDED:
+            if m[1] and opened.get(name):
+                k = opened[name].pop()
+                for other in opened.values():  # what opened within has no end tag there
+                    while other and other[-1] > k:
+                        other.pop()
+                start = out[k][0]
+                del out[k:]
+                out.append((start, at, "", False, ""))
+                continue
+            if not m[1] and not m[3].endswith("/"):
+                opened.setdefault(name, []).append(len(out))
+            name = ""
+        out.append((m.start(), at, name, bool(m[1]), m[3] or ""))
+    return out
+
+
 def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, text, inside article or main) in page order: 'word' and 'link word' with raw text, 'tag' with a name, 'end' between blocks.
 
@@ -84,30 +142,29 @@ def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
         if part and not skipped:
             yield ("link word" if links else "word"), part, inside
 
-    for m in _TOKEN.finditer(html):
-        yield from text(html[at : m.start()])
-        at = m.end()
-        name = m[3]
-        if name is None:
+    for start, end, name, closing, attributes in _tags(html):
+        yield from text(html[at:start])
+        at = end
+        if not name:
             continue
-        name = name.lower()
-        if m[2]:
+        inline = name in INLINE or name in MATH or "-" in name
+        if closing:
             if any(x[0] == name for x in stack):
                 while (top := stack.pop())[0] != name:
                     links -= top[0] == "a"
                 links -= name == "a"
                 skipped, inside = stack[-1][1:] if stack else (False, False)
-            if name not in INLINE and not skipped:
+            if not inline and not skipped:
                 yield "end", "", inside
             continue
-        drop = skipped or _boilerplate(name, m[4], inside)
-        if not skipped and name not in INLINE:
+        drop = skipped or _boilerplate(name, attributes, inside)
+        if not skipped and not inline:
             yield "end", "", inside
-        if not drop:
+        if not drop and name not in MATH:
             yield "tag", name, inside
-        if name == "br":
+        if name in ("br", "mtd"):
             yield from text(" ")
-        if name in VOID or m[4].endswith("/") and name in ("svg", "path"):
+        if name in VOID or name in MATH and attributes.endswith("/"):
             continue
         if name == "a" and links:
             continue

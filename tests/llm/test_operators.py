@@ -164,6 +164,34 @@ def test_extract(html, text):
     assert html_extract.extract(html, WEIGHTS) == text
 
 
+KEPT = [
+    ('<p>one <svg-icon name="a"></svg-icon> two</p><p>three</p>', "one two\n\nthree"),
+    ("<p>one <video-js>two</video-js></p><title-bar>three</title-bar>", "one two\n\nthree"),
+    ("<p>one <object data='x'/> two</p><p>three <iframe src=y /></p><p>four</p>", "one two\n\nthree\n\nfour"),
+    ("<p>one <video src=x> two</p><p>three</p><iframe><p>four <svg>no<svg>no</svg>no</svg></p>", "one two\n\nthree\n\nfour"),
+    ("<p>one</p><canvas><p>two</p><canvas>no</canvas><p>three</p>", "one\n\ntwo\n\nthree"),
+    ("<select><option>no<option>no</select><p>one</p><textarea><p>no</textarea><p>two</p>", "one\n\ntwo"),
+    ("<p>one <math><mi>x</mi><mo>=</mo><mn>2</mn></math> two</p>", "one x=2 two"),
+    ("<section id='discussion'><h2 id='related-work' class='notice'>one</h2><p class='comment'>two</p></section><div id='legal-notice'>three</div>", "one\n\ntwo\n\nthree"),
+    ("<p>one</p><div class='related'>no</div><ul class='share'><li>no</ul><div id='comments-list'>no</div><script>'<p>no</p>'", "one"),
+]
+
+
+@pytest.mark.parametrize("html,text", KEPT)
+def test_article_text_is_kept(html, text):
+    assert html_extract.extract(f"<article><h1>T</h1><p>{'word ' * 20}</p>{html}<p>{'last ' * 20}</p></article>", WEIGHTS) == f"T\n\n{'word ' * 20}".strip() + f"\n\n{text}" + ("" if "<script>" in html else f"\n\n{'last ' * 20}".rstrip())
+
+
+def test_headings_outside_articles_are_kept():
+    html = f"<body><div><h2 id='discussion'>one</h2><p>{'word ' * 20}</p><section id='related-work'><p>two three four</p></section></div><section id='comments'><p>no</p></section></body>"
+    assert html_extract.extract(html, WEIGHTS) == f"one\n\n{'word ' * 20}".strip() + "\n\ntwo three four"
+
+
+def test_unclosed_elements_take_linear_time():
+    html = "<option>a<iframe><video><svg><title-bar>" * 20_000 + "</option>"
+    assert len(html_extract._tags(html)) == 100_001
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(6)
     for _ in range(100):
