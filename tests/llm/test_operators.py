@@ -271,6 +271,25 @@ def test_bands():
     assert quality.verdict(1.0, [], 0) == "ok"
 
 
+def test_rest_beyond_the_last_full_chunk_counts(spark):
+    import base64
+
+    c = __import__("zstandard").ZstdCompressor(level=3)
+    rng = random.Random(1)
+    sound = prose(rng, 2000, [a + b for a in "ba co di fu ge lo mi nu ta ve".split() for b in "ran ter ling so pe ste mond".split()])[:4096]
+    noise = base64.b85encode(rng.randbytes(8000)).decode()
+    text = sound + " " + noise[:4095] + " " + noise[4095:8094]
+    whole, chunks = quality.ratios(text.encode(), c)
+    assert whole <= 0.72 and [r > 0.72 for r in chunks] == [False, True, True]
+    assert quality.verdict(whole, chunks, len(text)) == "incompressible"
+    assert len(quality.ratios(text[:8191].encode(), c)[1]) == 2 and len(quality.ratios(text[:8192].encode(), c)[1]) == 2 and len(quality.ratios(text[:4095].encode(), c)[1]) == 0
+    # a rest of one byte is no second vote for the chunk before it
+    assert quality.verdict(0.6, [0.5, 0.5, 0.8, 0.8], 3 * 4096 + 1) == "ok" and quality.verdict(0.6, [0.5, 0.8, 0.8], 3 * 4096) == "incompressible"
+    df = frame(spark, [text, sound])
+    assert [(r.kept, r.n_chunks, r.reason) for r in quality.quality(df).orderBy("doc_id").collect()] == [(False, 3, "incompressible"), (True, 1, "ok")]
+    assert [r.doc_id for r in quality.good(df).collect()] == [1]
+
+
 def test_good_equals_quality(spark):
     rng = random.Random(2)
     df = frame(spark, [prose(rng, 80), "few words", None, "x " * 300])
