@@ -1,13 +1,14 @@
-"""Toxicity by a factorization machine over hashed terms.
+"""Toxicity by a factorization machine over learned terms.
 
-A text's distinct lower-cased words are hashed into `2**bits` terms. The machine's logit is a bias, a weight for each
-term, and for each pair of terms the inner product of two learned vectors, so that an insult together with a group
+A text's distinct lower-cased words, keyed by a 64-bit hash, are its terms. The machine's logit is a bias, a weight for
+each learned term, and for each pair of terms the inner product of two learned vectors, so that an insult together with a group
 mention can count for more than either alone. The pair sum costs one pass over the terms:
 half of (sum of vectors)^2 minus the sum of squared vectors.
 
 The machine is fitted on the driver, on at most `sample` labelled rows (those with the least hash of their id), by
-mini-batch AdaGrad with weight decay. Terms whose presence does not go with the label (a G-test statistic below
-`least`) keep zero weights, so that rare words of few texts are not learned by heart. Scoring reads every text whole.
+mini-batch AdaGrad with weight decay. Only terms whose presence goes with the label (a G-test statistic of `least` or
+more) are learned, so that rare words of few texts are not learned by heart; every other word, seen or not, adds nothing
+to a score. Scoring reads every text whole.
 
 Defined results: null and empty texts get the bias's score; several labels of one id count as their maximum; without
 labels of both kinds every score is the share of label 1 (0 without labels). Extra columns are ignored.
@@ -18,7 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +31,27 @@ from ridgeline.llm.common import crc_mod
 _WORD = re.compile(r"[^\W_]+")
 
 
-def terms(text: str | None, bits: int) -> np.ndarray:
-    """Distinct hashed words, sorted."""
+def terms(text: str | None) -> np.ndarray:
+    """Distinct words as 64-bit keys, sorted."""
     found = set(_WORD.findall(text.lower())) if text else ()
-    mask = (1 << bits) - 1
-    return np.unique(np.fromiter((crc32(w.encode()) & mask for w in found), np.int64, len(found)))
+    return np.unique(np.frombuffer(b"".join([blake2b(w.encode(), digest_size=8).digest() for w in found]), "<u8"))
 
 
 @dataclass
 class Machine:
+    """Weights and vectors of ids; with `keys` (sorted), ids are looked up there and others add nothing."""
+
     bias: float
     weights: np.ndarray
     vectors: np.ndarray
+    keys: np.ndarray | None = None
 
     def logit(self, ids: np.ndarray) -> float:
+        if self.keys is not None:
+            at = np.searchsorted(self.keys, ids)
+            inside = at < len(self.keys)
+            at = at[inside]
+            ids = at[self.keys[at] == ids[inside]]
         if not len(ids):
             return self.bias
         v = self.vectors[ids]
@@ -119,7 +127,18 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 18, rank: int =
     return Machine(bias, weights, vectors)
 
 
-def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, bits: int, **settings) -> Machine:
+def fit_keys(rows: list[np.ndarray], labels: np.ndarray, least: float = 12.0, **settings) -> Machine:
+    """`fit` on rows of 64-bit keys: those that pass the G-test are numbered, and the machine knows no others."""
+    vocabulary = np.unique(np.concatenate([np.zeros(0, "<u8"), *rows]))
+    rows = [np.searchsorted(vocabulary, r) for r in rows]
+    used = association(rows, labels, len(vocabulary)) >= least if len(vocabulary) else np.zeros(0, bool)
+    number = np.cumsum(used) - 1
+    machine = fit([number[r[used[r]]] for r in rows], labels, int(used.sum()).bit_length(), least=least, **settings)
+    machine.keys = vocabulary[used]
+    return machine
+
+
+def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, **settings) -> Machine:
     """Fits on at most `sample` labelled rows of (doc_id, text)."""
     given = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("y")).where("doc_id is not null and y is not null")
     given = given.groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -127,31 +146,31 @@ def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, bits: int
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [terms(t.as_py(), bits).astype(np.int32).tobytes() for t in batch.column(0)]
+            ids = [terms(t.as_py()).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1)], names=["ids", "y"])
 
     found = rows.join(F.broadcast(picked), "doc_id").select("text", "y")
     got = found.mapInArrow(hashed, "ids binary, y int").limit(2 * sample).toArrow()  # an id may have several rows
-    ids = [np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in got.column("ids")]
+    ids = [np.frombuffer(x.as_py(), "<u8") for x in got.column("ids")]
     y = np.asarray(got.column("y"), np.float64) if len(ids) else np.zeros(0)
     order = sorted(range(len(ids)), key=lambda i: (ids[i].tobytes(), y[i]))  # the order of arrival doesn't count
-    return fit([ids[i] for i in order], y[order] > 0 if len(order) else y, bits, **settings)
+    return fit_keys([ids[i] for i in order], y[order] > 0 if len(order) else y, **settings)
 
 
 _SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Column | None = None, threshold: float = 0.3, sample: int = 30_000, bits: int = 18, **settings) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Column | None = None, threshold: float = 0.3, sample: int = 30_000, **settings) -> DataFrame:
     """doc_id, held_out, score and predicted of every row; rows where held_out is true are never learned from."""
     out = crc_mod(docs["doc_id"], 4) == 2 if held_out is None else held_out
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["text"].cast("string").alias("text"))
     allowed = labels if held_out is not None else labels.where(crc_mod(labels["doc_id"], 4) != 2)
-    machine = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")).select("doc_id", "text"), allowed, label, sample, bits, **settings))
+    machine = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")).select("doc_id", "text"), allowed, label, sample, **settings))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = machine.value
         for batch in batches:
-            score = np.array([m.score(terms(t.as_py(), bits)) for t in batch.column(2)], float)
+            score = np.array([m.score(terms(t.as_py())) for t in batch.column(2)], float)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     return rows.mapInArrow(scored, _SCHEMA)

@@ -443,6 +443,28 @@ def test_machine_learns_pairs():
     assert score(1, 2, 9) > 0.5 > max(score(1, 9), score(2, 9), score(9))
 
 
+def test_unlearned_words_score_nothing(spark):
+    """'ndingha' and 'chverst' share 18 bits of crc32 with the insults 'pathetic' and 'scum'."""
+    rng = random.Random(17)
+    bad = [i % 3 == 0 for i in range(400)]
+    texts = [prose(rng, 30) + (" you pathetic scum" if b else "") for b in bad] + ["ndingha", "chverst ndingha", "qqq", "", "pathetic scum"]
+    given = spark.createDataFrame([(i, int(b)) for i, b in enumerate(bad)], "doc_id long, toxic int")
+    score = {r.doc_id: (r.score, r.predicted) for r in toxicity.toxicity(frame(spark, texts), given).where("doc_id >= 400").collect()}
+    assert score[400] == score[401] == score[402] == score[403] and score[403][1] == 0 and score[404][1] == 1
+
+
+def test_keys_decide_as_numbers_do():
+    rng = random.Random(18)
+    rows, y = [], []
+    for _ in range(600):
+        bad = rng.random() < 0.4
+        rows.append(np.unique(np.array(rng.sample(range(2**60, 2**60 + 40), 5) + [2**64 - 1] * bad, np.uint64)))
+        y.append(bad)
+    m = toxicity.fit_keys(rows, np.array(y))
+    assert m.keys.tolist() == [2**64 - 1] and len(m.weights) == 2
+    assert m.score(rows[0][:0]) == m.score(np.array([1, 2**64 - 2], np.uint64)) < 0.3 < m.score(np.array([5, 2**64 - 1], np.uint64))
+
+
 def test_toxicity(spark):
     rng = random.Random(16)
     texts, labels = [], []
