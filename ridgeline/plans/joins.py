@@ -67,6 +67,15 @@ def j12_tiered_match(spark, sf_dir):
     return joins.tiered_match(a, b, "p_brand", "a", "b", "p_partkey", "row_id")
 
 
+@query()
+def j12_tiered_match_whole(spark, sf_dir):
+    """Names against types of the whole table; the SQL above names a part of the rows and stays as it is."""
+    part = table(spark, sf_dir, "part")
+    a = part.select("p_partkey", "p_brand", text.name_key(F.col("p_name")).alias("a"))
+    b = part.select(F.col("p_partkey").alias("row_id"), "p_brand", text.name_key(F.col("p_type")).alias("b"))
+    return joins.tiered_match(a, b, "p_brand", "a", "b", "p_partkey", "row_id")
+
+
 @query("""WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus AS k, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 0),
 b AS (SELECT o_orderkey AS other, o_custkey, o_orderstatus AS k, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 1)
 SELECT o_custkey, k, o_orderkey, other FROM a LEFT JOIN b USING (o_custkey, k, n)""")
