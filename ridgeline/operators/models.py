@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
@@ -42,15 +44,44 @@ def principal(rows: DataFrame, vector: str, k: int) -> DataFrame:
 
 
 def neighbour_enrichment(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Observed over expected share of neighbours with one's own family, inside and across papers.
-
-    pairs (q, vec_id), labels (vec_id, family, paper)."""
-    a = labels.select(F.col("vec_id").alias("q"), F.col("family").alias("f"), F.col("paper").alias("p"))
-    rows = pairs.join(a, "q").join(labels, "vec_id")
-    seen = rows.agg(F.avg((F.col("f") == F.col("family")).cast("double")).alias("observed"), F.avg(F.when(F.col("p") != F.col("paper"), (F.col("f") == F.col("family")).cast("double"))).alias("observed_across"))
-    n = labels.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
-    chance = n.agg((F.sum(F.col("n") * (F.col("n") - 1)) / (F.sum("n") * (F.sum("n") - 1))).alias("chance"))
-    return seen.crossJoin(F.broadcast(chance)).select("observed", "observed_across", "chance", (F.col("observed") / F.col("chance")).alias("enrichment"))
+    """Observed and expected share of neighbours from one's own paper, and of one's own family in other papers.
+
+    pairs (q, vec_id) of every asked row, labels (vec_id, family, paper). Rows without a family, or whose family is in no
+    other paper, count for papers only; each row's chance is its number of such rows over all others."""
+    n = lambda name, *by: F.count(F.lit(1)).over(Window.partitionBy(*by)).alias(name)
+    total = labels.agg(F.count(F.lit(1)).alias("total"))
+    own = labels.select("vec_id", "family", "paper", n("in_paper", "paper"), n("in_family", "family"), n("in_both", "family", "paper")).crossJoin(F.broadcast(total))
+    a = own.select(F.col("vec_id").alias("q"), F.col("family").alias("f"), F.col("paper").alias("p"), ((F.col("in_paper") - 1) / (F.col("total") - 1)).alias("cp"), F.when(F.coalesce(F.col("family").cast("string"), F.lit("")) != "", (F.col("in_family") - F.col("in_both")) / (F.col("total") - 1)).alias("cf"))
+    same = F.col("p").eqNullSafe(F.col("paper"))
+    rows = pairs.select("q", "vec_id").join(a, "q").join(labels.select("vec_id", "family", "paper"), "vec_id")
+    each = rows.groupBy("q").agg(F.avg(same.cast("double")).alias("op"), F.avg((~same & F.col("f").eqNullSafe(F.col("family"))).cast("double")).alias("of"), F.first("cp").alias("cp"), F.first("cf").alias("cf"))
+    counts = F.col("cf") > 0
+    seen = each.agg(F.count(F.lit(1)).alias("n_asked"), F.avg("op").alias("paper_observed"), F.avg("cp").alias("paper_chance"), F.count_if(counts).alias("n_family"), F.avg(F.when(counts, F.col("of"))).alias("family_observed"), F.avg(F.when(counts, F.col("cf"))).alias("family_chance"))
+    return seen.select("*", F.try_divide("paper_observed", "paper_chance").alias("paper_enrichment"), F.try_divide("family_observed", "family_chance").alias("family_enrichment"))
+
+
+def all_neighbours(rows: DataFrame, k: int = 10, block: int = 2048) -> DataFrame:
+    """(q, vec_id, place): exact nearest rows of every row by Euclidean distance over `components`, block against block."""
+    blocks = max(1, -(-rows.count() // block))
+    own, other = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = rows.select(F.col("vec_id").alias("q"), "components", own.cast("int").alias("a"), other.alias("b"))
+    right = rows.select("vec_id", "components", own.cast("int").alias("b"), other.alias("a"))
+
+    def nearest(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        out = {"q": [], "vec_id": [], "d": []}
+        if len(asked) and len(there):
+            there = there.sort_values("vec_id")
+            ids, y = there["vec_id"].to_numpy(), np.stack(there["components"])
+            for q, x in zip(asked["q"], asked["components"]):
+                d = ((y - x) ** 2).sum(1)
+                best = [i for i in np.argsort(d, kind="stable")[: k + 1] if ids[i] != q][:k]
+                out["q"] += [q] * len(best)
+                out["vec_id"] += ids[best].tolist()
+                out["d"] += d[best].tolist()
+        return pd.DataFrame(out).astype({"q": "int64", "vec_id": "int64", "d": "float64"})
+
+    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(nearest, "q long, vec_id long, d double")
+    return found.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "vec_id"))).where(F.col("place") <= k).select("q", "vec_id", "place")
 
 
 def frequency_baseline(rows: DataFrame, label: str, seed: str = "42") -> DataFrame:

@@ -10,9 +10,8 @@ from ridgeline.plans.registry import query, table
 
 @query()
 def a18_neighbour_enrichment(spark, sf_dir):
-    rows = models.principal(table(spark, sf_dir, "embeddings"), "embedding", 16)
-    pairs = models.top_neighbours(rows, F.col("vec_id") % 50 == 0)
-    return models.neighbour_enrichment(pairs, rows.select("vec_id", F.col("label").alias("family"), (F.col("vec_id") % 50).alias("paper")))
+    rows = models.principal(table(spark, sf_dir, "embeddings"), "embedding", 50).select("vec_id", "label", "components")
+    return models.neighbour_enrichment(models.all_neighbours(rows), rows.select("vec_id", F.col("label").alias("family"), (F.col("vec_id") % 50).alias("paper")))
 
 
 @query()

@@ -1,8 +1,11 @@
 """Queries over whole tables against brute force."""
 
 import re
-from collections import defaultdict
 
+import numpy as np
+import pytest
+
+from ridgeline.operators import models
 from ridgeline.plans import registry
 
 
@@ -18,3 +21,31 @@ def test_tiered_match_reads_whole_tables(spark, tmp_path):
         want.add((i, hits[0][1] if hits else there[0][0] if tier == "B" else None, tier, len(there)))
     got = {tuple(r) for r in registry.queries()["j12_tiered_match_whole"](spark, str(tmp_path)).collect()}
     assert got == want and {w[2] for w in want} == {"A", "A_ambiguous", "B", "C"}
+
+
+def test_enrichment_asks_every_row(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    n, k = 120, 10
+    x, labels = rng.normal(size=(n, 64)), rng.integers(0, 5, n)
+    x[:, :3] += 3 * np.eye(5, 3)[labels]
+    spark.createDataFrame([(i, x[i].tolist(), int(labels[i])) for i in range(n)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = registry.queries()["a18_neighbour_enrichment"](spark, str(tmp_path)).first()
+    y = x.astype(np.float32).astype(float)
+    y = y - y.mean(0)
+    y = y @ np.linalg.svd(y, full_matrices=False)[2][:50].T
+    near = np.argsort(((y[:, None] - y[None]) ** 2).sum(2) + np.diag([np.inf] * n), 1)[:, :k]
+    paper = np.arange(n) % 50
+    op = np.mean(paper[near] == paper[:, None])
+    cross = (labels[:, None] == labels[None]) & (paper[:, None] != paper[None])
+    of, cf = np.mean([cross[i, near[i]].mean() for i in range(n)]), cross.sum(1).mean() / (n - 1)
+    cp = np.mean([(np.sum(paper == p) - 1) / (n - 1) for p in paper])
+    assert (got.n_asked, got.n_family) == (n, n)
+    assert [got.paper_observed, got.paper_chance, got.family_observed, got.family_chance] == pytest.approx([op, cp, of, cf])
+    assert [got.paper_enrichment, got.family_enrichment] == pytest.approx([op / cp, of / cf])
+
+
+def test_blocks_find_the_same_neighbours(spark):
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([(i, rng.integers(0, 3, 4).astype(float).tolist()) for i in range(60)], "vec_id long, components array<double>")
+    got = {tuple(r) for r in models.all_neighbours(rows, 5, block=16).collect()}
+    assert got == {tuple(r) for r in models.top_neighbours(rows, rows["vec_id"] >= 0, 5).collect()} and len(got) == 300
