@@ -17,24 +17,60 @@ def fold(group: Column, folds: int = 5, seed: str = "42") -> Column:
     return F.pmod(F.conv(F.left(F.sha2(F.concat(F.lit(seed + ":"), group.cast("string")), 256), F.lit(8)), 16, 10).cast("long"), F.lit(folds)).cast("int")
 
 
-def forest_scores(rows: DataFrame, features: list[str], labels: list[str], group: str, folds: int = 5, trees: int = 20, seed: int = 42) -> DataFrame:
-    """(label, positives, f1) of one forest for each label by grouped cross-validation: imputed, scaled features."""
+def permuted(rows: DataFrame, key: str, columns: list[str], seed: str = "42") -> DataFrame:
+    """rows with `columns` dealt anew: the row n-th by key gets those of the row n-th by sha2 of its key. Keys are unique.
+
+    Rows are numbered within 256 ranges whose counts the driver adds up, so that no task orders all of them."""
+    by_hash = F.sha2(F.concat(F.lit(seed + ":"), F.col(key).cast("string")), 256)
+
+    def numbered(df: DataFrame, order: Column) -> DataFrame:
+        ranged = df.withColumn("__o", order).repartitionByRange(256, "__o").sortWithinPartitions("__o", key)
+        return ranged.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(df.schema.add("__o", ranged.schema["__o"].dataType).add("__n", "long")).drop("__o")
+
+    rest = numbered(rows.drop(*columns), F.col(key))
+    dealt = numbered(rows.select(key, *columns), by_hash).drop(key)
+    return rest.join(dealt, "__n").drop("__n")
+
+
+def forest_scores(rows: DataFrame, features: list[str], labels: list[str], group: str, folds: int = 5, trees: int = 300, seed: int = 42, key: str | None = None) -> DataFrame:
+    """(run, label, positives, f1) of one forest for each label by grouped cross-validation: imputed, scaled features.
+
+    Each label's f1 is over all folds; labels `macro` and `micro` are means over the folds of the fold's figure. With a
+    unique `key` the run `shuffled` repeats all with the label rows permuted by a hash of it."""
     spark = rows.sparkSession
-    data = rows.withColumn("__fold", fold(F.col(group), folds)).cache()
+    runs = {"given": rows} | ({"shuffled": permuted(rows, key, labels)} if key else {})
+    f1 = lambda tp, fp, fn: 2.0 * tp / (2 * tp + fp + fn) if tp + fp + fn else 0.0
     out = []
-    for label in labels:
-        tp = fp = fn = 0
+    for run, data in runs.items():
+        data = data.withColumn("__fold", fold(F.col(group), folds)).cache()
+        found = {}
         for k in range(folds):
             train, test = data.where(F.col("__fold") != k), data.where(F.col("__fold") == k)
-            if len(train.select(label).distinct().limit(2).collect()) < 2:
+            if not train.take(1) or not test.take(1):
                 continue
             imputed = [f"{f}__i" for f in features]
-            stages = [Imputer(strategy="median", inputCols=features, outputCols=imputed), VectorAssembler(inputCols=imputed, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__x"), RandomForestClassifier(featuresCol="__x", labelCol=label, numTrees=trees, maxDepth=5, seed=seed)]
-            r = Pipeline(stages=stages).fit(train).transform(test).agg(F.count_if((F.col("prediction") == 1) & (F.col(label) == 1)).alias("tp"), F.count_if((F.col("prediction") == 1) & (F.col(label) == 0)).alias("fp"), F.count_if((F.col("prediction") == 0) & (F.col(label) == 1)).alias("fn")).first()
-            tp, fp, fn = tp + r.tp, fp + r.fp, fn + r.fn
-        out.append((label, tp + fn, 2.0 * tp / (2 * tp + fp + fn) if tp + fp + fn else 0.0))
-    data.unpersist()
-    return spark.createDataFrame(out, "label string, positives long, f1 double")
+            ready = Pipeline(stages=[Imputer(strategy="median", inputCols=features, outputCols=imputed), VectorAssembler(inputCols=imputed, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="__x", withMean=True)]).fit(train)
+            train, test = ready.transform(train).cache(), ready.transform(test).cache()
+            for label in labels:
+                kinds = [r[0] for r in train.select(label).distinct().limit(2).collect()]
+                if len(kinds) < 2:  # a label with one value is predicted as that
+                    said = test.withColumn("prediction", F.lit(float(kinds[0])))
+                else:
+                    said = RandomForestClassifier(featuresCol="__x", labelCol=label, numTrees=trees, minInstancesPerNode=3, maxDepth=30, seed=seed).fit(train).transform(test)
+                hit, true = F.col("prediction") == 1, F.col(label) == 1
+                r = said.agg(F.count_if(hit & true).alias("tp"), F.count_if(hit & ~true).alias("fp"), F.count_if(~hit & true).alias("fn")).first()
+                found[k, label] = (r.tp, r.fp, r.fn)
+            train.unpersist()
+            test.unpersist()
+        data.unpersist()
+        total = lambda picked: tuple(map(sum, zip((0, 0, 0), *picked)))
+        each = {label: total(v for (_, x), v in found.items() if x == label) for label in labels}
+        out += [(run, label, t[0] + t[2], f1(*t)) for label, t in each.items()]
+        done = sorted({k for k, _ in found})
+        positives = sum(t[0] + t[2] for t in each.values())
+        out.append((run, "macro", positives, sum(f1(*found[k, x]) for k in done for x in labels) / max(1, len(done) * len(labels))))
+        out.append((run, "micro", positives, sum(f1(*total(found[k, x] for x in labels)) for k in done) / max(1, len(done))))
+    return spark.createDataFrame(out, "run string, label string, positives long, f1 double")
 
 
 def principal(rows: DataFrame, vector: str, k: int) -> DataFrame:

@@ -16,8 +16,10 @@ def a18_neighbour_enrichment(spark, sf_dir):
 
 @query()
 def r9_forest_baseline(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.expr("nullif(p_size, 7)").cast("double").alias("size"), F.col("p_retailprice").alias("price"), (F.col("p_retailprice") > 1200).cast("double").alias("dear"))
-    return models.forest_scores(rows, ["size", "price"], ["dear"], "p_brand", folds=2, trees=5)
+    part = table(spark, sf_dir, "part")
+    types = [r.p_type for r in part.select("p_type").where("p_type is not null").distinct().orderBy("p_type").collect()]
+    rows = part.select("p_partkey", "p_brand", F.expr("nullif(p_size, 7)").cast("double").alias("size"), F.col("p_retailprice").alias("price"), *(F.coalesce(F.col("p_type") == t, F.lit(False)).cast("double").alias(f"type{i}") for i, t in enumerate(types)))
+    return models.forest_scores(rows, ["size", "price"], [f"type{i}" for i in range(len(types))], "p_brand", key="p_partkey")
 
 
 @query()

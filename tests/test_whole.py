@@ -49,3 +49,10 @@ def test_blocks_find_the_same_neighbours(spark):
     rows = spark.createDataFrame([(i, rng.integers(0, 3, 4).astype(float).tolist()) for i in range(60)], "vec_id long, components array<double>")
     got = {tuple(r) for r in models.all_neighbours(rows, 5, block=16).collect()}
     assert got == {tuple(r) for r in models.top_neighbours(rows, rows["vec_id"] >= 0, 5).collect()} and len(got) == 300
+
+
+def test_forest_scores_have_means_and_a_shuffled_run(spark):
+    rows = spark.createDataFrame([(i, f"g{i % 12}", float(i % 7), float(i % 7 > 3), float(i % 7 < 2)) for i in range(240)], "id long, g string, x double, a double, b double")
+    got = {(r.run, r.label): r for r in models.forest_scores(rows, ["x"], ["a", "b"], "g", folds=2, trees=3, key="id").collect()}
+    assert set(got) == {(run, x) for run in ("given", "shuffled") for x in ("a", "b", "macro", "micro")}
+    assert all(got["given", x].f1 == 1.0 > got["shuffled", x].f1 and got["given", x].positives == got["shuffled", x].positives for x in ("a", "b", "macro", "micro"))
