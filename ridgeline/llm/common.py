@@ -1,8 +1,10 @@
-"""What the operators of this package share: shared-folder checkpoints, Arrow text access, word hashes, numbering."""
+"""What the operators of this package share: tables in the shared folder, Arrow text access, word hashes, numbering."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -22,19 +24,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the cluster's spark.checkpoint.dir; only where that is unset (tests) makes a folder of its own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's spark.checkpoint.dir. Only a single-machine session (tests) that has none gets a folder of its own."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ridgeline-checkpoints-"))
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="ridgeline-checkpoints-")
+    context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+class Tables:
+    """Tables written in the shared folder to cut lineage: later jobs restart from them when executors are lost."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.paths = spark, shared_folder(spark), {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/table-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing reads any more."""
+        for x in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(x))[0])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: later jobs restart from it when executors are lost."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df, written in the shared folder and read again."""
+    return Tables(df.sparkSession).cut(df)
 
 
 def pruned(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -135,6 +162,15 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray,
     return value[keep], row[keep]
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, text, y) of at most `sample` labelled ids, those with the least hash. Several labels of one id count as their
+    maximum; of several texts of one id the smallest stands. The ids are broadcast; no other row of docs moves."""
+    given = labels.select(labels[doc_id].cast("long").alias("doc_id"), labels[label].cast("int").alias("y")).where("doc_id is not null and y is not null")
+    picked = given.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = pruned(docs, text, doc_id).join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+
+
 def crc(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
 

@@ -15,7 +15,7 @@ over all documents:
    pair with enough of them (`needed_matches`).
 4. Kept classes get their whole sets and tiles verify exactly. A tile returns a spanning forest of its links, not its
    pairs, and the number of links of each class.
-5. Links become components by minimum labels with pointer jumping, checkpointed in the shared folder.
+5. Links become components by minimum labels with pointer jumping, written in the shared folder round by round.
 
 Defined results: null and empty texts have no set, link with nothing and are their own component; a text with fewer
 than k words is one shingle; repeated rows are copies (linked, same component); a null id never becomes a component id
@@ -32,15 +32,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import FILTER_BITS, cut, filter_bit, membership, might_hold, mix, passes, pruned, shingles, slices, utf8, words
+from ridgeline.llm.common import FILTER_BITS, Tables, filter_bit, membership, might_hold, mix, passes, pruned, shingles, slices, utf8, words
 
 #: Counters of the frequency sketch: one byte each (an eighth of a power of two) once summed, 16 MB broadcast, whatever
 #: the input.
 SLOTS = 1 << 24
 #: Counters in one row of the sketch.
 CHUNK = 1 << 14
-#: Classes in a block of a large tile.
+#: Classes in a block of a large tile, and shingles of their whole sets (8 bytes each): long texts make smaller blocks.
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 19
+#: Rows of a tile's pair matrices that are held at a time.
+STRIP = 256
+#: Tokens that one matrix product takes.
+WIDTH = 1024
+#: A class of more than one in so many rows is hot: its rows get their class's results by broadcast, the others by shuffle.
+#: There are fewer hot classes than this, whatever the input.
+HOT = 8192
 #: Lengths l that a prefix may choose from.
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 
@@ -67,32 +75,71 @@ def _digests(value: np.ndarray, row: np.ndarray, n: int) -> tuple[list[bytes | N
     return [raw[16 * i : 16 * i + 16] if sizes[i] else None for i in range(n)], sizes
 
 
-_STATS = "doc_id long, n long, cls binary, chunk int, payload binary"
+_STATS = "doc_id long, text_hash long, n long, cls binary, chunk int, payload binary"
+
+
+class _Sketch:
+    """Counters of one task, up to 65,535 each; tokens wait in a list, so that a small task holds little."""
+
+    def __init__(self):
+        self.counts, self.waiting, self.n = None, [], 0
+
+    def add(self, slots: np.ndarray) -> None:
+        self.waiting.append(slots.astype(np.uint32))
+        self.n += len(slots)
+        if self.n >= 1 << 21:
+            self.flush()
+
+    def flush(self) -> tuple[np.ndarray, np.ndarray]:
+        slot, n = np.unique(np.concatenate([np.zeros(0, np.uint32), *self.waiting]), return_counts=True)
+        self.waiting, self.n = [], 0
+        if self.counts is None:
+            self.counts = np.zeros(SLOTS, np.uint16)
+        self.counts[slot] = np.minimum(self.counts[slot] + n, 65_535)
+
+    def chunks(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(chunk, its counters) of the chunks that have any."""
+        if self.counts is not None:
+            self.flush()
+            for c in np.flatnonzero(self.counts.reshape(-1, CHUNK).any(1)):
+                yield int(c), self.counts[c * CHUNK : (c + 1) * CHUNK]
+        elif self.n:
+            slot, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            for part in np.split(np.arange(len(slot)), np.flatnonzero(np.diff(slot // CHUNK)) + 1):
+                c = int(slot[part[0]]) // CHUNK
+                counts = np.zeros(CHUNK, np.uint16)
+                counts[slot[part] - c * CHUNK] = np.minimum(n[part], 65_535)
+                yield c, counts
 
 
 def _stats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A row for each document, then this task's share of the sketch, compressed, a row for each chunk that has any."""
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-    names = ["doc_id", "n", "cls", "chunk", "payload"]
-    counts = np.zeros(SLOTS, np.uint32)
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("chunk", pa.int32()), ("payload", pa.binary())])
+    sketch = _Sketch()
     for batch in batches:
-        ids, digests, ns = batch.column(batch.schema.get_field_index("doc_id")), [], []
+        digests, ns = [], []
         for i, j, value, row in _sets(batch, k):
             d, s = _digests(value, row, j - i)
             digests += d
             ns.append(s)
-            slot = (value & _U(SLOTS - 1)).astype(np.int64)
-            np.add.at(counts, slot, 1)
-        n = batch.num_rows
-        if n:
-            ns = np.concatenate(ns).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(ns), pa.array(digests, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
-    small = zstandard.ZstdCompressor(level=1)
-    rows = [(c, small.compress(part.tobytes())) for c, part in enumerate(counts.reshape(-1, CHUNK)) if part.any()]
-    for i in range(0, len(rows), 64):
-        some = rows[i : i + 64]
-        n = len(some)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([c for c, _ in some], pa.int32()), pa.array([p for _, p in some], pa.binary())], schema=pa.schema(list(zip(names, kinds))))
+            sketch.add(value & _U(SLOTS - 1))
+        if n := batch.num_rows:
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.concatenate(ns).astype(np.int64)), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+    small, rows = zstandard.ZstdCompressor(level=1), []
+
+    def batch() -> pa.RecordBatch:
+        n = len(rows)
+        nothing = [pa.nulls(n, pa.int64())] * 3 + [pa.nulls(n, pa.binary())]
+        return pa.RecordBatch.from_arrays([*nothing, pa.array([c for c, _ in rows], pa.int32()), pa.array([p for _, p in rows], pa.binary())], schema=schema)
+
+    for c, part in sketch.chunks():
+        rows.append((c, small.compress(part.tobytes())))
+        if len(rows) == 64:
+            yield batch()
+            rows = []
+    if rows:
+        yield batch()
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +147,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     large, total = zstandard.ZstdDecompressor(), {}
     for batch in batches:
         for c, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(large.decompress(payload), np.uint32).astype(np.uint64)
+            part = np.frombuffer(large.decompress(payload), np.uint16).astype(np.uint64)
             total[c] = total[c] + part if c in total else part
     if total:
         levels = [np.minimum(np.round(8 * np.log2(1 + x.astype(np.float64))), 255).astype(np.uint8).tobytes() for x in total.values()]
@@ -192,69 +239,86 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def overlaps(lists: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the sizes of the intersections of sorted or unsorted arrays of distinct values."""
-    m = len(lists)
-    sizes = np.fromiter(map(len, lists), np.int64, m)
-    value, owner = np.concatenate(lists), np.repeat(np.arange(m), sizes)
-    order = np.argsort(value, kind="stable")
-    value, owner = value[order], owner[order]
-    first = np.append(True, value[1:] != value[:-1]) if len(value) else np.zeros(0, bool)
-    token = np.cumsum(first) - 1
-    shared = np.bincount(token, minlength=1)[token] > 1 if len(value) else first
-    owner, token = owner[shared], token[shared]
-    total = np.zeros((m, m))
-    if len(owner):
-        token = np.unique(token, return_inverse=True)[1]
-        step = 2048
-        cuts = np.searchsorted(token, np.arange(0, token[-1] + step + 1, step))
-        for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if b > a:
-                has = np.zeros((m, int(token[b - 1]) - c * step + 1), np.float32)
-                has[owner[a:b], token[a:b] - c * step] = 1
-                total += has @ has.T
-    return total
-
-
-def _owned(run: dict[str, list]) -> np.ndarray:
-    """Pairs (upper triangle) that this tile has to decide: other blocks, and no smaller tile in common."""
-    m, sig = len(run["cls"]), run["sig"][0]
-    pair = np.triu(np.ones((m, m), bool), 1)
-    if run["lo"][0] != run["hi"][0]:
-        block = np.asarray(run["block"])
-        pair &= block[:, None] != block[None, :]
-    if pair.any():
-        pair &= overlaps([x[x < sig] for x in run["sigs"]]) == 0
-    return pair
+class Overlaps:
+    """Sizes of the intersections of arrays of distinct values, a strip of the matrix at a time."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.m = len(lists)
+        value = np.concatenate(lists)
+        owner = np.repeat(np.arange(self.m, dtype=np.int32), np.fromiter(map(len, lists), np.int64, self.m))
+        order = np.argsort(value, kind="stable")
+        value, owner = value[order], owner[order]
+        same = value[1:] == value[:-1]
+        shared = np.append(False, same) | np.append(same, False) if len(value) else np.zeros(0, bool)
+        value, self.owner = value[shared], owner[shared]
+        self.token = np.cumsum(np.append(True, value[1:] != value[:-1])) - 1 if len(value) else np.zeros(0, np.int64)
+
+    def strip(self, a: int, b: int) -> np.ndarray:
+        """Intersections of lists a to b - 1 with lists a to m - 1."""
+        total = np.zeros((b - a, self.m - a), np.float32)  # whole numbers below 2^24 are exact
+        here = (self.owner >= a) & (self.owner < b)
+        if not here.any():
+            return total
+        number = np.zeros(int(self.token[-1]) + 1, np.int64)
+        number[self.token[here]] = 1
+        used = (number[self.token] == 1) & (self.owner >= a)
+        number = np.cumsum(number) - 1
+        owner, token = self.owner[used] - a, number[self.token[used]]
+        top = int(token[-1]) + 1
+        cuts = np.searchsorted(token, np.arange(0, top + WIDTH, WIDTH))
+        for c, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+            has = np.zeros((self.m - a, min(WIDTH, top - c * WIDTH)), np.float32)
+            has[owner[i:j], token[i:j] - c * WIDTH] = 1
+            total += has[: b - a] @ has.T
+        return total
+
+
+def _strips(run: dict[str, list], percent: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(a, b, pairs of rows a to b - 1 with rows a on) that this tile has to decide: each pair once, of other blocks where
+    there are two, of sizes that can reach the threshold, and with no smaller tile in common."""
+    m, sig, n = len(run["cls"]), run["sig"][0], np.asarray(run["n"])
+    block = np.asarray(run["block"]) if run["lo"][0] != run["hi"][0] else None
+    smaller = None
+    for a in range(0, m, STRIP):
+        b = min(a + STRIP, m)
+        pair = np.arange(a, m) > np.arange(a, b)[:, None]
+        if block is not None:
+            pair &= block[a:] != block[a:b, None]
+        pair &= (100 * n[a:] >= percent * n[a:b, None]) & (100 * n[a:b, None] >= percent * n[a:])
+        if pair.any():
+            smaller = Overlaps([x[x < sig] for x in run["sigs"]]) if smaller is None else smaller
+            pair &= smaller.strip(a, b) == 0
+        if pair.any():
+            yield a, b, pair
 
 
 _KEPT = "sig long, lo int, hi int, block int, cls binary, n long, copies long, sigs array<long>"
 
 
-def _sized(n: np.ndarray, percent: int) -> np.ndarray:
-    small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-    return 100 * small >= percent * large
-
-
-def needed_matches(run: dict[str, list], percent: int) -> np.ndarray:
+class Needs:
     """How many prefix tokens each pair of a tile must share.
 
     min(l, l') by the choice of prefixes; and where r's prefix ends no later than s's in the common order, all tokens
     that r's prefix shares with s lie in s's prefix too, so that the intersection is at most the shared prefix tokens
     and the n - p tokens after r's prefix.
     """
-    n, least, base = (np.asarray(run[x]) for x in ("n", "least_matches", "base"))
-    tokens = np.asarray(run["edge"], np.int64).view(np.uint64)
-    order = np.lexsort((tokens, run["edge_level"]))
-    new = np.append(False, (np.diff(np.asarray(run["edge_level"])[order]) != 0) | (tokens[order][1:] != tokens[order][:-1]))
-    rank = np.empty(len(n), np.int64)
-    rank[order] = np.cumsum(new)
-    both = np.add.outer(n, n)
-    overlap = -(-percent * both // (100 + percent))
-    after = n - (base - 1 + least)
-    here = np.less_equal.outer(rank, rank)
-    need = np.where(here, overlap - after[:, None], 0)
-    return np.maximum(np.maximum(need, need.T), np.minimum.outer(least, least))
+
+    def __init__(self, run: dict[str, list], percent: int):
+        self.percent = percent
+        self.n, self.least, base = (np.asarray(run[x]) for x in ("n", "least_matches", "base"))
+        tokens, level = np.asarray(run["edge"], np.int64).view(np.uint64), np.asarray(run["edge_level"])
+        order = np.lexsort((tokens, level))
+        new = np.append(False, (np.diff(level[order]) != 0) | (tokens[order][1:] != tokens[order][:-1]))
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.cumsum(new)
+        self.after = self.n - (base - 1 + self.least)
+
+    def strip(self, a: int, b: int) -> np.ndarray:
+        n, rank, after = self.n, self.rank, self.after
+        overlap = -(-self.percent * (n[a:b, None] + n[a:]) // (100 + self.percent))
+        need = np.minimum(self.least[a:b, None], self.least[a:])
+        need = np.maximum(need, np.where(rank[a:b, None] <= rank[a:], overlap - after[a:b, None], 0))
+        return np.maximum(need, np.where(rank[a:] <= rank[a:b, None], overlap - after[a:], 0))
 
 
 def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -272,11 +336,14 @@ def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
     for run in _runs(batches, ("sig", "lo", "hi")):
         if len(run["cls"]) < 2:
             continue
-        pair = _owned(run)
-        pair &= _sized(np.asarray(run["n"]), percent)
-        if pair.any():
-            pair &= overlaps(run["tokens"]) >= needed_matches(run, percent)
-        for i in np.flatnonzero(pair.any(0) | pair.any(1)):
+        paired, shared = np.zeros(len(run["cls"]), bool), None
+        for a, b, pair in _strips(run, percent):
+            if shared is None:
+                shared, needs = Overlaps(run["tokens"]), Needs(run, percent)
+            pair &= shared.strip(a, b) >= needs.strip(a, b)
+            paired[a:b] |= pair.any(1)
+            paired[a:] |= pair.any(0)
+        for i in np.flatnonzero(paired):
             for x in names:
                 out[x].append(run[x][i])
         if len(out["cls"]) >= 5000:
@@ -312,25 +379,22 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         m = len(run["cls"])
         if m < 2:
             continue
-        n, copies = np.asarray(run["n"]), np.asarray(run["copies"])
-        pair = _owned(run) & _sized(n, percent)
-        if not pair.any():
-            continue
-        common = overlaps([np.frombuffer(x, np.uint64) for x in run["tokens"]])
-        pair &= 100 * common >= percent * (np.add.outer(n, n) - common)
-        pair |= pair.T
-        root = np.full(m, -1)
-        for i in np.flatnonzero(pair.any(1)):
-            if root[i] < 0:
-                reached, front = np.zeros(m, bool), np.zeros(m, bool)
-                front[i] = True
-                while front.any():
-                    reached |= front
-                    front = pair[front].any(0) & ~reached
-                root[reached] = i
+        n, copies = np.asarray(run["n"]), np.asarray(run["copies"], np.float64)  # counts below 2^53 are exact
+        root, degree, common = np.arange(m), np.zeros(m), None
+        for a, b, pair in _strips(run, percent):
+            common = Overlaps([np.frombuffer(x, np.uint64) for x in run["tokens"]]) if common is None else common
+            both = common.strip(a, b).astype(np.int64)
+            pair &= 100 * both >= percent * (n[a:b, None] + n[a:] - both)
+            degree[a:b] += pair @ copies[a:]
+            degree[a:] += copies[a:b] @ pair
+            for i in np.flatnonzero(pair.any(1)):
+                joined = np.unique(np.append(root[a:][pair[i]], root[a + i]))
+                if len(joined) > 1:
+                    root[np.isin(root, joined)] = joined[0]
+        for i in np.flatnonzero(degree):
             cls.append(run["cls"][i])
             other.append(run["cls"][root[i]])
-            links.append(int(copies[pair[i]].sum()))
+            links.append(int(degree[i]))
         if len(cls) >= 5000:
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(other, pa.binary()), pa.array(links, pa.int64())], names=["cls", "other", "links"])
             cls, other, links = [], [], []
@@ -339,83 +403,120 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, label): the smallest start label reachable by edges (a, b). nodes: (node, label) of every end of an edge.
+    """(node, label, root): the smallest start label reachable by edges (a, b), and the node that has it (the smallest of
+    equals; null labels come last). nodes: (node, label) of every end of an edge.
 
     Each round takes the least label of the neighbours and then the label's own label, until nothing changes.
     """
-    both = cut(edges.select("a", "b").where("a <> b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    state = cut(nodes.select("node", F.struct("label", "node").alias("best")))
+    tables = Tables(edges.sparkSession)
+    both = tables.cut(edges.select("a", "b").where("a <> b").union(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    state = tables.cut(nodes.select("node", F.struct(F.col("label").isNull().alias("none"), "label", "node").alias("best")))
     while True:
         near = both.join(state, both.b == state.node).groupBy("a").agg(F.min("best").alias("near"))
         stepped = state.join(near, state.node == near.a, "left").select("node", F.col("best").alias("old"), F.coalesce(F.least("best", "near"), "best").alias("best"))
         up = stepped.select(F.col("node").alias("up"), F.col("best").alias("top"))
         jumped = stepped.join(up, F.col("best.node") == up.up, "left").select("node", "old", F.coalesce(F.least("best", "top"), "best").alias("best"))
-        done = cut(jumped)
+        done = tables.cut(jumped)
+        tables.drop(state)
         if done.where("not (old <=> best)").isEmpty():
-            return done.select("node", F.col("best.label").alias("label"))
-        state = done.select("node", "best")
+            tables.drop(both)
+            return done.select("node", F.col("best.label").alias("label"), F.col("best.node").alias("root"))
+        state = done
 
 
-def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every row of docs. See the module for the method and edge cases.
+def _named(rows: DataFrame, named: DataFrame, total: int, how: str) -> DataFrame:
+    """rows joined with named on cls. named: one row for each class, with its `copies`; hot classes are broadcast."""
+    hot = F.broadcast(named.where(F.col("copies") * HOT > total))
+    cold = rows.join(hot.select("cls"), "cls", "left_anti").join(named.where(F.col("copies") * HOT <= total), "cls", how)
+    return rows.join(hot, "cls").unionByName(cold)
 
-    n_links counts the other documents whose similarity reaches the threshold, copies included.
-    """
+
+def _linked(docs: DataFrame, k: int, percent: int, text: str, doc_id: str) -> tuple[Tables, DataFrame, DataFrame]:
+    """rows (doc_id, text_hash, n, cls) of docs, and for each class: cls, copies, first (its first row), links, label and root
+    (null unless it links with another class)."""
     spark = docs.sparkSession
+    tables = Tables(spark)
     base = pruned(docs, text, doc_id)
-    stats = cut(base.mapInArrow(lambda it: _stats(it, k), _STATS))
+    stats = tables.cut(base.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lambda it: _stats(it, k), _STATS))
     chunks = stats.where("chunk is not null").select("chunk", "payload").repartition("chunk").mapInArrow(_summed, "chunk int, payload binary")
     levels = np.zeros(SLOTS, np.uint8)
     for r in chunks.toLocalIterator():
         levels[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.payload, np.uint8)
     sketch = spark.sparkContext.broadcast(levels)
 
-    rows = stats.where("chunk is null").select("doc_id", "n", "cls")
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    rows = stats.where("chunk is null").select("doc_id", "text_hash", "n", "cls")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), first)
     prefixes = base.mapInArrow(lambda it: _prefixes(it, k, percent, sketch), _PREFIX)
-    prefixes = cut(prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "edge_level", "edge", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies")).select("cls", "p.*", "copies"))
+    prefixes = prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "edge_level", "edge", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies"))
+    # two classes of one key only share their candidates; sets decide later
+    prefixes = tables.cut(prefixes.select(F.xxhash64("cls").alias("key"), "cls", "p.*", "copies"))
+    sketch.unpersist()
 
-    held = prefixes.select("cls", "base", F.posexplode("tokens").alias("at", "token")).select("cls", "token", (F.col("at") < F.col("base")).alias("short"))
+    held = prefixes.select("key", "n", "base", F.posexplode("tokens").alias("at", "token")).select("key", "token", F.when(F.col("at") < F.col("base"), F.col("n")).otherwise(F.lit(0)).alias("short"))
     # a token that one class alone has in its prefix links nothing, and is carried no further
-    tiles = held.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.count_if("short").alias("size"), F.bit_xor(F.when(F.col("short"), F.xxhash64("cls")).otherwise(F.lit(0).cast("long"))).alias("sig"))
-    tiles = tiles.where("`all` > 1").select("token", "size", F.xxhash64("sig", "size").alias("sig"))
+    short = F.col("short") > 0
+    tiles = held.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.count_if(short).alias("size"), F.sum("short").alias("weight"), F.bit_xor(F.when(short, F.col("key")).otherwise(F.lit(0).cast("long"))).alias("sig"))
+    tiles = tiles.where("`all` > 1").select("token", "size", "weight", F.xxhash64("sig", "size").alias("sig"))
     shared = held.join(tiles, "token")
-    tile = F.when(F.col("short") & (F.col("size") > 1), F.struct("sig", "size"))
-    carried = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"), F.collect_set(tile).alias("tiles"))  # both at most as long as the prefix
-    carried = cut(carried.where(F.size("tiles") > 0).join(prefixes.select("cls", "n", "least_matches", "base", "edge_level", "edge", "copies"), "cls"))
+    tile = F.when(short & (F.col("size") > 1), F.struct("sig", "size", "weight"))
+    carried = shared.groupBy("key").agg(F.collect_list("token").alias("tokens"), F.collect_set(tile).alias("tiles"))  # both at most as long as the prefix
+    carried = tables.cut(carried.where(F.size("tiles") > 0).join(prefixes.drop("tokens"), "key"))
+    tables.drop(prefixes)
     member = carried.select("*", F.col("tiles.sig").alias("sigs"), F.explode("tiles").alias("tile")).select("*", "tile.*")
-    parts = F.ceil(F.col("size") / F.lit(float(BLOCK))).cast("int")
+    parts = F.greatest(F.ceil(F.col("size") / F.lit(float(BLOCK))), F.ceil(F.col("weight") / F.lit(float(BLOCK_SHINGLES)))).cast("int")
     block = F.pmod(F.xxhash64("cls", F.lit(7)), parts).cast("int")
     dealt = member.select("sig", "cls", block.alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"), "n", "copies", "sigs", "least_matches", "base", "edge_level", "edge", "tokens")
     dealt = dealt.withColumn("lo", F.least("block", "j")).withColumn("hi", F.greatest("block", "j")).select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "least_matches", "base", "edge_level", "edge", "tokens")
-    kept = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _filtered(it, percent), _KEPT)
-    kept = cut(kept)
+    kept = tables.cut(dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _filtered(it, percent), _KEPT))
+    tables.drop(carried)
 
     wanted = membership(kept.select("cls").distinct(), F.pmod(F.conv(F.hex(F.substring("cls", 1, 4)), 16, 10).cast("long"), F.lit(FILTER_BITS)))
     sets = base.mapInArrow(lambda it: _whole(it, k, wanted), "cls binary, tokens binary").groupBy("cls").agg(F.first("tokens").alias("tokens"))
     ready = kept.join(sets, "cls").select("sig", "lo", "hi", "block", "cls", "n", "copies", "sigs", "tokens")
-    linked = cut(ready.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _verified(it, percent), _LINKS))
+    linked = tables.cut(ready.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(lambda it: _verified(it, percent), _LINKS))
+    tables.drop(kept)
+    wanted.unpersist()
 
     degree = linked.groupBy("cls").agg(F.sum("links").alias("links"))
     start = degree.join(classes, "cls").select(F.col("cls").alias("node"), F.col("rep").alias("label"))
     found = components(linked.select(F.col("cls").alias("a"), F.col("other").alias("b")), start)
-    named = classes.join(found, classes.cls == found.node, "left").join(degree, "cls", "left")
-    named = named.select("cls", F.coalesce("label", "rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return rows.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").join(degree, "cls", "left")
+    return tables, rows, tables.cut(named)
+
+
+def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row of docs. See the module for the method and edge cases.
+
+    n_links counts the other documents whose similarity reaches the threshold, copies included.
+    """
+    _, rows, named = _linked(docs, k, percent, text, doc_id)
+    named = named.select("cls", "copies", F.coalesce("label", "rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = _named(rows, named, rows.count(), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def deduplicated(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """docs with one document of each component: the one whose id is the component's. Columns stay as they are.
+def deduplicated(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """docs with one row of each component: the one with the smallest id (null ids come last), then the smallest hash of its
+    text. Columns stay as they are.
 
-    Repeated rows of one id are one document; rows without an id stay.
+    Rows are told by id and text, so that other texts under the same id go their own ways; of repeated rows one stays.
+    Rows without words link with nothing and all stay.
     """
-    joined = cut(ngram_join(docs, k, percent).select("doc_id", "component_id"))
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    again = joined.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("__gone"))
+    tables, rows, named = _linked(docs, k, percent, text, doc_id)
+    several = named.where("copies > 1 or root is not null").select("cls", "copies", "first", F.coalesce("root", "cls").alias("root"))
+    winner = several.groupBy("root").agg(F.min("first").alias("winner"))
+    several = several.join(winner, "root").select("cls", "copies", "winner")
+    marked = _named(rows.select("doc_id", "text_hash", "cls"), several, rows.count(), "inner")
+    same = F.col("doc_id").eqNullSafe(F.col("winner.doc_id")) & (F.col("text_hash") == F.col("winner.text_hash"))
+    keys = marked.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.bool_or(same).alias("__stays"), F.count(F.lit(1)).alias("n"))
+    keys = tables.cut(keys.where("not __stays or n > 1").select("__id", "__hash", "__stays"))
     # only rows that may go, or come twice, are moved; the filter lets all of those through
-    key = docs["doc_id"].cast("long")
-    doubted = membership(gone.union(again), filter_bit(F.col("__gone")))
-    doubt = F.coalesce(might_hold(doubted)(filter_bit(key)), F.lit(True))
-    sure = docs.where(~doubt)
-    left = docs.where(doubt).join(gone, key == gone["__gone"], "left_anti")
-    return sure.unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"])).unionByName(left.where("doc_id is null"))
+    own_id, own_hash = docs[doc_id].cast("long"), F.xxhash64(docs[text].cast("string"))
+    doubted = membership(keys, filter_bit(F.col("__id"), F.col("__hash")))
+    doubt = might_hold(doubted)(filter_bit(own_id, own_hash))
+    asked = docs.where(doubt)
+    met = asked.join(keys, own_id.eqNullSafe(keys["__id"]) & (own_hash == keys["__hash"]), "left")
+    once = met.where("__stays").dropDuplicates(["__id", "__hash"])
+    stay = met.where("__stays is null").unionByName(once).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.where(~doubt).unionByName(stay)
