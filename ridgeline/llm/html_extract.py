@@ -3,16 +3,23 @@
 A page becomes a sequence of words and tags. Words score positive (less inside links), tags negative; one linear scan
 finds the contiguous region of the highest total, and the blocks that it touches are the article. Weights are log odds
 of a tag (or of a word in or outside a link) standing inside rather than outside the content, counted over labelled
-pages: pages that mark their content by a single article or main element. At most `sample` pages (the least hashes of
-their id) are counted, on top of fixed prior counts that serve where no page is labelled.
+pages: pages that mark their content by a single article or main element. A sample of at most `sample` pages of any kind
+(the least hashes of their id; of repeated ids one page) is read for this, and the marked ones among them count, on top
+of fixed prior counts that serve where none is.
 
 Elements that never are article text (menus, forms, footers, sidebars, adverts, notices, reader comments, scripts,
-styles; told by element name, role, class or id) give no words. Inside an article or main element only containers are
-told by role, class or an unmistakable id, headings nowhere, and sections never by id: their names speak of the subject.
-
-Defined results: null and empty html give an empty text; unclosed elements end with their parent, embedded ones (video,
-svg, object and the like) that are self-closed or never closed drop their tag only, truncated markup is dropped; the text
-of formulas is kept, annotations included; character references are decoded once; repeated rows get equal rows. Extra columns are ignored.
+styles; told by element name, role, hiding, or a class or id that names nothing else) give no words. A class or id that
+only holds such a word beside others, or one that often goes with furniture (`legal-text`, `related`, `share`), is a
+feature: what stands directly in such an element is a sequence of its own, whose score counts `HINTED` of its value for
+each such element around it. So an advert inside an article is left out, and an article inside a doubtful container is
+found. Inside an article or main element only containers are told by role, class or an unmistakable id, headings nowhere,
+and sections never by id: their names speak of the subject.
+
+Defined results: null and empty html give an empty text; open p, li, dt, dd and table elements end where the next one
+or their parent's next block begins, other unclosed elements with their parent; end tags without an open element end
+nothing; embedded ones (video, svg, object and the like) that are self-closed or never closed drop their tag only,
+truncated markup is dropped; the text of formulas is kept, annotations included; character references are decoded once;
+repeated rows get equal rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +44,11 @@ MATH = frozenset(
 CONTAINERS = frozenset("div section ul ol li dl table tbody tr td header details figure center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 SKIPPED = frozenset("nav aside footer form button menu dialog fieldset datalist".split())
+#: Open elements that a start tag ends, unless one of the bounds was opened after them.
+P_ENDERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th", "caption", "colgroup"), "td": ("td", "th"), "th": ("td", "th")} | {x: ("tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup") for x in ("thead", "tbody", "tfoot")}
+BOUNDS = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",)}
+SCOPE = ("table", "td", "th", "caption", "button", "html")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROOTS = frozenset("html body main article".split())
@@ -46,9 +58,12 @@ HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs footer foot sidebar side aside widget widgets related recommended recommendations comment comments commentlist respond reply replies disqus discussion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup share sharing social pagination pager toolbar login search searchform form copyright legal".split()
 )
 HEADS = frozenset("header masthead topbar".split())
-#: An id inside the content tells page furniture only if it says nothing else.
+#: A class or id of these and fillers alone tells page furniture for sure; an id inside the content is told by nothing else.
 FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising adsense adbox banner sponsored nav navbar navigation menubar breadcrumb breadcrumbs sidebar widget widgets comments commentlist respond disqus gdpr newsletter pagination pager toolbar".split())
-FILLERS = frozenset("area block box container form list section thread wrap wrapper".split())
+NAMED = FURNITURE | frozenset("menu footer aside comment cookie cookies consent notice notices sponsor promo popup modal overlay".split())
+FILLERS = frozenset("area bar block bottom box container form item left list main page right section site slot thread top unit wrap wrapper".split())
+#: What the score of a sequence inside a doubtful element counts for.
+HINTED = 0.1
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<script(?=[\s/>])[^>]*>.*?(?:</script(?=[\s/>])[^>]*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^<>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -62,30 +77,37 @@ PRIOR = {"word": (900, 200), "link word": (20, 150), "p": (60, 4), "br": (6, 3),
 NOTHING = -1.0
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
+def _all_named(parts: set[str], names: frozenset[str]) -> bool:
+    return bool(parts & names) and all(x in names or x in FILLERS or x.isdigit() for x in parts)
+
+
+def told(tag: str, attributes: str, inside: bool) -> str:
+    """'furniture' (surely no article text), 'doubtful', or '' for an element by its name and attributes."""
     if tag in SKIPPED:
-        return True
+        return "furniture"
     if tag in ROOTS:
-        return False
+        return ""
     if tag == "header" and not inside:
-        return True
-    told = tag not in HEADINGS and (not inside or tag in CONTAINERS or "-" in tag)
+        return "furniture"
+    heard, doubt = tag not in HEADINGS and (not inside or tag in CONTAINERS or "-" in tag), ""
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-        if not told:
+            return "furniture"
+        if not heard:
             continue
         if name == "role" and value.lower() in ROLES:
-            return True
+            return "furniture"
         if name in ("class", "id"):
-            parts = set(_PARTS.findall(_CAMEL.sub(" ", value).lower()))
+            each = [set(_PARTS.findall(_CAMEL.sub(" ", x).lower())) for x in value.split()]
             if name == "id" and (inside or tag == "section"):
-                if not (inside and tag == "section") and parts & FURNITURE and all(x in FURNITURE or x in FILLERS or x.isdigit() for x in parts):
-                    return True
-            elif parts & HINTS or parts & HEADS and not inside:
-                return True
-    return False
+                if not (inside and tag == "section") and any(_all_named(x, FURNITURE) for x in each):
+                    return "furniture"
+            elif any(_all_named(x, NAMED) for x in each) or any(x & HEADS for x in each) and not inside:
+                return "furniture"
+            elif any(x & HINTS for x in each):
+                doubt = "doubtful"
+    return doubt
 
 
 def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
@@ -128,74 +150,110 @@ def _tags(html: str) -> list[tuple[int, int, str, bool, str]]:
     return out
 
 
-def tokens(html: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, text, inside article or main) in page order: 'word' and 'link word' with raw text, 'tag' with a name, 'end' between blocks.
-
-    Elements that never are article text leave no trace, so that a region can reach across an advert.
+class _Open:
+    """The open elements of a page, each with what holds inside it: skipped, in the content, its sequence."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool, int]] = []
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.links = 0
+
+    def now(self) -> tuple[bool, bool, int]:
+        return self.stack[-1][1:] if self.stack else (False, False, 0)
+
+    def last(self, names: tuple[str, ...]) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=-1)
+
+    def push(self, name: str, skipped: bool, inside: bool, sequence: int) -> None:
+        self.at.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE and name not in MATH and "-" not in name:
+            self.blocks.append(len(self.stack))
+        self.links += name == "a"
+        self.stack.append((name, skipped, inside, sequence))
+
+    def cut(self, k: int) -> None:
+        """Ends the elements from the k-th on."""
+        while len(self.stack) > k:
+            name = self.stack.pop()[0]
+            self.at[name].pop()
+            self.links -= name == "a"
+        while self.blocks and self.blocks[-1] >= k:
+            self.blocks.pop()
+
+    def end(self, name: str) -> None:
+        """An end tag. One of an inline element ends no block, one of another element no cell of a table."""
+        k = self.last((name,))
+        bound = self.blocks[-1] if self.blocks and (name in INLINE or name in MATH) else self.last(SCOPE) if name not in SCOPE and name not in ("tr", "thead", "tbody", "tfoot") and name not in ROOTS else -1
+        if k >= 0 and k >= bound:
+            self.cut(k)
+
+    def start(self, name: str) -> None:
+        """Ends what the start tag of an element ends."""
+        if name in P_ENDERS and (k := self.last(("p",))) > self.last(SCOPE):
+            self.cut(k)
+        if name in ENDS:
+            bound = self.last(BOUNDS.get(name, ("table",)) + (SCOPE if name in BOUNDS else ()))
+            opened = [self.at[x][-1] for x in ENDS[name] if self.at.get(x) and self.at[x][-1] > bound]
+            if opened:
+                self.cut(min(opened))
+
+
+def pieces(html: str) -> list[tuple[str, object, bool, int]]:
+    """('block', [(kind, raw text)...], inside article or main, sequence) and ('tag', name, inside, sequence) in page order.
+
+    kind is 'word' or 'link word'. Furniture leaves no trace, so that a region can reach across an advert. Sequence 0 is the
+    page; a doubtful element begins another one. The last piece is ('depths', how many doubtful elements are around each).
     """
-    stack: list[tuple[str, bool, bool]] = []  # name, skipped from here on, inside content from here on
-    skipped = inside = False
-    links = 0
+    out: list[tuple] = []
+    parts: dict[int, list[tuple[str, str]]] = {}
+    within: dict[int, bool] = {}
+    depths = [0]
+    open_ = _Open()
     at = 0
 
-    def text(part: str) -> Iterator[tuple[str, str, bool]]:
+    def text(part: str) -> None:
+        skipped, inside, own = open_.now()
         if part and not skipped:
-            yield ("link word" if links else "word"), part, inside
+            parts.setdefault(own, []).append(("link word" if open_.links else "word", part))
+            within[own] = inside
+
+    def flush() -> None:
+        for own, some in parts.items():
+            if any(not p.isspace() for _, p in some):
+                out.append(("block", some, within[own], own))
+        parts.clear()
 
     for start, end, name, closing, attributes in _tags(html):
-        yield from text(html[at:start])
+        text(html[at:start])
         at = end
         if not name:
             continue
         inline = name in INLINE or name in MATH or "-" in name
         if closing:
-            if any(x[0] == name for x in stack):
-                while (top := stack.pop())[0] != name:
-                    links -= top[0] == "a"
-                links -= name == "a"
-                skipped, inside = stack[-1][1:] if stack else (False, False)
-            if not inline and not skipped:
-                yield "end", "", inside
+            open_.end(name)
+            if not inline and not open_.now()[0]:
+                flush()
             continue
-        drop = skipped or _boilerplate(name, attributes, inside)
+        if not inline:
+            open_.start(name)
+        skipped, inside, own = open_.now()
+        what = "furniture" if skipped else told(name, attributes, inside)
         if not skipped and not inline:
-            yield "end", "", inside
-        if not drop and name not in MATH:
-            yield "tag", name, inside
+            flush()
+        if what == "doubtful" and name not in VOID:
+            depths.append(depths[own] + 1)
+            own = len(depths) - 1
+        if what != "furniture" and name not in MATH:
+            out.append(("tag", name, inside, own))
         if name in ("br", "mtd"):
-            yield from text(" ")
-        if name in VOID or name in MATH and attributes.endswith("/"):
-            continue
-        if name == "a" and links:
+            text(" ")
+        if name in VOID or name in MATH and attributes.endswith("/") or name == "a" and open_.links:
             continue
-        skipped, inside = drop, inside or name in CONTENT
-        links += name == "a"
-        stack.append((name, skipped, inside))
-    rest = html[at:]
-    yield from text(rest)
-    yield "end", "", inside
-
-
-def pieces(html: str) -> list[tuple[str, object, bool]]:
-    """tokens with the text of a block joined: ('block', [(kind, words)...], inside) and ('tag', name, inside)."""
-    out, parts = [], []
-
-    def flush(inside: bool) -> None:
-        if any(not p.isspace() for _, p in parts):
-            out.append(("block", list(parts), inside))
-        parts.clear()
-
-    within = False
-    for kind, text, inside in tokens(html):
-        if kind == "end":
-            flush(within)
-        elif kind == "tag":
-            out.append(("tag", text, inside))
-        else:
-            parts.append((kind, text))
-            within = inside
-    flush(within)
-    return out
+        open_.push(name, what == "furniture", inside or name in CONTENT, own)
+    text(html[at:])
+    flush()
+    return [*out, ("depths", depths, False, -1)]
 
 
 def block_text(parts: list[tuple[str, str]]) -> str:
@@ -206,7 +264,7 @@ def counts(html: str) -> Counter:
     """Counts of (feature, inside) of a labelled page; empty if the page does not mark its content exactly once."""
     found: Counter = Counter()
     marks = 0
-    for kind, what, inside in pieces(html):
+    for kind, what, inside, _ in pieces(html)[:-1]:
         if kind == "tag":
             marks += what in CONTENT
             if what not in ROOTS:
@@ -247,19 +305,26 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 
 def extract(html: str | None, weight: dict[str, float]) -> str:
-    """The main text: blocks of the best region, joined by blank lines."""
+    """The main text: blocks of the best region of the best sequence, joined by blank lines."""
     if not html:
         return ""
-    found = pieces(html)
-    scores = [weight.get(what, NOTHING) if kind == "tag" else sum(weight[k] * len(t.split()) for k, t in what) for kind, what, _ in found]
-    a, b = best_region(scores)
-    return "\n\n".join(t for kind, what, _ in found[a:b] if kind == "block" and (t := block_text(what)))
+    *found, (_, depths, _, _) = pieces(html)
+    sequences: list[list] = [[] for _ in depths]
+    for kind, what, _, own in found:
+        sequences[own].append((weight.get(what, NOTHING), None) if kind == "tag" else (sum(weight[k] * len(t.split()) for k, t in what), what))
+    best, blocks = 0.0, []
+    for depth, sequence in zip(depths, sequences):
+        scores = [x for x, _ in sequence]
+        a, b = best_region(scores)
+        if (total := HINTED**depth * sum(scores[a:b])) > best:
+            best, blocks = total, [what for _, what in sequence[a:b] if what]
+    return "\n\n".join(t for what in blocks if (t := block_text(what)))
 
 
 def learn(pages: DataFrame, sample: int = 1000) -> dict[str, float]:
-    """Weights from at most `sample` labelled pages of (page_id, html)."""
+    """Weights from the labelled ones among at most `sample` pages of (page_id, html)."""
     ids = pages.select("page_id").where("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    some = pages.join(F.broadcast(ids), "page_id", "left_semi").select("html").limit(2 * sample)
+    some = pages.join(F.broadcast(ids), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html")).select("html")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
