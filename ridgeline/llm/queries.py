@@ -23,7 +23,7 @@ def op3_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
