@@ -4,8 +4,9 @@ A language's profile lists its most frequent character n-grams by rank. A docume
 profile: every n-gram adds how far its ranks are apart ("out of place"), or the profile's length if it is missing. The
 nearest profile names the language.
 
-Profiles come from labelled rows: at most `per_lang` documents of each of at most `max_langs` languages, those with
-the least hash of their id, each read whole. Prediction reads every document whole.
+Profiles come from labelled rows: at most `per_lang` documents of each language, those with the least hash of their id,
+each read whole; of several rows of one id the smallest text counts. Prediction reads every document whole. A profile
+takes `size` n-grams on the driver and in each task, for each language that the labels name.
 
 Defined results: a null text or one without a letter is `und` with score 0; ties go to the language that sorts first;
 without any labelled row every text is `und`. Repeated rows get equal rows; extra columns are ignored.
@@ -100,19 +101,19 @@ def predict(text: str | None, profiles: Profiles, longest: int) -> tuple[str, fl
     return profiles.langs[order[0]], 0.5 + 0.5 * (rest - best) / rest if rest else 0.5
 
 
-def sample(rows: DataFrame, per_lang: int, max_langs: int) -> DataFrame:
-    """At most per_lang rows of each of the max_langs most frequent languages: the least hashes of the id.
+def sample(rows: DataFrame, per_lang: int) -> DataFrame:
+    """At most per_lang rows (lang, text) of each language: ids of the least hashes, one row an id.
 
-    The hash is cut into cells that are counted (map-side combined); each language takes whole cells until it has
-    enough, so that no language's rows are sorted in one place.
+    The languages are counted first; a hash under the share of per_lang in its language, and a margin, lets a row through, so
+    that only about per_lang ids of a language are ever sorted in one place.
     """
-    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 52).cast("int")
-    sums = rows.groupBy("lang", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("lang").orderBy("cell")
-    sums = sums.withColumn("before", F.sum("n").over(upto) - F.col("n")).withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
-    chosen = sums.where(F.col("before") < per_lang).groupBy("lang").agg(F.max("cell").alias("last"), F.max("total").alias("total"))
-    chosen = chosen.orderBy(F.desc("total"), "lang").limit(max_langs).select("lang", "last")
-    return rows.join(F.broadcast(chosen), "lang").where(cell <= F.col("last")).select("lang", "text")
+    place = F.xxhash64("doc_id", F.lit(5)).cast("double") / 2.0**64 + 0.5
+    sums = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    margin = per_lang + 8 * per_lang**0.5 + 64  # fewer ids pass once in many billions
+    near = rows.join(F.broadcast(sums), "lang").where(place * F.col("n") <= margin)
+    one = near.groupBy("lang", "doc_id").agg(F.min("text").alias("text"), F.min(place).alias("place"))
+    first = Window.partitionBy("lang").orderBy("place", "doc_id")
+    return one.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_lang).select("lang", "text")
 
 
 def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
@@ -125,9 +126,9 @@ def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
 
 
-def learn(rows: DataFrame, size: int = 400, longest: int = 3, per_lang: int = 1000, max_langs: int = 256) -> Profiles:
-    """Profiles from rows (doc_id, lang, text). The driver gets size * max_langs n-grams at most."""
-    picked = sample(rows.where("lang is not null and text is not null"), per_lang, max_langs)
+def learn(rows: DataFrame, size: int = 400, longest: int = 3, per_lang: int = 1000) -> Profiles:
+    """Profiles from rows (doc_id, lang, text). The driver gets `size` n-grams of a language."""
+    picked = sample(rows.where("lang is not null and text is not null"), per_lang)
     sums = picked.mapInArrow(lambda it: _counted(it, longest), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = sums.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size)
@@ -140,11 +141,11 @@ def learn(rows: DataFrame, size: int = 400, longest: int = 3, per_lang: int = 10
 _SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def language_id(docs: DataFrame, held_out: Column | None = None, size: int = 400, longest: int = 3, per_lang: int = 1000, max_langs: int = 256) -> DataFrame:
+def language_id(docs: DataFrame, held_out: Column | None = None, size: int = 400, longest: int = 3, per_lang: int = 1000) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; rows where held_out is true are never learned from."""
     out = crc_mod(docs["doc_id"], 5) == 0 if held_out is None else held_out
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
-    profiles = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")), size, longest, per_lang, max_langs))
+    profiles = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")), size, longest, per_lang))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = profiles.value
