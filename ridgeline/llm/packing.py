@@ -5,9 +5,9 @@ histogram picks at most `buckets` boundaries, so that padding each text to its b
 tokens. Inside a bucket with boundary L, batches hold max(1, budget // L) texts: the padded batch fits the token budget
 (a text longer than the budget is a batch of its own).
 
-The histogram has one bin for each length up to `EXACT` and `STEPS` bins for each doubling beyond, so that its size
-grows with the logarithm of the longest text only; a bin keeps its count, its sum of lengths and its longest length.
-Costs are exact; beyond `EXACT`, boundaries are the longest lengths of bins.
+The histogram has a row for each length that occurs, however long: the boundaries are the best there are. The driver
+holds two numbers for each of them, at most as many as the longest text has tokens, and the programming takes `buckets`
+passes over them, in whole numbers.
 
 Defined results: null and empty texts have one token (the end token); texts are never cut or dropped; equal lengths
 share a bucket; places inside a bucket follow a hash of the row, so that repeated rows only swap places. An empty table
@@ -28,39 +28,29 @@ from ridgeline.llm.secrets import VOCABULARY, encoder, vocabulary
 
 BUCKETS = 16
 BUDGET = 16_384
-EXACT = 2048
-STEPS = 512
 
 
-def bin_of(length: int) -> int:
-    """Bin of a length: itself up to EXACT, then STEPS bins for each doubling."""
-    if length <= EXACT:
-        return length
-    octave = (length - 1).bit_length() - EXACT.bit_length() + 1
-    low = EXACT << (octave - 1)
-    return EXACT + (octave - 1) * STEPS + -(-(length - low) * STEPS // low)
-
-
-def boundaries(tops: list[int], counts: list[int], sums: list[int], buckets: int) -> list[int]:
-    """At most `buckets` of the tops (ascending) that minimise sum of (boundary - length); the last top is always one.
+def boundaries(tops: list[int], counts: list[int], buckets: int) -> list[int]:
+    """At most `buckets` of the lengths `tops` (ascending) that minimise sum of (boundary - length); the last is always one.
 
     For j > i, cost(i, j) = top[j] * (C[j] - C[i]) - (S[j] - S[i]) with prefix sums C and S. Among starts i, the term
     -top[j] * C[i] + (D[i] + S[i]) is a line in top[j] with falling slopes, so that each layer is a lower envelope that
-    one scan builds and reads: buckets * bins steps. Ties go to fewer buckets.
+    one scan builds and reads: buckets * lengths steps. Ties go to fewer buckets.
     """
     n = len(tops)
     c, s = [0], [0]
-    for k, total in zip(counts, sums):
+    for top, k in zip(tops, counts):
         c.append(c[-1] + k)
-        s.append(s[-1] + total)
-    best: list[float] = [0.0] + [float("inf")] * n
+        s.append(s[-1] + top * k)
+    never = 2 * tops[-1] * c[-1] + 1 if n else 1  # more than any cost
+    best = [0] + [never] * n
     chosen: list[list[int]] = []
     finish, layers = None, 0
     for layer in range(1, min(buckets, n) + 1):
-        now, source, lines, at = [float("inf")] * (n + 1), [0] * (n + 1), [], 0
+        now, source, lines, at = [never] * (n + 1), [0] * (n + 1), [], 0
         for j in range(1, n + 1):
             i = j - 1
-            if best[i] < float("inf"):
+            if best[i] < never:
                 m, b = -c[i], best[i] + s[i]
                 while len(lines) >= 2 and (b - lines[-2][1]) * (lines[-2][0] - lines[-1][0]) <= (lines[-1][1] - lines[-2][1]) * (lines[-2][0] - m):
                     lines.pop()
@@ -104,12 +94,8 @@ def packed(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> Dat
     """
     spark = rows.sparkSession
     rows = cut(rows.select("doc_id", "n_tokens", "text_hash", (F.col("n_tokens") + 1).alias("length")))
-    octave = F.greatest(F.ceil(F.log2(F.col("length") / F.lit(float(EXACT)))), F.lit(1)).cast("long")
-    low = F.lit(EXACT) * F.pow(F.lit(2.0), octave - 1)
-    wide = F.lit(EXACT) + (octave - 1) * STEPS + F.ceil((F.col("length") - low) * STEPS / low)
-    binned = rows.withColumn("bin", F.when(F.col("length") <= EXACT, F.col("length")).otherwise(wide).cast("long"))
-    found = sorted(binned.groupBy("bin").agg(F.max("length").alias("top"), F.count(F.lit(1)).alias("n"), F.sum("length").alias("total")).collect(), key=lambda r: r.top)
-    tops = boundaries([r.top for r in found], [r.n for r in found], [r.total for r in found], buckets) if found else []
+    found = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("length")  # at most as many as the longest length
+    tops = boundaries(found["length"].tolist(), found["n"].tolist(), buckets)
     names = spark.createDataFrame(list(enumerate(tops)), "bucket int, boundary long")
     bucket = F.lit(0)
     for top in tops[:-1]:
