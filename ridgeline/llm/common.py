@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SPACES = b" \t\n\v\f\r"
 #: Bytes of text that one numpy pass handles at a time (longer single texts are handled alone).
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +66,18 @@ def cut(df: DataFrame) -> DataFrame:
     return Tables(df.sparkSession).cut(df)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session whose Arrow batches are of at most BATCH_BYTES (a longer row goes alone), whatever the length of texts:
+    a batch of ten thousand rows of a megabyte would not fit a worker."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", conf.get(key, "67108864b"))) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def pruned(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Only what the operators read, under fixed names, whatever else the table carries."""
-    return df.select(df[doc_id].cast("long").alias("doc_id"), df[text].cast("string").alias("text"))
+    return in_small_batches(df).select(df[doc_id].cast("long").alias("doc_id"), df[text].cast("string").alias("text"))
 
 
 def utf8(array) -> tuple[np.ndarray, np.ndarray]:
@@ -241,10 +252,8 @@ def passes(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 def might_hold(shared):
     """Arrow-batched column function: whether a bit of a shared filter is set."""
-    import pandas as pd
 
-    def test(bits):
-        return pd.Series(passes(shared.value, bits.to_numpy(np.int64)))
+    def test(bits: pa.Array) -> pa.Array:
+        return pa.array(passes(shared.value, np.asarray(bits)))
 
-    test.__annotations__ = {"bits": pd.Series, "return": pd.Series}
-    return F.pandas_udf(test, "boolean")
+    return F.arrow_udf(test, "boolean")

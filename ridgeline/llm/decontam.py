@@ -28,12 +28,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import mix, pruned
+from ridgeline.llm.common import in_small_batches, mix, pruned
 
 Q = 8
 RATE = 0.08
@@ -348,14 +347,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, window: i
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text: str = "text", window: int | None = None) -> DataFrame:
     """docs without rows that contain an item; columns stay as they are, no row moves."""
+    docs = in_small_batches(docs)
     for index in blocks(benchmark, rate, window):
         docs = docs.where(_free(docs.sparkSession.sparkContext.broadcast(index))(docs[text].cast("string")))
     return docs
 
 
 def _free(shared):
-    def free(texts: pd.Series) -> pd.Series:
-        hit = {r for r, *_ in scan(texts.tolist(), shared.value, first=True)}
-        return pd.Series([r not in hit for r in range(len(texts))], dtype=bool)
+    def free(texts: pa.Array) -> pa.Array:
+        hit = {r for r, *_ in scan(texts.to_pylist(), shared.value, first=True)}
+        return pa.array([r not in hit for r in range(len(texts))], pa.bool_())
 
-    return F.pandas_udf(free, "boolean")
+    return F.arrow_udf(free, "boolean")

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import in_small_batches
+
 # Element names and hints.
 RAW = frozenset("style textarea title iframe option".split())  # text up to the end tag, whatever it holds; an option's may be left out
 EMBEDDED = frozenset("noscript template svg object canvas video audio select".split())
@@ -340,7 +342,7 @@ def learn(pages: DataFrame, sample: int = 1000) -> dict[str, float]:
 
 def main_text(pages: DataFrame, sample: int = 1000) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages."""
-    rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
+    rows = in_small_batches(pages).select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     weight = learn(rows, sample)
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

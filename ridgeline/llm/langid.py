@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import crc_mod
+from ridgeline.llm.common import crc_mod, in_small_batches
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -144,7 +144,7 @@ _SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 def language_id(docs: DataFrame, held_out: Column | None = None, size: int = 400, longest: int = 3, per_lang: int = 1000) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; rows where held_out is true are never learned from."""
     out = crc_mod(docs["doc_id"], 5) == 0 if held_out is None else held_out
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
+    rows = in_small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
     profiles = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")), size, longest, per_lang))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

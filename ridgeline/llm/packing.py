@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import cut, numbered
+from ridgeline.llm.common import cut, in_small_batches, numbered
 from ridgeline.llm.secrets import VOCABULARY, encoder, vocabulary
 
 BUCKETS = 16
@@ -83,7 +83,7 @@ def lengths(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
             n = [len(encode(t)) if (t := x.as_py()) else 0 for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), batch.column(2)], names=["doc_id", "n_tokens", "text_hash"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.xxhash64(docs["text"].cast("string")).alias("text_hash"))
+    rows = in_small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.xxhash64(docs["text"].cast("string")).alias("text_hash"))
     return rows.mapInArrow(counted, "doc_id long, n_tokens long, text_hash long")
 
 
@@ -94,8 +94,8 @@ def packed(rows: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> Dat
     """
     spark = rows.sparkSession
     rows = cut(rows.select("doc_id", "n_tokens", "text_hash", (F.col("n_tokens") + 1).alias("length")))
-    found = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("length")  # at most as many as the longest length
-    tops = boundaries(found["length"].tolist(), found["n"].tolist(), buckets)
+    found = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("length")  # at most as many as the longest length
+    tops = boundaries(found["length"].to_pylist(), found["n"].to_pylist(), buckets)
     names = spark.createDataFrame(list(enumerate(tops)), "bucket int, boundary long")
     bucket = F.lit(0)
     for top in tops[:-1]:

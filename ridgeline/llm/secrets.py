@@ -20,12 +20,11 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import pruned
+from ridgeline.llm.common import in_small_batches, pruned
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-tokenisation pattern that belongs to the vocabulary (fixed value).
@@ -156,9 +155,9 @@ def redacted(docs: DataFrame, vocabulary_path: str = VOCABULARY, mark: str = "[S
     words = vocabulary(docs.sparkSession, vocabulary_path)
     known = KNOWN | {x.lower() for x in known_digests}
 
-    def clean(texts: pd.Series) -> pd.Series:
+    def clean(texts: pa.Array) -> pa.Array:
         encode = encoder(words.value).encode_ordinary
-        return pd.Series([t if t is None or not (spans := scan_text(t, encode, known)[1]) else redact(t, spans, mark) for t in texts], dtype=object)
+        return pa.array([t if t is None or not (spans := scan_text(t, encode, known)[1]) else redact(t, spans, mark) for t in texts.to_pylist()], pa.string())
 
-    out = docs.withColumn(text, F.pandas_udf(clean, "string")(docs[text].cast("string")))
+    out = in_small_batches(docs).withColumn(text, F.arrow_udf(clean, "string")(docs[text].cast("string")))
     return out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars in docs.columns else out

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import crc_mod, cut, labelled
+from ridgeline.llm.common import crc_mod, cut, in_small_batches, labelled
 
 #: Terms of the sample together, 8 bytes each on the driver.
 MOST_TERMS = 4_000_000
@@ -207,7 +207,7 @@ _SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out: Column | None = None, threshold: float = 0.3, sample: int = 12_000, **settings) -> DataFrame:
     """doc_id, held_out, score and predicted of every row; rows where held_out is true are never learned from."""
     out = crc_mod(docs["doc_id"], 4) == 2 if held_out is None else held_out
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["text"].cast("string").alias("text"))
+    rows = in_small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["text"].cast("string").alias("text"))
     allowed = labels if held_out is not None else labels.where(crc_mod(labels["doc_id"], 4) != 2)
     machine = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")).select("doc_id", "text"), allowed, label, sample, **settings))
 
