@@ -20,6 +20,7 @@ def corpus(spark, folder):
     docs = spark.createDataFrame(rows, DOCUMENTS)
     docs.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(len(rows))], "doc_id long, quality int").write.mode("overwrite").parquet(f"{folder}/labels.parquet")
     return rows, items
 
 
@@ -34,7 +35,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
             out.write.parquet(f"{tmp_path}/{k}")
             docs = spark.read.parquet(f"{tmp_path}/{k}")
         if name == "quality_rules":
-            good = {r.doc_id for r in quality.quality(spark.createDataFrame(rows, DOCUMENTS)).collect() if r.kept}
+            good = {r.doc_id for r in quality.quality(spark.createDataFrame(rows, DOCUMENTS), spark.read.parquet(f"{tmp_path}/labels.parquet")).collect() if r.kept}
             kept = {d: t for d, t in kept.items() if d in good}
         elif name == "near_duplicates":
             kept = {d: kept[d] for d, _, c, _ in brute_join(sorted(kept.items()), 5, 80) if d == c}
@@ -53,6 +54,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
