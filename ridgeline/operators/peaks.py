@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions import physics
+from ridgeline.operators import signal
 
+PEAKS = "peaks array<struct<two_theta: double, rel_height: double, prominence: double, height: double>>"
 
-def local_maxima(y: Column, start: float, step: float) -> Column:
-    """Strict local maxima of an evenly sampled curve as array<struct<two_theta, height, prominence>>, by position.
 
-    Prominence here is the height over the lower of the two neighbours, a native stand-in for topographic prominence.
-    """
-    at = lambda i: F.get(y, i).cast("double")
-    inner = F.when(F.size(y) >= 3, F.sequence(F.lit(1), F.size(y) - 2)).otherwise(F.array().cast("array<int>"))
-    tops = F.filter(inner, lambda i: (at(i) > at(i - 1)) & (at(i) > at(i + 1)))
-    return F.transform(tops, lambda i: F.struct((F.lit(start) + step * i).alias("two_theta"), at(i).alias("height"), (at(i) - F.least(at(i - 1), at(i + 1))).alias("prominence")))
+def detected(curves: DataFrame, key: str, x: str | Callable[[int], np.ndarray], y: str, carried: str | None = None) -> DataFrame:
+    """(key, carried, peaks) of each curve: its peaks by topographic prominence (see `signal.detect_peaks`), by position."""
+    names = ("two_theta", "rel_height", "prominence", "height")
+    found = lambda u, v: [dict(zip(names, t)) for t in signal.detect_peaks(u, v)]
+    if carried is None:
+        return signal.per_curve(curves, key, x, y, lambda u, v: [(found(u, v),)], PEAKS)
+    kind = curves.schema[carried].dataType.simpleString()
+    return signal.per_curve(curves, key, x, y, lambda u, v, c: [(c, found(u, v))], f"{carried} {kind}, {PEAKS}", carried)
 
 
 def nearest(peaks: Column, target: float, within: Column) -> Column:

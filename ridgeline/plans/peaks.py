@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,22 +10,28 @@ from ridgeline.functions import physics
 from ridgeline.operators import joins, peaks
 from ridgeline.plans.registry import query, table
 
-#: The same curves and peaks in SQL.
+#: The same curves and peaks in SQL: maxima that stand out of the ground between higher samples by 3 % of the range.
 CURVES = """points AS (SELECT vec_id, label, p.pos AS pos, CAST(2.0 + 0.5 * p.pos AS DOUBLE) AS x, CAST(embedding[p.pos + 1] AS DOUBLE) AS y
   FROM embeddings, (SELECT unnest(range(64)) AS pos) p),
+spans AS (SELECT vec_id, min(y) AS low, max(y) - min(y) AS span FROM points GROUP BY vec_id),
 flanks AS (SELECT *, lag(y) OVER w AS l, lead(y) OVER w AS r FROM points WINDOW w AS (PARTITION BY vec_id ORDER BY pos)),
-peaks AS (SELECT vec_id, label, pos, x, y, y - least(l, r) AS prominence FROM flanks WHERE y > l AND y > r)"""
+tops AS (SELECT vec_id, label, pos, x, y FROM flanks WHERE y > l AND y > r),
+grounds AS (SELECT t.vec_id, t.label, t.pos, t.x, t.y, coalesce(max(p.pos) FILTER (p.pos < t.pos AND p.y > t.y), -1) AS a, coalesce(min(p.pos) FILTER (p.pos > t.pos AND p.y > t.y), 64) AS b
+  FROM tops t JOIN points p ON p.vec_id = t.vec_id GROUP BY t.vec_id, t.label, t.pos, t.x, t.y),
+raised AS (SELECT g.vec_id, g.label, g.pos, g.x, g.y, g.y - greatest(min(p.y) FILTER (p.pos <= g.pos), min(p.y) FILTER (p.pos >= g.pos)) AS rise
+  FROM grounds g JOIN points p ON p.vec_id = g.vec_id AND p.pos > g.a AND p.pos < g.b GROUP BY g.vec_id, g.label, g.pos, g.x, g.y),
+peaks AS (SELECT r.vec_id, label, pos, x, y, round((y - low) / span, 4) AS rel_height, round(rise / span, 4) AS prominence FROM raised r JOIN spans s ON s.vec_id = r.vec_id WHERE rise >= 0.03::DOUBLE * span)"""
 UNCERTAINTY = "CASE WHEN label = 9 THEN NULL ELSE 0.05 * (label % 4) END"
 
 
+def angles(n: int) -> np.ndarray:
+    return 2.0 + 0.5 * np.arange(n)
+
+
 def curves(spark, sf_dir) -> DataFrame:
-    """vec_id, label, y, peaks, uncertainty and status of each curve."""
-    rows = table(spark, sf_dir, "embeddings")
-    return rows.select(
-        "vec_id",
-        "label",
-        F.col("embedding").alias("y"),
-        peaks.local_maxima(F.col("embedding"), 2.0, 0.5).alias("peaks"),
+    """vec_id, label, peaks, uncertainty and status of each curve."""
+    return peaks.detected(table(spark, sf_dir, "embeddings"), "vec_id", angles, "embedding", "label").select(
+        "*",
         F.when(F.col("label") != 9, 0.05 * (F.col("label") % 4)).cast("double").alias("uncertainty"),
         F.when(F.col("label") < 6, "ok").otherwise("low_confidence").alias("status"),
     )

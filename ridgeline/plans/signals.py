@@ -1,4 +1,4 @@
-"""Signal operators: embeddings as dense curves, resampled to twice their density; events as sparse ones."""
+"""Signal operators: embeddings as curves held as arrays (x = 2.0 + 0.5 * position, y in hundredths); events as sparse ones."""
 
 from __future__ import annotations
 
@@ -6,17 +6,26 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ridgeline.operators import signal
+from ridgeline.plans.peaks import CURVES, angles
 from ridgeline.plans.registry import query, table
 
 
-def _points(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings")
-    return rows.select("vec_id", F.posexplode("embedding").alias("pos", "v")).select("vec_id", (F.lit(2.0) + 0.5 * F.col("pos")).alias("x"), (F.col("v").cast("double") * 100).alias("y"))
+def _curves(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double") * 100).alias("y"))
 
 
-@query()
+def _run(spark, sf_dir, kernel, schema, *more, many=None):
+    return signal.per_curve(_curves(spark, sf_dir), "vec_id", angles, "y", kernel, schema, *more, many=many)
+
+
+def _pairs(x, y):
+    return list(zip(x.tolist(), y.tolist()))
+
+
+@query(f"WITH {CURVES} SELECT vec_id, x AS two_theta, rel_height, prominence FROM peaks")
 def g1_detect_peaks(spark, sf_dir):
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: signal.detect_peaks(x, y), "two_theta double, rel_height double, prominence double")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return signal.per_curve(rows, "vec_id", angles, "embedding", lambda x, y: [t[:3] for t in signal.detect_peaks(x, y)], "two_theta double, rel_height double, prominence double")
 
 
 @query()
@@ -25,26 +34,30 @@ def g2_first_peak(spark, sf_dir):
         r = signal.first_peak(x, y)
         return [] if r is None else [(r["status"], r.get("two_theta"), r.get("fwhm"), r.get("snr"))]
 
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "status string, two_theta double, fwhm double, snr double")
+    return _run(spark, sf_dir, run, "status string, two_theta double, fwhm double, snr double")
 
 
 @query()
 def g3_first_peak_spacing(spark, sf_dir):
-    def run(x, y):
+    """As it is written back: each curve with its own wavelength, some without one, some with an implausible one."""
+
+    def run(x, y, wavelength):
         r = signal.first_peak(x, y)
-        r = signal.with_spacing(r, None) if r else None
-        return [] if r is None else [(r["status"], r.get("two_theta"), r["d"], r["wavelength"], r["assumed"])]
+        r = r and signal.with_spacing(r, wavelength)
+        return [] if r is None else [(r["status"], r["two_theta"], r["d"], r["snr"], r["fwhm"], r["wavelength"], r["assumed"])]
 
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "status string, two_theta double, d double, wavelength double, assumed int")
+    known = F.when(F.col("label") % 3 == 0, 0.7107).when(F.col("label") % 3 == 1, 3.0)
+    rows = _curves(spark, sf_dir).withColumn("wavelength", known)
+    return signal.per_curve(rows, "vec_id", angles, "y", run, "status string, two_theta double, d double, snr double, fwhm double, wavelength double, assumed int", "wavelength")
 
 
 @query()
 def g4_descriptors(spark, sf_dir):
     def run(x, y):
-        r = signal.descriptors(x, y)
-        return [] if r is None else [tuple(r.values())]
+        first = signal.first_peak(x, y) or {}
+        return [tuple(signal.descriptors(x, y, first.get("two_theta"), first.get("fwhm")).values())]
 
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "crystalline_fraction double, hump_status string, hump_center double, hump_width double, hump_height double, hump_ratio double")
+    return _run(spark, sf_dir, run, "crystalline_fraction double, hump_center double, hump_fwhm double, hump_height double, intensity_ratio_100_001 double, hump_window_covered int")
 
 
 @query()
@@ -55,35 +68,53 @@ def g5_shape_verdict(spark, sf_dir):
 
 @query()
 def g6_process_curve(spark, sf_dir):
-    def run(x, y):
-        grid, v, peaks = signal.process_curve(x, y, 0.25)
-        return [(len(grid), float(v.max()), len(peaks))]
+    def run(xs, ys):
+        made = [signal.process_curve(x, y, base, 0.25) for x, y, base in zip(xs, ys, signal.asls_many(ys))]
+        return [[(len(grid), float(v.max(initial=0.0)), len(peaks))] for grid, v, peaks in made]
 
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "n int, top double, peaks int")
+    return _run(spark, sf_dir, None, "n int, top double, peaks int", many=run)
 
 
 @query()
 def g7_asls_baseline(spark, sf_dir):
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: list(zip(map(float, x), map(float, signal.asls(y, 1e3)))), "x double, base double")
+    def run(xs, ys):
+        return [_pairs(x, base) for x, base in zip(xs, signal.asls_many(ys, stiffness=1e3))]
 
+    return _run(spark, sf_dir, None, "x double, base double", many=run)
 
-@query()
+
+def _smoothing_sql(window: int, order: int) -> str:
+    """Each sample's weights on the samples of its window, from the normal equations."""
+    powers = np.vander(np.arange(window) - window // 2, order + 1, increasing=True).astype(float)
+    hat = powers @ np.linalg.solve(powers.T @ powers, powers.T)
+    weights = ", ".join(f"({i}, {j}, {w!r}::DOUBLE)" for i, row in enumerate(hat.tolist()) for j, w in enumerate(row))
+    half = window // 2
+    return f"""WITH w(i, j, weight) AS (VALUES {weights}),
+p AS (SELECT vec_id, pos, least(greatest(pos - {half}, 0), 64 - {window}) AS first, embedding FROM embeddings, range(64) r(pos))
+SELECT vec_id, CAST(2.0 + 0.5 * pos AS DOUBLE) AS x, round(sum(weight * CAST(embedding[first + j + 1] AS DOUBLE) * 100), 6) AS y FROM p JOIN w ON i = pos - first GROUP BY vec_id, pos"""
+
+
+@query(_smoothing_sql(7, 2))
 def g8_savgol(spark, sf_dir):
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: list(zip(map(float, x), map(float, signal.savgol(y, 7, 2)))), "x double, y double")
+    return _run(spark, sf_dir, lambda x, y: _pairs(x, np.round(signal.smooth(y, 7, 2), 6)), "x double, y double")
 
 
-@query()
+@query("""WITH g AS (SELECT vec_id, embedding, i, 2.0::DOUBLE + 0.3::DOUBLE * i AS x FROM embeddings, range(106) r(i)),
+p AS (SELECT *, least((x - 2.0) / 0.5, 63.0::DOUBLE) AS p FROM g), k AS (SELECT *, CAST(least(floor(p), 62) AS INT) AS a FROM p)
+SELECT vec_id, round(x, 6) AS x, round(100 * (CAST(embedding[a + 1] AS DOUBLE) + (p - a) * (CAST(embedding[a + 2] AS DOUBLE) - CAST(embedding[a + 1] AS DOUBLE))), 6) AS y FROM k""")
 def g9_interpolate(spark, sf_dir):
+    """31.5 degrees in steps of 0.3: the last of the 106 points passes the end, and holds the last value."""
+
     def run(x, y):
-        g, v = signal.interpolate(x, y, 0.3)
-        return list(zip(map(float, g), map(float, v)))
+        grid, v = signal.interpolate(x, y, 0.3)
+        return _pairs(np.round(grid, 6), np.round(v, 6))
 
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "x double, y double")
+    return _run(spark, sf_dir, run, "x double, y double")
 
 
 @query()
 def g10_pick_peaks(spark, sf_dir):
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", lambda x, y: signal.pick_peaks(x, np.maximum(y - y.min(), 0)), "position double, height double")
+    return _run(spark, sf_dir, lambda x, y: signal.pick_peaks(x, np.maximum(y - y.min(), 0)), "position double, height double")
 
 
 @query("""SELECT vec_id, i AS pos, round((v - lo) / (hi - lo) * 100 + (4 - 1 - vec_id % 4) * 60, 9) AS y FROM (SELECT vec_id, r.i AS i, CAST(embedding[r.i + 1] AS DOUBLE) AS v, CAST(list_min(embedding) AS DOUBLE) AS lo, CAST(list_max(embedding) AS DOUBLE) AS hi FROM embeddings, range(64) r(i))""")
@@ -95,20 +126,13 @@ def g12_offset_stack(spark, sf_dir):
 
 @query()
 def g11_peak_fidelity(spark, sf_dir):
-    """Loss of each peak's local prominence when the curve is smoothed, and whether it counts as amputated."""
+    """Each curve against itself smoothed, and against a control whose highest peak is amputated."""
 
     def run(x, y):
-        smooth = signal.savgol(y, 5, 2)
-        peaks, prom = signal.find_peaks(y, 0.08 * float(np.ptp(y)) if len(y) else 0.0)
-        out = []
-        for p, h in zip(peaks, prom):
-            a, b = max(0, p - 4), min(len(y), p + 5)
-            after = float(smooth[p] - max(smooth[a : p + 1].min(), smooth[p:b].min()))
-            loss = float(1 - after / h) if h > 0 else 0.0
-            out.append((float(x[p]), float(h), loss, bool(loss >= 0.35)))
-        return out
-
-    return signal.per_series(_points(spark, sf_dir), "vec_id", "x", "y", run, "x double, prominence double, loss double, amputated boolean")
+        runs = (("smoothed", signal.smooth(y, 5, 2)), ("control", signal.amputated(y)))
+        return [(name, *signal.peak_fidelity(y, other).values()) for name, other in runs]
+
+    return _run(spark, sf_dir, run, "run string, status string, n_peaks int, worst_loss double, worst_gain double, ratio_distortion_log2 double, flagged boolean")
 
 
 @query()
