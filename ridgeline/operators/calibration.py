@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 from ridgeline.functions.physics import differences, median_of
 
 
+# What a misread tick may have lost, and how far readings may lie off.
+LOST_TENS = (0.0, 10.0, 20.0, 40.0, 60.0, 80.0)
+LOST_ZEROS = (10.0, 100.0)
+STEPS_ON = (1.0, 2.0, 3.0)
+ROUND_TO = (1.0, 2.0, 5.0, 10.0)
+STRAY_LEAST, STRAY_SHARE = 5.0, 0.35
+SNAP_LEAST, SNAP_SHARE = 1.5, 0.15
+
+# When a secondary trace is refused.
+OVERLAP_MOST, OVERLAP_ALONE = 0.18, 0.08
+SPAN_LEAST, SPAN_SHARE, SPAN_ALONE, SHARE_ALONE = 6.0, 0.22, 10.0, 0.55
+COVER_LEAST, COVER_FILL, COVER_ALONE = 0.08, 1.8, 0.2
+DENSITY_LEAST, DENSITY_FILL = 0.22, 1.6
+
+
 def interpolated(y: Column, start: float, step: float, grid: Column) -> Column:
     """Linear interpolation of an evenly sampled curve at the points of an array; ends are clamped."""
 
@@ -53,9 +68,19 @@ def fit_lines(rows: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return rows.select(key, x, y).groupBy(key).applyInPandas(fit, f"{key} {kind}, slope double, intercept double, rmse double, n int")
 
 
-def best_inliers(points: Column, limit: float) -> Column:
-    """Most points within `limit` of a line through two of them: array<struct<i, x, y>> of few points, i from 1."""
-    pairs = F.flatten(F.transform(points, lambda a: F.transform(F.filter(points, lambda b: b["i"] > a["i"]), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+def best_inliers(points: Column, limit: float, most: int = 12, trials: int = 64) -> Column:
+    """Most points within `limit` of a line through two of them: array<struct<i, x, y>>, i from 1, x rising.
+
+    All pairs of at most `most` points; of more, `trials` pairs that a fixed rule picks, so that runs repeat.
+    """
+    n = F.size(points)
+    every = F.flatten(F.transform(points, lambda a: F.transform(F.filter(points, lambda b: b["i"] > a["i"]), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+
+    def tried(t):
+        a = (t * 7919 + 13) % n
+        return F.struct(F.get(points, a).alias("a"), F.get(points, (a + 1 + (t * 104729 + 7) % (n - 1)) % n).alias("b"))
+
+    pairs = F.when(n <= most, every).otherwise(F.transform(F.sequence(F.lit(0), F.lit(trials - 1)), tried))
 
     def count(p):
         a, b = p["a"], p["b"]
@@ -117,66 +142,59 @@ def trace_rejection(m: dict[str, Column], primary_span: Column, single_curve: Co
     text_overlap; single_curve: whether the figure is surely of one curve. The first rule that holds names it."""
     span, cover = m["degree_span"], m["support_coverage"]
     wide = F.greatest(primary_span, F.lit(0.0))
-    alone = single_curve & ((span < F.greatest(F.lit(10.0), 0.55 * wide)) | (cover < 0.2) | (m["text_overlap"] > 0.08))
+    alone = single_curve & ((span < F.greatest(F.lit(SPAN_ALONE), SHARE_ALONE * wide)) | (cover < COVER_ALONE) | (m["text_overlap"] > OVERLAP_ALONE))
     return (
-        F.when(m["text_overlap"] > 0.18, "text_overlap")
-        .when(span < F.greatest(F.lit(6.0), 0.22 * wide), "short_span")
-        .when((cover < 0.08) & (m["fill_inflation"] > 1.8), "sparse_support")
-        .when((m["support_density"] < 0.22) & (m["fill_inflation"] > 1.6), "poor_density")
+        F.when(m["text_overlap"] > OVERLAP_MOST, "text_overlap")
+        .when(span < F.greatest(F.lit(SPAN_LEAST), SPAN_SHARE * wide), "short_span")
+        .when((cover < COVER_LEAST) & (m["fill_inflation"] > COVER_FILL), "sparse_support")
+        .when((m["support_density"] < DENSITY_LEAST) & (m["fill_inflation"] > DENSITY_FILL), "poor_density")
         .when(alone, "single_curve_figure")
     )
 
 
-def repaired_ticks(ticks: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """(pixel, value) readings made strictly increasing: a value that falls back, or strays from the line of the two
-    before it, takes the nearest plausible reading above the last one."""
-    if len(ticks) < 2:
-        return list(ticks)
-    rises = [round(b - a, 4) for (_, a), (_, b) in zip(ticks, ticks[1:]) if b > a]
-    usual, out = max(rises, default=None), []
-    for pixel, seen in sorted(ticks, key=lambda t: t[0]):
-        value = float(seen)
-        if out:
-            last, line, step = out[-1][1], None, usual
-            if len(out) > 1 and out[-1][0] - out[-2][0] > 1 and last > out[-2][1]:
-                step = last - out[-2][1]
-                line = last + step / (out[-1][0] - out[-2][0]) * (pixel - out[-1][0])
-            near = line is None or abs(value - line) <= max(5.0, 0.35 * (step or 0.0))
-            if value <= last or not near:
-                value = _reading(value, last, line, step)
-                if step and abs(value - last - step) <= max(1.5, 0.15 * step):
-                    value = last + step
-        out.append((float(pixel), value))
-    kept = out[:1]
-    for t in out[1:]:
-        if t[1] > kept[-1][1]:
-            kept.append(t)
-    return kept
-
-
-def _reading(seen: float, last: float, line: float | None, step: float | None) -> float:
-    options = {seen, *(seen + k for k in (10.0, 20.0, 40.0, 60.0, 80.0))}
-    options |= {seen * 10, seen * 100} if 0 < seen < 10 else set()
-    options |= {last + k * step for k in (1, 2, 3)} if step and step > 0 else set()
-    options |= {float(round(line / k) * k) for k in (1, 2, 5, 10)} if line is not None else set()
-    above = [o for o in options if o > last]
-    if not above:
-        return seen
-    if line is None and step is None:
-        return min(above)
-    return min(above, key=lambda o: (abs(o - line) if line is not None else 0.0, abs(o - last - step) if step is not None else 0.0, 0.15 * abs(o - seen), o))
+def _readings(seen: Column, last: Column, line: Column, step: Column) -> Column:
+    """What a tick read as `seen` may have meant, above the last value: lost leading digits, lost zeros, some steps further, or a
+    round value near the line."""
+    none = F.array().cast("array<double>")
+    options = [F.transform(F.array(*map(F.lit, LOST_TENS)), lambda k: seen + k)]
+    options.append(F.when((seen > 0) & (seen < 10), F.transform(F.array(*map(F.lit, LOST_ZEROS)), lambda k: seen * k)).otherwise(none))
+    options.append(F.when(step > 0, F.transform(F.array(*map(F.lit, STEPS_ON)), lambda k: last + step * k)).otherwise(none))
+    options.append(F.when(line.isNotNull(), F.transform(F.array(*map(F.lit, ROUND_TO)), lambda k: F.rint(line / k) * k)).otherwise(none))
+    return F.filter(F.concat(*options), lambda v: v > last)
+
+
+def _repaired(out: Column, tick: Column, usual: Column) -> Column:
+    """The next tick after those of `out`, its value repaired where it falls back or strays from the line of the last two."""
+    seen, last = tick["value"], F.element_at(out, -1)
+    before = F.get(out, F.size(out) - 2)
+    run, rise = last["px"] - before["px"], last["value"] - before["value"]
+    sure = (F.size(out) > 1) & (run > 1) & (rise > 0)
+    step = F.when(sure, rise).otherwise(usual)
+    line = F.when(sure, last["value"] + rise / run * (tick["px"] - last["px"]))
+    fits = (seen > last["value"]) & (line.isNull() | (F.abs(seen - line) <= F.greatest(F.lit(STRAY_LEAST), STRAY_SHARE * step)))
+    options = _readings(seen, last["value"], line, step)
+    off = lambda v, place: F.coalesce(F.abs(v - place), F.lit(0.0))
+    cheapest = F.array_min(F.transform(options, lambda v: F.struct(off(v, line).alias("line"), off(v, last["value"] + step).alias("step"), F.when(line.isNull() & step.isNull(), 0.0).otherwise(F.abs(v - seen)).alias("seen"), v.alias("value"))))["value"]
+    chosen, next_ = F.coalesce(cheapest, seen), last["value"] + step
+    snapped = F.when((step > 0) & (F.abs(chosen - next_) <= F.greatest(F.lit(SNAP_LEAST), SNAP_SHARE * step)), next_).otherwise(chosen)
+    return F.struct(tick["px"].alias("px"), F.when((F.size(out) == 0) | fits, seen).otherwise(snapped).alias("value"))
 
 
 def repair_ticks(rows: DataFrame, key: str) -> DataFrame:
-    """rows (key, ticks array<struct<px, value>>) with repaired ticks, in Arrow batches without a shuffle."""
-    kind = rows.schema[key].dataType.simpleString()
-
-    def fix(batches):
-        for pdf in batches:
-            done = [repaired_ticks([(t["px"], t["value"]) for t in ticks]) for ticks in pdf["ticks"]]
-            yield pd.DataFrame({key: pdf[key], "ticks": [[{"px": p, "value": v} for p, v in d] for d in done]})
+    """rows (key, ticks array<struct<px, value>>) with the values made strictly increasing along px.
 
-    return rows.select(key, "ticks").mapInPandas(fix, f"{key} {kind}, ticks array<struct<px: double, value: double>>")
+    A tick that falls back, or strays from the line of the two before it, takes the cheapest of the plausible readings above
+    the last value: nearest to the line, then to one step further, then to what was seen. What still falls back goes. Fewer
+    than two ticks stay as they are. A fold over the array: no Python, no shuffle.
+    """
+    kind = "array<struct<px: double, value: double>>"
+    rise = F.transform(F.col("ticks"), lambda t, i: F.round(t["value"] - F.get(F.col("ticks"), i - 1)["value"], 4))
+    usual = F.array_max(F.filter(rise, lambda d: d > 0))
+    ready = rows.select(key, F.col("ticks").cast(kind).alias("ticks")).select(key, "ticks", usual.alias("usual"), F.array_sort("ticks", lambda a, b: F.when(a["px"] < b["px"], -1).when(a["px"] > b["px"], 1).otherwise(0)).alias("sorted"))
+    folded = ready.select(key, "ticks", F.aggregate("sorted", F.array().cast(kind), lambda out, t: F.concat(out, F.array(_repaired(out, t, F.col("usual"))))).alias("out"))
+    highest = lambda i: F.array_max(F.transform(F.slice("out", F.lit(1), i), lambda t: t["value"]))
+    rising = F.filter("out", lambda t, i: F.coalesce(t["value"] > highest(i), F.lit(True)))
+    return folded.select(key, F.when(F.size("ticks") < 2, F.col("ticks")).otherwise(rising).alias("ticks"))
 
 
 def spread_labels(rows: list[float], least: float, low: float, high: float) -> list[float]:
@@ -189,3 +207,16 @@ def spread_labels(rows: list[float], least: float, low: float, high: float) -> l
         out[i] = min(out[i], limit)
         limit = out[i] - least
     return out
+
+
+def spread(rows: DataFrame, key: str, position: str, tie: str, least: float, low: float, high: float) -> DataFrame:
+    """spread_labels of each key: (key, tie, position). Both passes are running extremes of the position less its place times
+    `least`, so that no series is walked."""
+    from pyspark.sql import Window
+
+    w, n = Window.partitionBy(key).orderBy(position, tie), F.count(F.lit(1)).over(Window.partitionBy(key))
+    placed = rows.select(key, tie, F.col(position).cast("double").alias(position), (F.row_number().over(w) - 1).alias("__i"), n.alias("__n"))
+    here, at = Window.partitionBy(key).orderBy("__i"), F.col("__i") * least
+    pushed = F.greatest(F.max(F.col(position) - at).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.lit(low)) + at
+    back = F.min(F.col("__f") - at).over(here.rowsBetween(0, Window.unboundedFollowing))
+    return placed.withColumn("__f", pushed).select(key, tie, (F.least(back, F.lit(high) - (F.col("__n") - 1) * least) + at).alias(position))
