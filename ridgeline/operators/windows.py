@@ -15,14 +15,22 @@ def rolling_std(rows: DataFrame, series: str, order: str, value: str, width: int
 
 
 def plateaus(rows: DataFrame, series: str, order: str, value: str, width: int, limit: float, least: int) -> DataFrame:
-    """Maximal runs of windows whose std is under a limit: (series, start, length, level), length in samples."""
+    """Maximal runs of windows whose std is under a limit: (series, start, length, level), length in samples.
+
+    A run of windows i to j covers samples i to j + width - 1. Its number rides on all of them: the latest flat window at or
+    before a sample, within the width, names the run, so that one aggregation gives the levels. A sample that two runs cover
+    (at most width - 1 samples around a gap) counts for both: the earlier one is found looking back over the gap.
+    """
     w = Window.partitionBy(series).orderBy(order)
+    back = w.rowsBetween(-(width - 1), 0)
     numbered = rows.withColumns({"i": F.row_number().over(w), "std": F.stddev_pop(value).over(w.rowsBetween(0, width - 1)), "n": F.count(F.lit(1)).over(Window.partitionBy(series))})
-    flat = numbered.where((F.col("i") <= F.col("n") - (width - 1)) & (F.col("std") < limit))
-    runs = flat.withColumn("run", F.col("i") - F.row_number().over(w)).groupBy(series, "run").agg(F.min("i").cast("long").alias("start"), (F.count(F.lit(1)) + (width - 1)).alias("length")).where(F.col("length") >= least)
-    samples = numbered.select(F.col(series).alias("s"), "i", F.col(value).alias("v"))
-    inside = (F.col("s") == F.col(series)) & (F.col("i") >= F.col("start")) & (F.col("i") < F.col("start") + F.col("length"))
-    return runs.join(samples, inside).groupBy(series, "start", "length").agg(F.avg("v").alias("level"))
+    flat = (F.col("i") <= F.col("n") - (width - 1)) & (F.col("std") < limit)
+    named = numbered.withColumn("flat", F.coalesce(flat, F.lit(False)))
+    named = named.withColumn("run", F.when(F.col("flat"), F.col("i") - F.sum(F.col("flat").cast("int")).over(w)))
+    covered = named.withColumn("runs", F.collect_set("run").over(back))  # at most `width` of them
+    held = covered.select(series, F.col(value).alias("v"), F.col("i"), "flat", "run", F.explode("runs").alias("of"))
+    out = held.groupBy(series, "of").agg(F.min(F.when(F.col("flat") & (F.col("run") == F.col("of")), F.col("i"))).cast("long").alias("start"), F.count(F.lit(1)).alias("length"), F.avg("v").alias("level"))
+    return out.where(F.col("length") >= least).select(series, "start", "length", "level")
 
 
 def steps(flats: DataFrame, series: str, gap: int, rise: float) -> DataFrame:
@@ -46,6 +54,17 @@ def notches(y: Column, reach: int, depth: float) -> Column:
     return spread_skip(F.transform(inner, lambda i: (at(i - reach) - at(i) > depth) & (at(i + reach) - at(i) > depth)), reach)
 
 
+def reversals(rows: DataFrame, series: str, order: str, value: str, amplitude: float) -> DataFrame:
+    """(series, reversals, variation) of the min-max scaled values: the share of samples where the direction turns between two
+    steps of more than `amplitude`, and the sum of all steps. Null for flat series and where too few samples are."""
+    every, w = Window.partitionBy(series), Window.partitionBy(series).orderBy(order)
+    low, span = F.min(value).over(every), F.max(value).over(every) - F.min(value).over(every)
+    steps_ = rows.select(series, order, F.try_divide(F.col(value) - low, span).alias("z")).select(series, order, (F.col("z") - F.lag("z").over(w)).alias("d"))
+    turned = steps_.withColumn("p", F.lag("d").over(w))
+    turns = F.when((F.col("d") * F.col("p") < 0) & (F.least(F.abs("d"), F.abs("p")) > amplitude), 1.0).otherwise(0.0)
+    return turned.groupBy(series).agg(F.avg(F.when(F.col("p").isNotNull(), turns)).alias("reversals"), F.sum(F.abs("d")).alias("variation"))
+
+
 def sessions(rows: DataFrame, series: str, order: str, gap: Column | float) -> DataFrame:
     """rows with `session`: numbered from 1 in each series, a new one after a gap of more than `gap`."""
     w = Window.partitionBy(series).orderBy(order)

@@ -14,13 +14,16 @@ from ridgeline.plans.registry import query, table
 @query("""SELECT c_custkey, count(DISTINCT o_orderkey) AS n_orders, count(DISTINCT l_partkey) AS n_parts, count(DISTINCT o_orderkey) FILTER (WHERE l_returnflag = 'A') AS n_clean, count(DISTINCT l_partkey) FILTER (WHERE l_discount > 0.05) AS n_flagged
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY c_custkey""")
 def a1_distinct_counts(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return rows.groupBy("c_custkey").agg(
-        F.count_distinct("o_orderkey").alias("n_orders"),
-        F.count_distinct("l_partkey").alias("n_parts"),
-        F.count_distinct(F.when(F.col("l_returnflag") == "A", F.col("o_orderkey"))).alias("n_clean"),
-        F.count_distinct(F.when(F.col("l_discount") > 0.05, F.col("l_partkey"))).alias("n_flagged"),
-    )
+    """Reduced to one row for each order and for each part of a customer before they are counted."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    rows = o.join(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_discount"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = rows.groupBy("o_custkey", "o_orderkey").agg(F.bool_or(F.col("l_returnflag") == "A").alias("clean"))
+    orders = orders.groupBy("o_custkey").agg(F.count("o_orderkey").alias("n_orders"), F.count_if("clean").alias("n_clean"))
+    parts = rows.groupBy("o_custkey", "l_partkey").agg(F.bool_or(F.col("l_discount") > 0.05).alias("flagged"))
+    parts = parts.groupBy("o_custkey").agg(F.count("l_partkey").alias("n_parts"), F.count_if(F.col("flagged") & F.col("l_partkey").isNotNull()).alias("n_flagged"))
+    counts = orders.join(parts, "o_custkey").withColumnRenamed("o_custkey", "c_custkey")
+    both = table(spark, sf_dir, "customer").select("c_custkey").join(counts, "c_custkey", "left")
+    return both.select("c_custkey", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_orders", "n_parts", "n_clean", "n_flagged")))
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'A') AS clean, count(*) FILTER (WHERE l_returnflag = 'N') AS verified, count(*) FILTER (WHERE l_returnflag = 'R') AS flagged, count(DISTINCT l_orderkey) AS orders FROM lineitem")
@@ -119,9 +122,25 @@ def a16_beta_binomial_counts(spark, sf_dir):
     return table(spark, sf_dir, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p_size") < 10).alias("hits")).where("n >= 15")
 
 
+_SHARES = "SELECT o_custkey AS g, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS hits FROM orders GROUP BY o_custkey HAVING n >= 15"
+
+
+def _shares(spark, sf_dir):
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("g")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("hits")).where("n >= 15")
+
+
+@query(f"""WITH c AS (SELECT n, hits, count(*) AS k FROM ({_SHARES}) GROUP BY n, hits), x AS (SELECT 0.3::DOUBLE + 59.7::DOUBLE / 119 * i AS v FROM range(120) r(i)),
+ll AS (SELECT a.v AS a, b.v AS b, sum(k * (lgamma(a.v + hits) + lgamma(b.v + n - hits) - lgamma(a.v + b.v + n) - lgamma(a.v) - lgamma(b.v) + lgamma(a.v + b.v))) AS ll FROM x a, x b, c GROUP BY a.v, b.v)
+SELECT round(arg_max(a, ll), 9) AS a, round(arg_max(b, ll), 9) AS b, (SELECT CAST(sum(hits * k) AS DOUBLE) / sum(n * k) FROM c) AS pooled FROM ll""")
+def a16_beta_binomial_prior(spark, sf_dir):
+    counted = _shares(spark, sf_dir).groupBy("n", "hits").agg(F.count(F.lit(1)).alias("groups"))
+    a, b, pooled = groups.beta_prior(counted)
+    return spark.createDataFrame([(round(a, 9), round(b, 9), pooled)], "a double, b double, pooled double")
+
+
 @query()
 def a16_beta_binomial(spark, sf_dir):
-    return groups.beta_binomial(a16_beta_binomial_counts(spark, sf_dir), "p_type")
+    return groups.beta_binomial(_shares(spark, sf_dir), "g")
 
 
 @query("""WITH g AS (SELECT p_type, count(*) AS n, avg(p_retailprice) AS m, greatest(0.5, stddev_samp(p_retailprice) / sqrt(count(*))) AS se FROM part GROUP BY p_type HAVING count(*) >= 3),

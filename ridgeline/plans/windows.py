@@ -59,15 +59,12 @@ def w6_notches(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", windows.notches(F.col("embedding"), 4, 0.1).alias("notches"))
 
 
-@query("""WITH d AS (SELECT user_id, event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS d FROM events),
+@query("""WITH z AS (SELECT user_id, event_id, (value - min(value) OVER (PARTITION BY user_id)) / nullif(max(value) OVER (PARTITION BY user_id) - min(value) OVER (PARTITION BY user_id), 0) AS z FROM events),
+d AS (SELECT user_id, event_id, z - lag(z) OVER (PARTITION BY user_id ORDER BY event_id) AS d FROM z),
 r AS (SELECT user_id, d, lag(d) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM d)
-SELECT user_id, avg(CASE WHEN p IS NULL THEN NULL WHEN sign(d) * sign(p) < 0 THEN 1.0 ELSE 0.0 END) AS reversals, round(sum(least(abs(d), 100)), 6) AS variation FROM r GROUP BY user_id""")
+SELECT user_id, avg(CASE WHEN p IS NULL THEN NULL WHEN d * p < 0 AND least(abs(d), abs(p)) > 0.008::DOUBLE THEN 1.0 ELSE 0.0 END) AS reversals, round(sum(abs(d)), 6) AS variation FROM r GROUP BY user_id""")
 def w7_reversals(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    d = table(spark, sf_dir, "events").select("user_id", "event_id", (F.col("value") - F.lag("value").over(w)).alias("d"))
-    r = d.withColumn("p", F.lag("d").over(w))
-    turned = F.when(F.col("p").isNotNull(), F.when(F.signum("d") * F.signum("p") < 0, 1.0).otherwise(0.0))
-    return r.groupBy("user_id").agg(F.avg(turned).alias("reversals"), F.round(F.sum(F.least(F.abs("d"), F.lit(100.0))), 6).alias("variation"))
+    return windows.reversals(table(spark, sf_dir, "events"), "user_id", "event_id", "value", 0.008).select("user_id", "reversals", F.round("variation", 6).alias("variation"))
 
 
 @query("SELECT event_id, round(quantile_cont(value, 0.1) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING), 6) AS base FROM events")
