@@ -56,7 +56,7 @@ def replace_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def guarded_update(rows: DataFrame, values: DataFrame, key: str, column: str, guard: Column, small: bool = True) -> DataFrame:
-    """rows with `column` from values(key, new_value) where the key meets and the guard holds."""
-    hint = F.broadcast(values) if small else values
-    return rows.join(hint, key, "left").withColumn(column, F.when(F.col("new_value").isNotNull() & guard, F.col("new_value")).otherwise(F.col(column))).drop("new_value")
+def guarded_update(rows: DataFrame, values: DataFrame, key: str, column: str, guard: Column) -> DataFrame:
+    """rows with `column` from values(key, new_value) where the key meets and the guard holds. Whether the values are broadcast
+    is left to their size (spark.sql.autoBroadcastJoinThreshold)."""
+    return rows.join(values, key, "left").withColumn(column, F.when(F.col("new_value").isNotNull() & guard, F.col("new_value")).otherwise(F.col(column))).drop("new_value")

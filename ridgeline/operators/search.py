@@ -181,6 +181,48 @@ def first_peak_search(rows: DataFrame, target: float, tolerance: float, unit: st
     return near.groupBy("paper_id").agg(F.count(F.lit(1)).alias("matches"), F.count_if(F.col("axis_verification").isin(disputed or ["axis_arbitrated"])).alias("disputed"))
 
 
+#: Units that travel with a curve's points.
+UNITS = {"two_theta_deg": "degrees of two theta, from the figure's calibrated axis", "relative_intensity": "scaled for each curve to a highest value near 100; not comparable between curves"}
+
+
+def curve_data(curves: DataFrame, points: DataFrame, **given) -> DataFrame:
+    """The points of one curve: as `json`, one row with both axes as arrays, their count and the axis uncertainty; as `csv`, the
+    lines of a file in order (n, line). points need the columns series_id, two_theta_deg and relative_intensity, and hold them as
+    published; a curve without points gives no row."""
+    p = Params(given)
+    series, kind = p.identifier("series_id"), p.choice("format", ["json", "csv"], "json")
+    p.done()
+    if series is None:
+        raise BadParameter("series_id is missing")
+    if lacking := [c for c in ("series_id", "two_theta_deg", "relative_intensity") if c not in points.columns]:
+        raise BadParameter(f"the data have no {', '.join(lacking)}")
+    own = points.where(F.col("series_id") == series).select("two_theta_deg", "relative_intensity")
+    held = own.agg(F.array_sort(F.collect_list(F.struct("two_theta_deg", "relative_intensity"))).alias("p")).where(F.size("p") > 0)  # one curve
+    if kind == "csv":
+        lines = F.concat(F.array(F.lit("two_theta_deg,relative_intensity")), F.transform("p", lambda r: F.concat_ws(",", r["two_theta_deg"].cast("string"), r["relative_intensity"].cast("string"))))
+        return held.select(F.posexplode(lines).alias("n", "line"))
+    one = curves.where(F.col("series_id") == series).select(F.col("uncertainty").alias("two_theta_uncertainty_deg")).limit(1)
+    shaped = held.select(F.lit(series).alias("series_id"), F.size("p").alias("point_count"), F.col("p.two_theta_deg").alias("two_theta_deg"), F.col("p.relative_intensity").alias("relative_intensity"))
+    return shaped.join(one, F.lit(True), "left")
+
+
+def figure_data(curves: DataFrame, **given) -> DataFrame:
+    """Where a figure's data file stands: (figure_id, data_path), no row for an unknown figure or one without a file."""
+    p = Params(given)
+    figure = p.identifier("figure_id")
+    p.done()
+    if figure is None:
+        raise BadParameter("figure_id is missing")
+    return curves.where((F.col("figure_id") == figure) & F.col("data_path").isNotNull() & (F.col("data_path") != "")).select("figure_id", "data_path").orderBy("data_path").limit(1)
+
+
+def target_angle(entered: Column, unit: str = "two_theta", low: float = 0.1, high: float = 90.0) -> Column:
+    """peak_target of a column of numbers: the angle, null where a search would be refused."""
+    ratio = physics.WAVELENGTH / (2 * entered)
+    angle = F.when(ratio <= 1, 2 * F.degrees(F.asin(ratio))) if unit == "d" else entered
+    return F.when((entered > 0) & (angle >= low) & (angle <= high), angle)
+
+
 def peak_target(entered: str, unit: str = "two_theta", low: float = 0.1, high: float = 90.0) -> float | None:
     """A search box's target as an angle; None for an empty box; BadParameter for what addresses no peak."""
     if not entered.strip():
@@ -205,7 +247,6 @@ def describe(target: float | None, tolerance: float, entered: float | None = Non
     """One line that says what a search asked for; a spacing names the wavelength it assumed."""
     parts = []
     if target is not None:
-        window = f"±{tolerance:g}° 2θ (widened per curve to that curve's axis uncertainty)"
-        what = f"{target:.6g}° 2θ" if entered is None else f"d = {entered:.6g} Å = {target:.3f}° 2θ [assumed λ {physics.WAVELENGTH} Å]"
-        parts = [f"first peak at {what}, {window}", "first-peak status ok or low_confidence" if low_confidence else "first-peak status ok only"]
+        asked = f"{target:.6g}° 2θ" if entered is None else f"{entered:.6g} Å, that is {target:.3f}° 2θ at an assumed {physics.WAVELENGTH} Å"
+        parts = [f"lowest peak near {asked}", f"within {tolerance:g}° or the curve's own axis uncertainty", "peaks of low confidence included" if low_confidence else "sure peaks only"]
     return "; ".join([*parts, *filters])

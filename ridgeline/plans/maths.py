@@ -65,13 +65,15 @@ def m9_robust_line_fit(spark, sf_dir):
     return calibration.fit_lines(table(spark, sf_dir, "events").select("user_id", F.col("event_id").cast("double").alias("px"), "value"), "user_id", "px", "value")
 
 
-@query("""WITH p AS (SELECT o_custkey, CAST(o_orderkey AS DOUBLE) AS x, o_totalprice AS y, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders), p6 AS (SELECT * FROM p WHERE i <= 6),
-l AS (SELECT a.o_custkey, a.i AS i, b.i AS j, (b.y - a.y) / (b.x - a.x) AS m, a.y - (b.y - a.y) / (b.x - a.x) * a.x AS c FROM p6 a JOIN p6 b ON a.o_custkey = b.o_custkey AND a.i < b.i),
-s AS (SELECT l.o_custkey, i, j, (SELECT count(*) FROM p6 q WHERE q.o_custkey = l.o_custkey AND (q.i = l.i OR q.i = l.j OR abs(q.y - (m * q.x + c)) <= 20000)) AS n FROM l)
+@query("""WITH p AS (SELECT o_custkey, CAST(o_orderkey AS DOUBLE) AS x, CAST(o_totalprice AS DOUBLE) AS y, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
+t AS (SELECT o_custkey, n, (t * 7919 + 13) % n + 1 AS a, ((t * 7919 + 13) % n + 1 + (t * 104729 + 7) % (n - 1)) % n + 1 AS b FROM (SELECT DISTINCT o_custkey, n FROM p WHERE n > 12), range(64) r(t)),
+k AS (SELECT o_custkey, a.i AS a, b.i AS b FROM p a JOIN p b USING (o_custkey) WHERE a.i < b.i AND a.n <= 12 UNION SELECT o_custkey, least(a, b), greatest(a, b) FROM t),
+l AS (SELECT k.o_custkey, k.a AS i, k.b AS j, (b.y - a.y) / (b.x - a.x) AS m, a.y - (b.y - a.y) / (b.x - a.x) * a.x AS c FROM k JOIN p a ON a.o_custkey = k.o_custkey AND a.i = k.a JOIN p b ON b.o_custkey = k.o_custkey AND b.i = k.b),
+s AS (SELECT l.o_custkey, l.i, l.j, count(*) AS n FROM l JOIN p q ON q.o_custkey = l.o_custkey WHERE q.i = l.i OR q.i = l.j OR abs(q.y - (m * q.x + c)) <= 20000 GROUP BY ALL)
 SELECT o_custkey, max(n) AS inliers FROM s GROUP BY o_custkey""")
 def m10_ransac_inliers(spark, sf_dir):
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    p = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").cast("double").alias("x"), F.col("o_totalprice").alias("y"), F.row_number().over(w).alias("i")).where("i <= 6")
+    p = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").cast("double").alias("x"), F.col("o_totalprice").cast("double").alias("y"), F.row_number().over(w).alias("i"))
     pts = p.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("p")).where(F.size("p") >= 2)
     return pts.select("o_custkey", calibration.best_inliers(F.col("p"), 20000.0).alias("inliers"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("peaks", "scalars", "joins", "aggregates", "windows", "ordering", "strings", "maths", "signals", "storage", "search", "models")
+MODULES = ("peaks", "scalars", "joins", "aggregates", "windows", "ordering", "strings", "maths", "signals", "storage", "search", "models", "sources", "pixels")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}

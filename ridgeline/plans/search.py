@@ -79,3 +79,31 @@ def api_legacy_search(spark, sf_dir):
     c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").ilike("%auto%") & (F.col("c_nationkey") == 3))
     o = table(spark, sf_dir, "orders").where(F.col("o_totalprice").between(100000, 300000))
     return c.join(o, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_custkey", "c_name").agg(F.max("o_totalprice").alias("bet_max"), F.count(F.lit(1)).alias("n"))
+
+
+_POINTS = "SELECT 's' || l_orderkey AS series_id, CAST(l_linenumber AS DOUBLE) AS two_theta_deg, CAST(l_quantity AS DOUBLE) AS relative_intensity FROM lineitem"
+
+
+def _points(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    return rows.select(F.concat(F.lit("s"), "l_orderkey").alias("series_id"), F.col("l_linenumber").cast("double").alias("two_theta_deg"), F.col("l_quantity").cast("double").alias("relative_intensity"))
+
+
+@query(f"""SELECT series_id, CAST(count(*) AS INT) AS point_count, list(two_theta_deg ORDER BY two_theta_deg, relative_intensity)::VARCHAR AS x, list(relative_intensity ORDER BY two_theta_deg, relative_intensity)::VARCHAR AS y,
+(SELECT uncertainty FROM ({_CURVE_ROWS}) WHERE series_id = 's3') AS two_theta_uncertainty_deg FROM ({_POINTS}) WHERE series_id = 's3' GROUP BY series_id""")
+def api_curve_data(spark, sf_dir):
+    shown = lambda c: F.concat(F.lit("["), F.array_join(F.transform(c, lambda v: F.format_string("%.1f", v)), ", "), F.lit("]"))
+    rows = search.curve_data(_curves(spark, sf_dir), _points(spark, sf_dir), series_id="s3")
+    return rows.select("series_id", "point_count", shown("two_theta_deg").alias("x"), shown("relative_intensity").alias("y"), "two_theta_uncertainty_deg")
+
+
+@query(f"""SELECT CAST(0 AS INT) AS n, 'two_theta_deg,relative_intensity' AS line UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY two_theta_deg, relative_intensity) AS INT), CAST(two_theta_deg AS VARCHAR) || ',' || CAST(relative_intensity AS VARCHAR) FROM ({_POINTS}) WHERE series_id = 's3'""")
+def api_curve_data_csv(spark, sf_dir):
+    return search.curve_data(_curves(spark, sf_dir), _points(spark, sf_dir), series_id="s3", format="csv")
+
+
+@query("SELECT 'f7' AS figure_id, 'figures/7.csv.gz' AS data_path")
+def api_figure_data(spark, sf_dir):
+    rows = _curves(spark, sf_dir).withColumn("data_path", F.when(F.col("figure_id") != "f1", F.concat(F.lit("figures/"), F.substr("figure_id", F.lit(2)), F.lit(".csv.gz"))))
+    return search.figure_data(rows, figure_id="f7")

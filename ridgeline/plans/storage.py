@@ -85,7 +85,7 @@ def s17_guarded_update(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     values = o.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("axis").alias("new_value"))
     rows = o.select("o_orderkey", F.col("o_orderstatus").alias("status"))
-    return joins.guarded_update(rows, values, "o_orderkey", "status", F.col("status") == "F", small=False)
+    return joins.guarded_update(rows, values, "o_orderkey", "status", F.col("status") == "F")
 
 
 @query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN nullif(c_mktsegment, 'BUILDING') END, c_name) AS label FROM customer")

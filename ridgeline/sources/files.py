@@ -54,9 +54,64 @@ def write_figures(points: DataFrame, folder: str, figure: str = "figure_id") ->
 
 
 def content_hash(points: DataFrame, figure: str = "figure_id") -> DataFrame:
-    """(figure, hash) over its rows whatever their order: unchanged figures need not be written again."""
-    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in sorted(points.columns)])
-    return points.groupBy(figure).agg(F.hex(F.bit_xor(row)).alias("mixed"), F.count(F.lit(1)).alias("n")).select(figure, F.concat_ws(":", "mixed", "n").alias("hash"))
+    """(figure, hash) over its rows whatever their order: unchanged figures need not be written again. The hash holds the sums
+    of two independent row hashes and the count, so that repeated rows add up, and nulls differ from any text."""
+    cells = [x for c in sorted(points.columns) for x in (F.col(c).isNull(), F.col(c).cast("string"))]
+    row = lambda salt: F.sum(F.xxhash64(F.lit(salt), *cells).cast("decimal(20,0)")).cast("string")
+    sums = points.groupBy(figure).agg(row(1).alias("a"), row(2).alias("b"), F.count(F.lit(1)).alias("n"))
+    return sums.select(figure, F.concat_ws(":", "n", F.left(F.sha2(F.concat_ws(":", "a", "b"), 256), F.lit(32))).alias("hash"))
+
+
+def write_series(points: DataFrame, folder: str, series: str = "series_id") -> None:
+    """One CSV folder for each series, in order of angle."""
+    points.repartition(series).sortWithinPartitions(series, "two_theta_deg").write.mode("overwrite").partitionBy(series).option("header", True).csv(folder)
+
+
+def write_accepted(curves: DataFrame, folder: str, accepted: Column, order: list[str]) -> None:
+    """The master table of accepted curves, as CSV in global order."""
+    curves.where(accepted).orderBy(*order).write.mode("overwrite").options(header=True, quoteAll=True, escape='"').csv(folder)
+
+
+def run_summary(figures: DataFrame, folder: str, status: str = "status") -> DataFrame:
+    """Writes a run's counts by status as one JSON row, and gives them."""
+    s = F.col(status)
+    out = figures.agg(F.count(F.lit(1)).alias("figures"), *(F.count_if(s == k).alias(k) for k in ("accepted", "partial", "rejected", "needs_review")))
+    out.write.mode("overwrite").json(folder)
+    return out
+
+
+#: Addresses that one sitemap file may hold (fixed by the protocol).
+SITEMAP_ROWS = 50_000
+
+
+def sitemap(papers: DataFrame, site: str, paper: str = "paper_id") -> DataFrame:
+    """(loc, priority, changefreq): the front page, the manual, and a page for each paper."""
+    spark = papers.sparkSession
+    fixed = spark.createDataFrame([(f"{site}/", "1.0", "daily"), (f"{site}/docs/api", "0.5", "monthly")], "loc string, priority string, changefreq string")
+    ids = F.replace(F.url_encode(F.col(paper).cast("string")), F.lit("+"), F.lit("%20"))
+    return fixed.unionByName(papers.where(F.col(paper).isNotNull()).select(F.concat(F.lit(f"{site}/paper/"), ids).alias("loc"), F.lit("0.8").alias("priority"), F.lit("monthly").alias("changefreq")))
+
+
+def write_sitemap(entries: DataFrame, folder: str, site: str) -> None:
+    """Sitemap files of at most SITEMAP_ROWS addresses each, and the robots file."""
+    from pyspark.sql import Window
+
+    spark = entries.sparkSession
+    line = F.format_string("  <url><loc>%s</loc><changefreq>%s</changefreq><priority>%s</priority></url>", "loc", "changefreq", "priority")
+    ranged = entries.select("loc", line.alias("value")).repartitionByRange("loc")
+    own = ranged.withColumn("part", F.spark_partition_id())
+    numbered = own.withColumn("file", F.floor((F.row_number().over(Window.partitionBy("part").orderBy("loc")) - 1) / SITEMAP_ROWS))
+    body = numbered.groupBy("part", "file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("loc", "value"))), lambda r: r["value"]), "\n").alias("body"))
+    head, tail = '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">\n', "\n</urlset>"
+    body.select("part", "file", F.concat(F.lit(head), "body", F.lit(tail)).alias("value")).write.mode("overwrite").partitionBy("part", "file").text(f"{folder}/sitemap")
+    lines = ["User-agent: *", "Allow: /", "Disallow: /auth/", f"Sitemap: {site}/sitemap.xml"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/robots")
+
+
+def stamped(rows: DataFrame, name: str = "generated_at", at: Column | None = None) -> DataFrame:
+    """rows with the time of the run as ISO text in UTC; one time for all rows of a query."""
+    now = F.current_timestamp() if at is None else at
+    return rows.withColumn(name, F.date_format(F.to_utc_timestamp(now, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
 def export(curves: DataFrame, points: DataFrame, papers: DataFrame, folder: str) -> DataFrame:

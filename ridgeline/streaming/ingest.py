@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 
 def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str, transform=None) -> None:
-    """Reads new Parquet files of a folder and appends them to a target folder, then stops. The checkpoint is the done
-    manifest; a restart goes on where the last run ended. Repeated keys inside a run are written once."""
+    """Reads new Parquet files of a folder and adds them to a target folder, then stops. The checkpoint is the done manifest; a
+    restart goes on where the last run ended, and a batch that is run again replaces its own folder `batch=<number>`. Of
+    repeated keys within a batch one row is written; no state is kept between batches.
+    """
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.dropDuplicates([key]).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
     rows = spark.readStream.schema(schema).parquet(source)
-    rows = (transform(rows) if transform else rows).dropDuplicates([key])
-    rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    rows = transform(rows) if transform else rows
+    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def progress_changes(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """A progress stream that emits a value only where it differs from all before it, by dropping repeats of (key, value)."""
-    return rows.select(key, value).where(F.col(value).isNotNull()).dropDuplicates([key, value])
+def progress_changes(rows: DataFrame, key: str, value: str, time: str, late: str = "10 minutes") -> DataFrame:
+    """A progress stream that emits a value of a key once while it is at most `late` old; state older than that is dropped."""
+    return rows.select(key, value, time).where(F.col(value).isNotNull()).withWatermark(time, late).dropDuplicatesWithinWatermark([key, value])
