@@ -57,35 +57,177 @@ def curve(peaks, noise=0.2, low=2.0, high=40.0, n=1900, seed=1):
 def test_first_peak_of_a_curve():
     x, y = curve([(4.7, 100, 0.1), (8.1, 40, 0.1), (26.0, 15, 2.0)])
     r = signal.first_peak(x, y)
-    assert r["status"] == "ok" and abs(r["two_theta"] - 4.7) < 0.1 and 0.1 < r["fwhm"] < 0.5
-    assert signal.with_spacing(r, None)["d"] == pytest.approx(18.8, abs=0.5)
-    assert signal.first_peak(x[:50], y[:50]) is None
-
-
-def test_detect_peaks_and_descriptors():
-    x, y = curve([(4.7, 100, 0.1), (8.1, 40, 0.1), (24.0, 30, 2.0)])
-    found = [p[0] for p in signal.detect_peaks(x, y)]
-    assert any(abs(p - 4.7) < 0.1 for p in found) and found == sorted(found)
-    d = signal.descriptors(x, y, (4.7, 0.25))
-    assert d["hump_status"] == "hump_detected" and abs(d["hump_center"] - 24) < 1 and 0 < d["crystalline_fraction"] < 1
-    assert signal.shape_verdict(np.zeros(100))["reasons"] == "degenerate"
+    assert r["status"] == "ok" and abs(r["two_theta"] - 4.7) < 0.02 and abs(r["fwhm"] - 2.3548 * 0.1) < 0.02
+    assert signal.first_peak(x[:50], y[:50]) is None and signal.first_peak(np.zeros(100), y[:100]) is None
+    assert signal.first_peak(x, 0 * x) == {"status": "no_bragg_peak"}
+
+
+def test_first_peak_statuses():
+    # a broad hump alone is no Bragg peak
+    assert signal.first_peak(*curve([(20.0, 60, 4.0)], noise=0.05))["status"] == "no_bragg_peak"
+    # a peak whose flank runs into the start, and one that a descent at the start makes doubtful
+    assert signal.first_peak(*curve([(2.2, 100, 0.06)]))["status"] == "truncated_at_window_start"
+    x, y = curve([(8.0, 60, 0.1)])
+    y = y + 100 * np.exp(-(x - 2.0) / 0.4)
+    r = signal.first_peak(x, y)
+    assert r["status"] == "low_confidence" and abs(r["two_theta"] - 8.0) < 0.02
+
+
+def test_write_back_of_a_first_peak():
+    found = {"status": "ok", "two_theta": 4.7, "snr": 57.36, "fwhm": 0.23604}
+    made = signal.with_spacing(found, None)
+    assert made == {"status": "ok", "two_theta": 4.7, "snr": 57.4, "fwhm": 0.236, "d": round(1.5406 / (2 * math.sin(math.radians(2.35))), 3), "wavelength": 1.5406, "assumed": 1}
+    assert [(signal.with_spacing(found, w)["wavelength"], signal.with_spacing(found, w)["assumed"]) for w in (0.7107, 0.4, 3.0, 0.39)] == [(0.7107, 0), (1.5406, 1), (1.5406, 1), (1.5406, 1)]
+    assert signal.with_spacing({"status": "no_bragg_peak"}, 1.0)["d"] is None
+
+
+def test_detect_peaks_by_hand():
+    y = np.array([50, 60, 50, 100, 50, 55, 52, 70, 50.0])
+    x = np.arange(9.0)
+    # range 50; prominences 10, 50, 3 and 20; heights over the floor of 50
+    assert signal.detect_peaks(x, y) == [(1.0, 0.2, 0.2, 60.0), (3.0, 1.0, 1.0, 100.0), (5.0, 0.1, 0.06, 55.0), (7.0, 0.4, 0.4, 70.0)]
+    # 0.1 degrees are five steps of 0.02, or four as floats divide and are cut: of peaks 3 samples apart the higher stays
+    close = np.zeros(30)
+    close[[5, 8, 15]] = 3, 2, 1
+    assert [p[0] for p in signal.detect_peaks(0.02 * np.arange(30), close)] == [0.1, 0.3]
+    assert signal.detect_peaks(x, 0 * y) == [] and signal.detect_peaks(x[:0], y[:0]) == []
+    many = np.tile([0.0, 1.0], 60)
+    many[1::2] += np.arange(60) / 100
+    assert len(signal.detect_peaks(np.arange(120.0), many)) == 40 and signal.detect_peaks(np.arange(120.0), many)[0][0] == 39.0
+
+
+def test_prominences_and_widths_by_hand():
+    y = np.array([0, 2, 1, 5, 0, 3, 3, 0, 4.0])
+    peaks = signal.maxima(y)
+    prom, left, right = signal.prominences(y, peaks)
+    assert peaks.tolist() == [1, 3, 5] and prom.tolist() == [1, 5, 3] and left.tolist() == [0, 0, 4] and right.tolist() == [2, 4, 7]
+    width, begins = signal.widths(y, peaks, prom, left, right)
+    assert np.allclose(begins, [0.75, 2.375, 4.5]) and np.allclose(width, [1 + 0.5 - 0.75, 3.5 - 2.375, 6.5 - 4.5])
+
+
+def test_descriptors_by_hand():
+    x = np.arange(2, 40.01, 0.02)
+    y = 30 * np.exp(-0.5 * ((x - 24) / 2.5) ** 2)
+    d = signal.descriptors(x, y)
+    assert d["hump_window_covered"] == 1 and abs(d["hump_center"] - 24) < 0.05 and abs(d["hump_height"] - 30) < 0.6 and abs(d["hump_fwhm"] - 2.3548 * math.hypot(2.5, 0.6)) < 0.25
+    assert d["intensity_ratio_100_001"] is None
+    both = signal.descriptors(x, y + 60 * np.exp(-0.5 * ((x - 5) / 0.1) ** 2), 5.0, 0.24)
+    assert abs(both["intensity_ratio_100_001"] - 2.0) < 0.1 and both["hump_center"] == d["hump_center"]
+    # the only rise lies under the mask of the first peak: no hump
+    assert signal.descriptors(x, y, 24.0, 3.0)["hump_center"] is None
+    short = signal.descriptors(x[:600], y[:600])
+    assert short["hump_window_covered"] == 0 and short["crystalline_fraction"] is not None
+    assert set(signal.descriptors(x[:40], y[:40]).values()) == {None, 0} and signal.descriptors(x, 0 * x)["crystalline_fraction"] is None
+    assert signal.descriptors(x, 0.01 * np.exp(-0.5 * ((x - 24) / 2) ** 2))["hump_center"] is None  # under the floor of 0.02
+
+
+def test_shape_verdicts_by_hand():
+    line = np.linspace(0, 1, 200)
+    assert signal.shape_verdict(line + 0.015 * (np.arange(200) % 2))["reasons"] == "sawtooth=1.000"
+    assert signal.shape_verdict(line + 0.0035 * (np.arange(200) % 2))["flagged"] is False
+    stairs = np.repeat([0.0, 0.5, 1.0], 40)
+    assert signal.shape_verdict(stairs)["reasons"] == "steps=2" and signal.shape_verdict(stairs[:80])["steps"] == 1
+    cut = line.copy()
+    cut[[60, 100, 140]] -= 0.3
+    assert signal.shape_verdict(cut)["reasons"].startswith("notches=3")
+    assert signal.shape_verdict(np.zeros(100))["reasons"] == signal.shape_verdict(line[:59])["reasons"] == "degenerate"
+    wild = np.where(np.arange(60) % 2 == 0, 0.0, 1.0)
+    assert signal.shape_verdict(np.append(wild, np.nan))["reasons"].endswith("sawtooth=1.000;tv=59.0")
+
+
+def test_processing_by_hand():
+    x = np.arange(0, 20, 0.05)
+    y = 5 + 80 * np.exp(-0.5 * ((x - 8) / 0.3) ** 2)
+    grid, v, peaks = signal.process_curve(x, y, np.full(400, 5.0), 0.02)
+    assert len(grid) == math.ceil((19.95 + 0.02) / 0.02) and v.max() == pytest.approx(100) and v.min() >= 0
+    assert len(peaks) == 1 and abs(peaks[0][0] - 8) < 0.01 and peaks[0][1] == 100.0
+    grid, v, peaks = signal.process_curve(x, np.full(400, 7.0), np.full(400, 7.0), 0.02)
+    assert len(v) == len(grid) == 999 and not v.any() and peaks == []
+    grid, v = signal.interpolate(np.array([0.0, 1.0]), np.array([2.0, 4.0]), 0.3)
+    assert np.allclose(grid, [0, 0.3, 0.6, 0.9, 1.2]) and np.allclose(v, [2, 2.6, 3.2, 3.8, 4])
+    grid, _ = signal.interpolate(np.array([0, 1e6]), np.array([0, 1.0]), 0.02)
+    assert len(grid) == 20_000 and grid[0] == 0 and grid[-1] == 1e6
+    # the prominence asked is 8 % of the top, 2.5 at least, times the scale, 0.5 at least
+    y = np.zeros(60)
+    y[[10, 30, 50]] = 20, 2, 0.6
+    at = lambda scale: [round(p) for p, _ in signal.pick_peaks(np.arange(60.0), y, scale)]
+    assert at(1.0) == [10] and at(0.7) == [10, 30] and at(0.1) == [10, 30, 50]
+    got = signal.pick_peaks(np.arange(5.0), np.array([0, 6, 10, 8, 0.0]))
+    assert got[0][0] == pytest.approx(2 + 0.5 * (6 - 8) / (6 - 20 + 8)) and got[0][1] == round(10 - 0.25 * (6 - 8) / 6, 2)
+    short = np.arange(6.0) ** 2
+    assert (signal.smooth(short, 7, 2) == short).all() and (signal.smooth(short[:3], 3, 2) == short[:3]).all()
 
 
 def test_kernels():
     y = np.arange(50.0) ** 2
-    assert np.allclose(signal.savgol(y, 7, 2), y)
+    assert np.allclose(signal.smooth(y, 7, 2), y) and np.allclose(signal.smooth(y, 6, 2), y)
     assert np.allclose(signal.gaussian_filter(np.ones(40), 3), 1)
-    base = signal.asls(np.linspace(0, 10, 200) + 50 * (np.abs(np.arange(200) - 100) < 4), 1e5)
-    assert np.abs(base - np.linspace(0, 10, 200)).max() < 1.5
-    n, rng = 30, np.random.default_rng(0)
-    a, b, c, v = rng.random(n) + 5, rng.random(n - 1), rng.random(n - 2), rng.random(n)
-    full = np.diag(a) + np.diag(b, 1) + np.diag(b, -1) + np.diag(c, 2) + np.diag(c, -2)
-    assert np.allclose(signal._penta(a, b, c, v), np.linalg.solve(full, v))
-    grid, _ = signal.interpolate(np.array([0, 1e6]), np.array([0, 1.0]), 0.02)
-    assert len(grid) == 20_000 and grid[0] == 0 and grid[-1] == 1e6
+    assert signal.percentile_filter(np.array([5.0, 1, 4, 2, 3]), 50, 3).tolist() == [5, 4, 2, 3, 3]
+    ramp = np.linspace(0, 10, 200)
+    base = signal.asls(ramp + 50 * (np.abs(np.arange(200) - 100) < 4), 1e5)
+    assert np.abs(base - ramp).max() < 1.5 and signal.asls(np.ones(2)).tolist() == [0, 0]
+    rng = np.random.default_rng(0)
+    curves = [rng.random(n) for n in (30, 41, 30, 2, 0)]
+    assert all(np.allclose(a, signal.asls(c, 1e3)) for a, c in zip(signal.asls_many(curves, stiffness=1e3), curves))
+    for n in (3, 4, 30):
+        a, b, c, v = rng.random((2, n)) + 5, rng.random((2, n)), rng.random((2, n)), rng.random((2, n))
+        for i in range(2):
+            full = np.diag(a[i]) + np.diag(b[i, :-1], 1) + np.diag(b[i, :-1], -1) + np.diag(c[i, :-2], 2) + np.diag(c[i, :-2], -2)
+            assert np.allclose(signal.solve_five(a, b, c, v)[i], np.linalg.solve(full, v[i])) and np.allclose(signal.solve_five(a[i], b[i], c[i], v[i]), np.linalg.solve(full, v[i]))
     assert signal.maxima(np.array([0, 1, 1, 0, 2, 0])).tolist() == [1, 4]
 
 
+def test_fidelity_of_profiles():
+    x = np.arange(400.0)
+    drawn = 60 * np.exp(-x / 150) + sum(100 * h * np.exp(-0.5 * ((x - c) / 6) ** 2) for c, h in ((100, 1.0), (250, 0.5)))
+    same = signal.peak_fidelity(drawn, drawn)
+    assert (same["status"], same["n_peaks"], same["worst_loss"], same["worst_gain"], same["ratio_distortion_log2"], same["flagged"]) == ("ok", 2, 0.0, 0.0, 0.0, False)
+    cut = signal.amputated(drawn)
+    assert cut.max() < 0.6 * drawn.max() and signal.peak_fidelity(drawn, cut)["flagged"]
+    bar = drawn.copy()
+    bar[300:330] = 80  # a flat top with upright sides is no peak
+    assert signal.peak_fidelity(bar, bar)["n_peaks"] == 2
+    assert signal.peak_fidelity(np.full(400, 3.0), drawn)["status"] == "env_occluded"
+    assert signal.peak_fidelity(np.where(x < 100, drawn, np.nan), np.where(x > 50, drawn, np.nan))["status"] == "little_overlap"
+
+
+def test_curves_as_arrays_and_as_points(spark):
+    rows = [(1, [1.0, None, 3.0, float("nan"), 2.0]), (2, None), (3, []), (4, [9.0])]
+    arrays = spark.createDataFrame([(k, y, "c") for k, y in rows], "k long, y array<double>, label string")
+    kernel = lambda x, y: [(float(a), float(b)) for a, b in zip(x, y)]
+    got = signal.per_curve(arrays, "k", lambda n: -np.arange(n), "y", kernel, "a double, b double")
+    assert [tuple(r) for r in got.collect()] == [(1, -4.0, 2.0), (1, -2.0, 3.0), (1, 0.0, 1.0), (4, 0.0, 9.0)]
+    assert got._jdf.queryExecution().toString().count("Exchange") == 0
+    points = spark.createDataFrame([("a", 2.0, 5.0), ("a", 1.0, 6.0), ("b", None, 1.0)], "s string, x double, y double")
+    assert [tuple(r) for r in signal.per_series(points, "s", "x", "y", kernel, "a double, b double").collect()] == [("a", 1.0, 6.0), ("a", 2.0, 5.0)]
+    assert signal.per_curve(arrays.limit(0), "k", lambda n: np.arange(n), "y", kernel, "a double, b double").count() == 0
+
+
+def test_beta_shares(spark):
+    from ridgeline.operators import groups
+
+    t = np.linspace(0, 1, 400_001)
+    for a, b in ((2.3, 5.0), (30.0, 4.5), (300.0, 700.0)):
+        density = t ** (a - 1) * (1 - t) ** (b - 1)
+        share = np.cumsum(density) / density.sum()
+        for q in (0.025, 0.5, 0.975):
+            assert groups.beta_quantile(q, np.array([a]), np.array([b]))[0] == pytest.approx(t[np.searchsorted(share, q)], abs=1e-4)
+    rng = np.random.default_rng(5)
+    given = [(f"g{i}", int(n), int(rng.binomial(n, p))) for i, (n, p) in enumerate(zip(rng.integers(5, 200, 40), rng.beta(4, 8, 40)))]
+    rows = spark.createDataFrame(given, "g string, n long, hits long").repartition(5)
+    kept = [(n, h) for _, n, h in given if n >= 15]
+    axis = np.linspace(0.3, 60, 120)
+    ln = lambda a, b: math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    a, b = max(((a, b) for a in axis for b in axis), key=lambda ab: sum(ln(ab[0] + h, ab[1] + n - h) - ln(*ab) for n, h in kept))
+    pooled = sum(h for _, h in kept) / sum(n for n, _ in kept)
+    got = {r.g: r for r in groups.beta_binomial(rows, "g").collect()}
+    assert set(got) == {g for g, n, _ in given if n >= 15}
+    for r in got.values():
+        assert r["mean"] == pytest.approx((a + r.hits) / (a + b + r.n)) and r.lift == pytest.approx(r["mean"] - pooled)
+        assert r.low < r["mean"] < r.high and r.off_pool == (r.low > pooled or r.high < pooled)
+    assert groups.beta_binomial(rows.limit(0), "g").count() == 0
+
+
 def test_lines():
     x = np.arange(7.0) * 10
     y = x / 2 + 1
@@ -145,6 +287,88 @@ def test_streaming_ingest_is_resumable(spark, tmp_path):
             f.rename(tmp_path / "in" / f"{n}-{f.name}")
         streaming.ingest(spark, str(tmp_path / "in" / "*.parquet"), schema, str(tmp_path / "out"), str(tmp_path / "check"), "doc_id")
     assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2, 3]
+    streaming.ingest(spark, str(tmp_path / "in" / "*.parquet"), schema, str(tmp_path / "out"), str(tmp_path / "check"), "doc_id")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_content_hash_tells_repeated_rows(spark):
+    rows = spark.createDataFrame([("f1", "a"), ("f1", "a"), ("f2", "b"), ("f2", "b"), ("f3", None), ("f4", "\x00")], "figure_id string, v string")
+    found = {r.figure_id: r.hash for r in files.content_hash(rows.withColumn("figure", F.col("figure_id")).drop("figure").selectExpr("figure_id", "v")).collect()}
+    alike = files.content_hash(rows.selectExpr("'g' AS figure_id", "v", "figure_id AS f").where("f in ('f1')").drop("f")).first().hash
+    other = files.content_hash(rows.selectExpr("'g' AS figure_id", "v", "figure_id AS f").where("f in ('f2')").drop("f")).first().hash
+    assert len(set(found.values())) == 4 and alike != other
+
+
+def test_curve_data(spark):
+    curves = spark.createDataFrame([("s1", "f1", 0.2, "figures/1.csv.gz"), ("s2", "f2", None, None)], "series_id string, figure_id string, uncertainty double, data_path string")
+    points = spark.createDataFrame([("s1", 2.0, 5.0), ("s1", 1.0, 7.5), ("s3", 1.0, 1.0)], "series_id string, two_theta_deg double, relative_intensity double")
+    one = search.curve_data(curves, points, series_id="s1").first()
+    assert (one.point_count, one.two_theta_deg, one.relative_intensity, one.two_theta_uncertainty_deg) == (2, [1.0, 2.0], [7.5, 5.0], 0.2)
+    assert [r.line for r in search.curve_data(curves, points, series_id="s1", format="csv").orderBy("n").collect()] == ["two_theta_deg,relative_intensity", "1.0,7.5", "2.0,5.0"]
+    assert search.curve_data(curves, points, series_id="s9").count() == 0 and search.figure_data(curves, figure_id="f2").count() == 0
+    assert search.figure_data(curves, figure_id="f1").first().data_path == "figures/1.csv.gz"
+    for bad, rows in (({"series_id": "s1", "format": "xml"}, points), ({}, points), ({"series_id": "s1"}, points.drop("two_theta_deg")), ({"series_id": "s1", "x": 1}, points)):
+        with pytest.raises(search.BadParameter):
+            search.curve_data(curves, rows, **bad)
+
+
+def test_pixels(spark):
+    from ridgeline.operators import pixels
+
+    rng = np.random.default_rng(9)
+    h, w = 100, 40
+    mask = rng.random((h, w)) < 0.05
+    mask[:, 5] = mask[:, 38] = mask[:, 39] = False
+    anchor = 40 + 10 * np.sin(np.arange(w) / 6)
+    anchor[:2] = np.nan
+    trace = np.where(np.arange(w) % 7 == 0, np.nan, np.round(anchor) + rng.integers(-4, 5, w))
+    num = lambda v: None if np.isnan(v) else float(v)
+    cols = spark.createDataFrame([("p", c, num(anchor[c]), num(trace[c])) for c in range(w)], "key string, col long, anchor double, trace double")
+    ink = spark.createDataFrame([("p", int(c), int(r)) for r, c in zip(*np.nonzero(mask))], "key string, col long, row long")
+    off = np.where(mask, np.abs(np.arange(h)[:, None] - np.nan_to_num(trace, nan=1e9)), np.inf)
+    band = mask & (np.abs(np.arange(h)[:, None] - np.nan_to_num(anchor, nan=1e9)) <= 10)
+    got = pixels.trace_fidelity(cols, ink, "key", F.lit(h)).first()
+    assert got.n_eval_cols == np.isfinite(trace).sum() and got.precision == pytest.approx((off.min(0) <= 3).sum() / np.isfinite(trace).sum())
+    assert got.recall == pytest.approx((np.where(band, off, np.inf).min(0) <= 3).sum() / band.any(0).sum())
+    everywhere = pixels.trace_fidelity(cols, ink, "key", F.lit(h), anchored=False).first()
+    assert everywhere.recall == pytest.approx((off.min(0) <= 3).sum() / mask.any(0).sum())
+    y, hit = np.full(w, np.nan), np.zeros(w, bool)
+    for c in range(2, w):
+        rows = [r for r in np.flatnonzero(mask[:, c]) if int(anchor[c]) - 4 <= r <= int(anchor[c]) + 4]
+        weights = [1 / (1 + ((r - anchor[c]) / 2) ** 2) for r in rows]
+        y[c], hit[c] = (np.average(rows, weights=weights), True) if rows else (anchor[c], False)
+    v = y[2:].copy()
+    wide = np.concatenate([[v[0]] * 2, v, [v[-1]] * 2])
+    mid = np.array([np.median(wide[i : i + 5]) for i in range(len(v))])
+    v = np.where(np.abs(v - mid) > 6, mid, v)
+    ends = np.flatnonzero(hit)
+    want = {c: (v[c - 2], bool(hit[c])) for c in range(ends[0], ends[-1] + 1)}
+    found = {r.col: (r.y, r.snapped) for r in pixels.snapped(cols, ink, "key", F.lit(h)).collect()}
+    assert found.keys() == want.keys() and all(found[c][0] == pytest.approx(want[c][0]) and found[c][1] == want[c][1] for c in want)
+    dots = [(250.0 - i % 3, 10.0, 10.0 + i % 2, 5.0) for i in range(60)] + [(10.0, 20.0, 240.0, 9.0)] * 40 + [(10.0, 200.0, 20.0, 1.0)] * 10
+    colours = pixels.ink_colours(spark.createDataFrame(dots, "r double, g double, b double, row double"), 3).collect()
+    assert sorted((r["size"], r.row) for r in colours) == [(40, 9.0), (60, 5.0)]
+    assert pixels.ink_colours(spark.createDataFrame([], "r double, g double, b double, row double"), 3).count() == 0
+    white = spark.range(1).select(*(c.alias(n) for c, n in zip(pixels.lab(F.lit(255.0), F.lit(255.0), F.lit(255.0)), "lab"))).first()
+    assert white.l == pytest.approx(100, abs=0.01) and abs(white.a) < 0.02 and abs(white.b) < 0.02
+
+
+def test_sitemap_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "SITEMAP_ROWS", 10)
+    papers = spark.createDataFrame([(f"p {i}",) for i in range(35)] + [(None,)], "paper_id string")
+    files.write_sitemap(files.sitemap(papers, "https://x.org"), str(tmp_path / "s"), "https://x.org")
+    found = [f.read_text() for f in (tmp_path / "s" / "sitemap").rglob("*.txt")]
+    assert all(t.startswith("<?xml") and t.count("<loc>") <= 10 for t in found) and sum(t.count("<loc>") for t in found) == 37
+    assert any("https://x.org/paper/p%207<" in t for t in found)
+    assert "Disallow: /auth/" in next((tmp_path / "s" / "robots").glob("*.txt")).read_text()
+
+
+def test_spread_equals_the_walk(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(k), int(i), float(v)) for k in range(6) for i, v in enumerate(rng.uniform(-5, 60, rng.integers(1, 12)))]
+    got = calibration.spread(spark.createDataFrame(rows, "k long, i long, v double"), "k", "v", "i", 4.0, 0.0, 50.0).collect()
+    for k in range(6):
+        assert sorted(r.v for r in got if r.k == k) == pytest.approx(sorted(calibration.spread_labels([v for a, _, v in rows if a == k], 4.0, 0.0, 50.0)))
 
 
 def _plain(v):
@@ -189,10 +413,36 @@ def test_targets_and_descriptions():
     for bad, unit in (("x", "two_theta"), ("-1", "two_theta"), ("95", "two_theta"), ("0.5", "d")):
         with pytest.raises(search.BadParameter):
             search.peak_target(bad, unit)
-    assert "±0.1°" in search.describe(3.4, 0.1) and "assumed" in search.describe(3.4, 0.1, 26.0)
-
-
-def test_tick_repair_and_label_spread():
-    assert calibration.repaired_ticks([(0, 10), (50, 20), (100, 3), (150, 40)]) == [(0.0, 10.0), (50.0, 20.0), (100.0, 30.0), (150.0, 40.0)]
-    assert calibration.repaired_ticks([(0, 5)]) == [(0, 5)]
+    assert "0.1°" in search.describe(3.4, 0.1) and "assumed" in search.describe(3.4, 0.1, 26.0)
+
+
+@pytest.mark.parametrize(
+    "seen,meant",
+    [
+        ([10, 20, 3, 40], [10, 20, 30, 40]),  # lost zero, one step further
+        ([5, 15, 25, 5, 45], [5, 15, 25, 35, 45]),  # lost leading digit
+        ([20, 40, 60, 6], [20, 40, 60, 80]),
+        ([10, 12], [10, 12]),
+        ([10, 4], [10, 14]),  # no step is known: the least reading above
+        ([10, 20, 32, 90], [10, 20, 32, 44]),  # off the line of the last two: the nearest reading, one step of 12 on
+        ([10, 20, 33], [10, 20, 33]),  # within five of the line
+        ([7], [7]),
+        ([], []),
+    ],
+)
+def test_tick_repair(spark, seen, meant):
+    rows = spark.createDataFrame([(1, [(50.0 * i, float(v)) for i, v in enumerate(seen)])], "k int, ticks array<struct<px: double, value: double>>")
+    got = calibration.repair_ticks(rows, "k").first().ticks
+    assert [(t.px, t.value) for t in got] == [(50.0 * i, float(v)) for i, v in enumerate(meant)]
+
+
+def test_tick_repair_sorts_and_drops(spark):
+    kind = "k int, ticks array<struct<px: double, value: double>>"
+    rows = spark.createDataFrame([(1, [(100.0, 30.0), (0.0, 10.0), (50.0, 20.0)]), (2, [(0.0, 10.0), (0.5, 20.0), (1.0, -400.0)]), (3, None)], kind)
+    got = {r.k: r.ticks and [(t.px, t.value) for t in r.ticks] for r in calibration.repair_ticks(rows, "k").collect()}
+    assert got == {1: [(0.0, 10.0), (50.0, 20.0), (100.0, 30.0)], 2: [(0.0, 10.0), (0.5, 20.0), (1.0, 30.0)], 3: None}
+    assert calibration.repair_ticks(rows, "k")._jdf.queryExecution().toString().count("Python") == 0
+
+
+def test_label_spread():
     assert calibration.spread_labels([1, 1, 9.5], 2, 0, 10) == [1, 3, 9.5]

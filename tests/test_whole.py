@@ -19,7 +19,7 @@ def test_tiered_match_reads_whole_tables(spark, tmp_path):
         hits = sorted((-len(t), j) for j, t in there if t and key(name) and (t in key(name) or key(name) in t))
         tier = "A" if len(hits) == 1 else "A_ambiguous" if hits else "B" if len(there) == 1 else "C"
         want.add((i, hits[0][1] if hits else there[0][0] if tier == "B" else None, tier, len(there)))
-    got = {tuple(r) for r in registry.queries()["j12_tiered_match_whole"](spark, str(tmp_path)).collect()}
+    got = {tuple(r) for r in registry.queries()["j12_tiered_match"](spark, str(tmp_path)).collect()}
     assert got == want and {w[2] for w in want} == {"A", "A_ambiguous", "B", "C"}
 
 
