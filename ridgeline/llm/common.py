@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
@@ -66,6 +68,22 @@ def cut(df: DataFrame) -> DataFrame:
     return Tables(df.sparkSession).cut(df)
 
 
+def tidy(f):
+    """A generator that, once a partition is done, gives the memory it freed back to the system: workers live on, beside
+    others, and what their allocators keep adds up."""
+
+    @functools.wraps(f)
+    def run(*args):
+        try:
+            yield from f(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def in_small_batches(df: DataFrame) -> DataFrame:
     """df, in a session whose Arrow batches are of at most BATCH_BYTES (a longer row goes alone), whatever the length of texts:
     a batch of ten thousand rows of a megabyte would not fit a worker."""
@@ -224,15 +242,25 @@ def filter_bit(*columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
 
 
+@tidy
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed bits of each part of the filter that this task holds."""
-    held: dict[int, np.ndarray] = {}
+    """Packed bits of each part of the filter; rows come sorted by part, one is held at a time."""
+    at, held = None, np.zeros(_PART, bool)
+
+    def bits() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(held).tobytes()], pa.binary())], names=["part", "bits"])
+
     for batch in batches:
         part, low = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        for c in np.unique(part):
-            held.setdefault(int(c), np.zeros(_PART, bool))[low[part == c]] = True
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([np.packbits(b).tobytes() for b in held.values()], pa.binary())], names=["part", "bits"])
+        ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
+        for a, b in zip(np.append(0, ends[:-1]), ends) if len(part) else ():
+            if part[a] != at:
+                if at is not None:
+                    yield bits()
+                at, held = int(part[a]), np.zeros(_PART, bool)
+            held[low[a:b]] = True
+    if at is not None:
+        yield bits()
 
 
 def membership(keys: DataFrame, bit: Column):
@@ -241,7 +269,7 @@ def membership(keys: DataFrame, bit: Column):
     bits = keys.select((bit / _PART).cast("int").alias("part"), F.pmod(bit, F.lit(_PART)).cast("int").alias("low"))
     packed = np.zeros(FILTER_BITS // 8, np.uint8)
     step = _PART // 8
-    for r in bits.repartition("part").mapInArrow(_packed, "part int, bits binary").toLocalIterator():
+    for r in bits.repartition("part").sortWithinPartitions("part").mapInArrow(_packed, "part int, bits binary").toLocalIterator():
         packed[r.part * step : (r.part + 1) * step] = np.frombuffer(r.bits, np.uint8)
     return keys.sparkSession.sparkContext.broadcast(packed)
 
@@ -253,7 +281,9 @@ def passes(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def might_hold(shared):
     """Arrow-batched column function: whether a bit of a shared filter is set."""
 
-    def test(bits: pa.Array) -> pa.Array:
-        return pa.array(passes(shared.value, np.asarray(bits)))
+    @tidy
+    def test(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for bits in batches:
+            yield pa.array(passes(shared.value, np.asarray(bits)))
 
     return F.arrow_udf(test, "boolean")

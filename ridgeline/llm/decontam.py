@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import in_small_batches, mix, pruned
+from ridgeline.llm.common import in_small_batches, mix, pruned, tidy
 
 Q = 8
 RATE = 0.08
@@ -332,6 +332,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, window: i
     for index in blocks(benchmark, rate, window):
         shared = spark.sparkContext.broadcast(index)
 
+        @tidy
         def found(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
@@ -354,8 +355,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text: str =
 
 
 def _free(shared):
-    def free(texts: pa.Array) -> pa.Array:
-        hit = {r for r, *_ in scan(texts.to_pylist(), shared.value, first=True)}
-        return pa.array([r not in hit for r in range(len(texts))], pa.bool_())
+    @tidy
+    def free(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            hit = {r for r, *_ in scan(texts.to_pylist(), shared.value, first=True)}
+            yield pa.array([r not in hit for r in range(len(texts))], pa.bool_())
 
     return F.arrow_udf(free, "boolean")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import in_small_batches
+from ridgeline.llm.common import in_small_batches, tidy
 
 # Element names and hints.
 RAW = frozenset("style textarea title iframe option".split())  # text up to the end tag, whatever it holds; an option's may be left out
@@ -328,6 +328,7 @@ def learn(pages: DataFrame, sample: int = 1000) -> dict[str, float]:
     ids = pages.select("page_id").where("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
     some = pages.join(F.broadcast(ids), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html")).select("html")
 
+    @tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
@@ -345,6 +346,7 @@ def main_text(pages: DataFrame, sample: int = 1000) -> DataFrame:
     rows = in_small_batches(pages).select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     weight = learn(rows, sample)
 
+    @tidy
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(h.as_py(), weight) for h in batch.column(2)]

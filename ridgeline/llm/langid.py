@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import crc_mod, in_small_batches
+from ridgeline.llm.common import crc_mod, in_small_batches, tidy
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -116,6 +116,7 @@ def sample(rows: DataFrame, per_lang: int) -> DataFrame:
     return one.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_lang).select("lang", "text")
 
 
+@tidy
 def _counted(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         own: dict[str, list] = {}
@@ -147,6 +148,7 @@ def language_id(docs: DataFrame, held_out: Column | None = None, size: int = 400
     rows = in_small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), out.alias("held_out"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
     profiles = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")), size, longest, per_lang))
 
+    @tidy
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = profiles.value
         for batch in batches:

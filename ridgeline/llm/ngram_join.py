@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import FILTER_BITS, Tables, filter_bit, membership, might_hold, mix, passes, pruned, shingles, slices, utf8, words
+from ridgeline.llm.common import FILTER_BITS, Tables, filter_bit, membership, might_hold, mix, passes, pruned, shingles, slices, tidy, utf8, words
 
 #: Counters of the frequency sketch: one byte each (an eighth of a power of two) once summed, 16 MB broadcast, whatever
 #: the input.
@@ -112,6 +112,7 @@ class _Sketch:
                 yield c, counts
 
 
+@tidy
 def _stats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A row for each document, then this task's share of the sketch, compressed, a row for each chunk that has any."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("chunk", pa.int32()), ("payload", pa.binary())])
@@ -142,16 +143,25 @@ def _stats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         yield batch()
 
 
+@tidy
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the chunks of the sketch, and rounds to eighths of powers of two; holds the chunks of this task only."""
-    large, total = zstandard.ZstdDecompressor(), {}
+    """Sums each chunk of the sketch, and rounds to eighths of powers of two; rows come sorted by chunk, one is held at a time."""
+    large, at, total = zstandard.ZstdDecompressor(), None, None
+
+    def levels() -> pa.RecordBatch:
+        found = np.minimum(np.round(8 * np.log2(1 + total.astype(np.float64))), 255).astype(np.uint8).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([found], pa.binary())], names=["chunk", "payload"])
+
     for batch in batches:
-        for c, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(large.decompress(payload), np.uint16).astype(np.uint64)
-            total[c] = total[c] + part if c in total else part
-    if total:
-        levels = [np.minimum(np.round(8 * np.log2(1 + x.astype(np.float64))), 255).astype(np.uint8).tobytes() for x in total.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], names=["chunk", "payload"])
+        for c, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+            part = np.frombuffer(large.decompress(payload.as_py()), np.uint16)
+            if c != at:
+                if at is not None:
+                    yield levels()
+                at, total = c, np.zeros(CHUNK, np.uint64)
+            total += part
+    if at is not None:
+        yield levels()
 
 
 def least_overlap(n: np.ndarray | int, percent: int):
@@ -182,6 +192,7 @@ def choose_matches(frequencies: np.ndarray, n: int, base: int, least: int) -> in
 _PREFIX = "cls binary, n long, least_matches int, base int, edge_level int, edge long, tokens array<long>"
 
 
+@tidy
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -> Iterator[pa.RecordBatch]:
     levels = sketch.value
     about = np.exp2(np.arange(256) / 8) - 1
@@ -321,6 +332,7 @@ class Needs:
         return np.maximum(need, np.where(rank[a:] <= rank[a:b, None], overlap - after[a:], 0))
 
 
+@tidy
 def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of each tile, the classes that have a pair with enough common prefix tokens."""
     names = ["sig", "lo", "hi", "block", "cls", "n", "copies", "sigs"]
@@ -352,6 +364,7 @@ def _filtered(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield batch()
 
 
+@tidy
 def _whole(batches: Iterator[pa.RecordBatch], k: int, wanted) -> Iterator[pa.RecordBatch]:
     """Whole sets of the classes that pass the filter (a few more may)."""
     for batch in batches:
@@ -372,6 +385,7 @@ def _bit(cls: bytes) -> int:
 _LINKS = "cls binary, other binary, links long"
 
 
+@tidy
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Exact links of each tile: for each linked class its root in the tile and how many documents it links with."""
     cls, other, links = [], [], []
@@ -438,7 +452,7 @@ def _linked(docs: DataFrame, k: int, percent: int, text: str, doc_id: str) -> tu
     tables = Tables(spark)
     base = pruned(docs, text, doc_id)
     stats = tables.cut(base.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lambda it: _stats(it, k), _STATS))
-    chunks = stats.where("chunk is not null").select("chunk", "payload").repartition("chunk").mapInArrow(_summed, "chunk int, payload binary")
+    chunks = stats.where("chunk is not null").select("chunk", "payload").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_summed, "chunk int, payload binary")
     levels = np.zeros(SLOTS, np.uint8)
     for r in chunks.toLocalIterator():
         levels[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.payload, np.uint8)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import cut, in_small_batches, numbered
+from ridgeline.llm.common import cut, in_small_batches, numbered, tidy
 from ridgeline.llm.secrets import VOCABULARY, encoder, vocabulary
 
 BUCKETS = 16
@@ -77,6 +77,7 @@ def lengths(docs: DataFrame, vocabulary_path: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens (without the end token) and text_hash of every row, in one pass over whole texts."""
     words = vocabulary(docs.sparkSession, vocabulary_path)
 
+    @tidy
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(words.value).encode_ordinary
         for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import in_small_batches, pruned
+from ridgeline.llm.common import in_small_batches, pruned, tidy
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-tokenisation pattern that belongs to the vocabulary (fixed value).
@@ -124,6 +124,7 @@ def scan(docs: DataFrame, vocabulary_path: str = VOCABULARY, known_digests: tupl
     words = vocabulary(docs.sparkSession, vocabulary_path)
     known = KNOWN | {x.lower() for x in known_digests}
 
+    @tidy
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(words.value).encode_ordinary
         for batch in batches:
@@ -155,9 +156,11 @@ def redacted(docs: DataFrame, vocabulary_path: str = VOCABULARY, mark: str = "[S
     words = vocabulary(docs.sparkSession, vocabulary_path)
     known = KNOWN | {x.lower() for x in known_digests}
 
-    def clean(texts: pa.Array) -> pa.Array:
+    @tidy
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder(words.value).encode_ordinary
-        return pa.array([t if t is None or not (spans := scan_text(t, encode, known)[1]) else redact(t, spans, mark) for t in texts.to_pylist()], pa.string())
+        for texts in batches:
+            yield pa.array([t if t is None or not (spans := scan_text(t, encode, known)[1]) else redact(t, spans, mark) for t in texts.to_pylist()], pa.string())
 
     out = in_small_batches(docs).withColumn(text, F.arrow_udf(clean, "string")(docs[text].cast("string")))
     return out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType)) if n_chars in docs.columns else out

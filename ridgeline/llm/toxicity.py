@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import crc_mod, cut, in_small_batches, labelled
+from ridgeline.llm.common import crc_mod, cut, in_small_batches, labelled, tidy
 
 #: Terms of the sample together, 8 bytes each on the driver.
 MOST_TERMS = 4_000_000
@@ -182,6 +182,7 @@ def fit_keys(rows: list[np.ndarray], labels: np.ndarray, least: float = 12.0, pa
 
 def learn(rows: DataFrame, labels: DataFrame, label: str, sample: int, most_terms: int = MOST_TERMS, **settings) -> Machine:
     """Fits on at most `sample` labelled ids of (doc_id, text), fewer if they have more than most_terms terms together."""
+    @tidy
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [terms(t.as_py()) for t in batch.column("text")]
@@ -211,6 +212,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out:
     allowed = labels if held_out is not None else labels.where(crc_mod(labels["doc_id"], 4) != 2)
     machine = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out")).select("doc_id", "text"), allowed, label, sample, **settings))
 
+    @tidy
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = machine.value
         for batch in batches:
