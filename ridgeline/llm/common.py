@@ -21,7 +21,7 @@ SPACES = b" \t\n\v\f\r"
 #: Bytes of text that one numpy pass handles at a time (longer single texts are handled alone).
 SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
