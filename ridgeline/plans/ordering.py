@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ridgeline.operators import models
 from ridgeline.plans.registry import query, table
 
 
@@ -29,11 +30,8 @@ def l3_page_clamp(spark, sf_dir):
 SELECT q, vec_id, k FROM (SELECT q, vec_id, row_number() OVER (PARTITION BY q ORDER BY d, vec_id) AS k FROM d) WHERE k <= 10""")
 def l6_nearest_neighbours(spark, sf_dir):
     """Stated queries (ids divisible by 50) against all vectors; exact, with a running top ten a query."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    asked = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("e").alias("f"))
-    d = F.round(F.sqrt(F.aggregate(F.zip_with("e", "f", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)), 9)
-    pairs = rows.crossJoin(asked).where("q <> vec_id").select("q", "vec_id", d.alias("d"))
-    return pairs.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy("d", "vec_id"))).where("k <= 10").select("q", "vec_id", F.col("k").cast("long").alias("k"))
+    near = models.top_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 10, "embedding")
+    return near.select("q", "vec_id", F.col("place").cast("long").alias("k"))
 
 
 @query("SELECT p_partkey, p_name FROM part ORDER BY p_size % 2 = 0, p_name, p_partkey LIMIT 300")

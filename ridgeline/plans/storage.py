@@ -120,20 +120,77 @@ def s22_object_walk(spark, sf_dir):
 
 # --- declared invariants: rows that break them
 
-_CURVES = "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice / 2000 END AS x, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 1.5406 END AS w, o_orderstatus AS status, CASE WHEN o_orderkey % 17 = 0 THEN -1.0 ELSE o_totalprice / 300000 END AS fidelity, o_orderkey % 9 AS lo, o_orderkey % 7 + 3 AS hi FROM orders"
+_CURVES = """SELECT o_orderkey AS k, o_orderkey % 2 = 0 AS in_clean_set, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 19 > 0 THEN 'clean' ELSE 'flagged' END AS admission, CASE WHEN o_orderkey % 17 = 0 THEN -1.0 ELSE o_totalprice / 600000 END AS fidelity,
+CASE WHEN o_orderkey % 11 > 0 THEN o_totalprice / 2000 END AS two_theta, CASE WHEN o_orderkey % 11 > 0 THEN 5.0 END AS d, CASE WHEN o_orderkey % 11 > 0 THEN o_orderkey % 40 / 10.0 END AS fwhm, CASE WHEN o_orderkey % 13 > 0 THEN 0.35 + o_orderkey % 30 / 10.0 END AS wavelength,
+CASE WHEN o_orderkey % 11 > 0 THEN 'paper' END AS source, CASE o_orderkey % 7 WHEN 0 THEN 'no_bragg_peak' WHEN 1 THEN 'truncated_at_window_start' ELSE 'ok' END AS status, o_orderkey % 23 / 20.0 AS crystalline_fraction,
+CASE WHEN o_orderkey % 3 = 0 THEN 14.0 + o_orderkey % 23 END AS hump_center, CASE WHEN o_orderkey % 3 = 0 THEN 2.0 END AS hump_fwhm, CASE o_orderkey % 4 WHEN 0 THEN 'hump_detected' WHEN 1 THEN 'not_computed' WHEN 2 THEN 'no_hump_detected' END AS hump_status,
+o_orderkey % 9 AS two_theta_min, o_orderkey % 7 + 3 AS two_theta_max FROM orders"""
+
+#: Each rule as SQL, with the rows that it holds for; an unknown result passes.
+_RULES = {
+    "c4": "in_clean_set = (admission = 'clean')",
+    "c5": "fidelity BETWEEN 0 AND 1",
+    "c6_two_theta": "two_theta > 0 AND two_theta < 180",
+    "c6_fwhm": "fwhm BETWEEN 0.05 AND 3",
+    "c6_wavelength": "wavelength > 0.4 AND wavelength < 3",
+    "c7_together": "(two_theta IS NULL) = (d IS NULL) AND (two_theta IS NULL) = (fwhm IS NULL) AND (two_theta IS NULL) = (wavelength IS NULL) AND (two_theta IS NULL) = (source IS NULL)",
+    "c7_absent": "NOT (status IN ('truncated_at_window_start', 'no_bragg_peak') AND two_theta IS NOT NULL)",
+    "c8_fraction": "crystalline_fraction BETWEEN 0 AND 1",
+    "c8_center": "hump_center BETWEEN 15 AND 35",
+    "c9_geometry": "hump_status IS NOT DISTINCT FROM 'hump_detected' OR (hump_center IS NULL AND hump_fwhm IS NULL)",
+    "c9_computed": "NOT (hump_status IS NOT DISTINCT FROM 'not_computed' AND crystalline_fraction IS NOT NULL)",
+    "c10": "two_theta_min <= two_theta_max",
+}
 
 
 def _curves(spark, sf_dir):
     k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 11 != 0, F.col("o_totalprice") / 2000).alias("x"), F.when(k % 13 != 0, 1.5406).alias("w"), F.col("o_orderstatus").alias("status"), F.when(k % 17 == 0, -1.0).otherwise(F.col("o_totalprice") / 300000).alias("fidelity"), (k % 9).alias("lo"), (k % 7 + 3).alias("hi"))
+    here = k % 11 > 0
+    return table(spark, sf_dir, "orders").select(
+        k.alias("k"),
+        (k % 2 == 0).alias("in_clean_set"),
+        F.when((k % 2 == 0) & (k % 19 > 0), "clean").otherwise("flagged").alias("admission"),
+        F.when(k % 17 == 0, -1.0).otherwise(F.col("o_totalprice") / 600000).alias("fidelity"),
+        F.when(here, F.col("o_totalprice") / 2000).alias("two_theta"),
+        F.when(here, 5.0).alias("d"),
+        F.when(here, k % 40 / 10.0).alias("fwhm"),
+        F.when(k % 13 > 0, 0.35 + k % 30 / 10.0).alias("wavelength"),
+        F.when(here, "paper").alias("source"),
+        F.when(k % 7 == 0, "no_bragg_peak").when(k % 7 == 1, "truncated_at_window_start").otherwise("ok").alias("status"),
+        (k % 23 / 20.0).alias("crystalline_fraction"),
+        F.when(k % 3 == 0, 14.0 + k % 23).alias("hump_center"),
+        F.when(k % 3 == 0, 2.0).alias("hump_fwhm"),
+        F.when(k % 4 == 0, "hump_detected").when(k % 4 == 1, "not_computed").when(k % 4 == 2, "no_hump_detected").alias("hump_status"),
+        (k % 9).alias("two_theta_min"),
+        (k % 7 + 3).alias("two_theta_max"),
+    )
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS rule, k AS id FROM ({_CURVES}) WHERE NOT coalesce({rule}, true)" for name, rule in _RULES.items()))
+def c_row_invariants(spark, sf_dir):
+    return validation.violations(_curves(spark, sf_dir), "k", validation.curve_rules()).select("rule", F.col("key").alias("id"))
 
 
-@query(f"""SELECT 'c1' AS rule, o_orderkey AS id FROM ({_CURVES}) WHERE NOT coalesce((status = 'P') = (x IS NULL), true) UNION ALL SELECT 'c5', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(fidelity BETWEEN 0 AND 1, true)
-UNION ALL SELECT 'c6', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(x > 0 AND x < 180, true) UNION ALL SELECT 'c7', o_orderkey FROM ({_CURVES}) WHERE (x IS NULL) <> (w IS NULL) UNION ALL SELECT 'c10', o_orderkey FROM ({_CURVES}) WHERE NOT coalesce(lo <= hi, true)""")
-def c_row_invariants(spark, sf_dir):
-    x, w = F.col("x"), F.col("w")
-    rules = {"c1": (F.col("status") == "P") == x.isNull(), "c5": F.col("fidelity").between(0, 1), "c6": (x > 0) & (x < 180), "c7": x.isNull() == w.isNull(), "c10": F.col("lo") <= F.col("hi")}
-    return validation.violations(_curves(spark, sf_dir), "o_orderkey", rules).select("rule", F.col("key").alias("id"))
+@query("SELECT 'c1' AS rule, c_custkey AS id FROM customer WHERE (c_acctbal < 0) <> (c_custkey % 3 = 0)")
+def c1_paper_invariants(spark, sf_dir):
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(k, F.when(F.col("c_acctbal") < 0, "unchecked").otherwise("active").alias("status"), F.when(k % 3 > 0, "2024-01-01").alias("checked_at"))
+    return validation.violations(rows, "c_custkey", validation.paper_rules()).select("rule", F.col("key").alias("id"))
+
+
+@query("""WITH f AS (SELECT p_partkey AS k, p_size - 3 AS page, CASE WHEN p_partkey % 5 > 0 THEN p_retailprice - 1000 END AS rmse, p_partkey % 4 - 1 AS n FROM part)
+SELECT 'c2_page' AS rule, k AS id FROM f WHERE NOT coalesce(page > 0, true) UNION ALL SELECT 'c2_rmse', k FROM f WHERE NOT coalesce(rmse >= 0, true) UNION ALL SELECT 'c2_points', k FROM f WHERE NOT coalesce(n >= 0, true)""")
+def c2_figure_invariants(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(k, (F.col("p_size") - 3).alias("page"), F.when(k % 5 > 0, F.col("p_retailprice") - 1000).alias("rmse"), (k % 4 - 1).alias("n_points"))
+    return validation.violations(rows, "p_partkey", validation.figure_rules()).select("rule", F.col("key").alias("id"))
+
+
+@query("""WITH g AS (SELECT p_brand AS k, count(*) - 40 AS curve_count, count(DISTINCT p_type) AS paper_count, count(DISTINCT CASE WHEN p_size > 49 THEN p_name END) AS variants FROM part GROUP BY p_brand)
+SELECT 'c3_counts' AS rule, k AS id FROM g WHERE curve_count < paper_count UNION ALL SELECT 'c3_variants', k FROM g WHERE variants < 1""")
+def c3_group_invariants(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").groupBy("p_brand").agg((F.count(F.lit(1)) - 40).alias("curve_count"), F.count_distinct("p_type").alias("paper_count"), F.collect_set(F.when(F.col("p_size") > 49, F.col("p_name"))).alias("label_variants"))
+    return validation.violations(rows, "p_brand", validation.group_rules()).select("rule", F.col("key").alias("id"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")

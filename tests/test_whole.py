@@ -48,7 +48,20 @@ def test_blocks_find_the_same_neighbours(spark):
     rng = np.random.default_rng(4)
     rows = spark.createDataFrame([(i, rng.integers(0, 3, 4).astype(float).tolist()) for i in range(60)], "vec_id long, components array<double>")
     got = {tuple(r) for r in models.all_neighbours(rows, 5, block=16).collect()}
-    assert got == {tuple(r) for r in models.top_neighbours(rows, rows["vec_id"] >= 0, 5).collect()} and len(got) == 300
+    assert got == {tuple(r)[:3] for r in models.top_neighbours(rows, rows["vec_id"] >= 0, 5).collect()} and len(got) == 300
+
+
+def test_query_blocks_find_the_same_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 4, (90, 3)).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, components array<double>").repartition(7)
+    monkeypatch.setattr(models, "ASKED_BYTES", 8 * 3 * 4)
+    got = {tuple(r)[:3] for r in models.top_neighbours(rows, rows["vec_id"] % 5 == 0, 4).collect()}
+    want = set()
+    for q in range(0, 90, 5):
+        d = np.round(np.sqrt(((x - x[q]) ** 2).sum(1)), 9)
+        want |= {(q, i, place + 1) for place, i in enumerate([i for i in np.lexsort((np.arange(90), d)) if i != q][:4])}
+    assert got == want and models.top_neighbours(rows, rows["vec_id"] < 0, 4).count() == 0
 
 
 def test_forest_scores_have_means_and_a_shuffled_run(spark):
