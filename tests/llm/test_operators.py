@@ -838,3 +838,108 @@ def test_toxicity(spark):
     assert all(r.predicted == truth[r.doc_id] for r in got if r.held_out and r.doc_id in truth)
     assert toxicity.toxicity(frame(spark, []), given).count() == 0
     assert {r.predicted for r in toxicity.toxicity(frame(spark, texts[:3]), given.limit(0)).collect()} == {0}
+
+
+# --- nulls, repeated rows, long and empty texts, clashing columns, for every operator
+
+ODD = [(None, "text without an id " * 20), (1, None), (1, None), (2, ""), (2, "same words here again"), (2, "same words here again"), (3, " \n\t "), (4, "long " * 60_000), (5, "\u0000 \U0001f600 é")]
+
+
+def odd(spark):
+    return frame(spark, [t for _, t in ODD], [i for i, _ in ODD]).selectExpr("*", "doc_id AS item_id", "text AS html", "1 AS n", "2 AS y", "3 AS cell", "4 AS part", "5 AS place", "6 AS chunk", "7 AS label", "8 AS boundary")
+
+
+def extra(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).selectExpr("*", "'x' AS lang", "1 AS rank", "'c' AS cls", "9 AS n")
+
+
+def test_odd_rows_packing(spark):
+    rows = packing.packing(odd(spark), buckets=3, budget=64).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD) and max(r.n_tokens for r in rows) >= 60_000
+
+
+def test_odd_rows_sharding(spark):
+    rows = sharding.shard(odd(spark), 3).collect()
+    assert Counter((r.doc_id, r.size) for r in rows) == Counter((i, len((t or "").encode()) + 1) for i, t in ODD)
+    assert len({r.shard for r in rows if r.doc_id == 2 and r.size > 1}) == 1
+
+
+def test_odd_rows_quality(spark):
+    labels = extra(spark, [(1, 1), (2, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    rows = quality.quality(odd(spark), labels).collect()
+    assert Counter((r.doc_id, r.n_words) for r in rows) == Counter((i, len((t or "").encode().split())) for i, t in ODD)
+    assert all(r.base_failed and not r.kept for r in rows)
+    assert quality.good(odd(spark), labels).columns == odd(spark).columns
+
+
+def test_odd_rows_decontamination(spark):
+    bench = extra(spark, [(1, "same words here again"), (2, None), (3, ""), (None, "long long long long long long")], "item_id long, text string")
+    found = Counter((r.doc_id, r.item_id, r.edits) for r in decontam.matches(odd(spark), bench).collect())
+    assert found == {(2, 1, 0): 2, (4, None, 0): 1}
+    kept = decontam.clean(odd(spark), bench)
+    assert kept.columns == odd(spark).columns and Counter(r.doc_id for r in kept.collect()) == Counter([None, 1, 1, 2, 3, 5])
+
+
+def test_odd_rows_licenses(spark):
+    rows = licenses.scan(odd(spark), licenses.known_texts(spark)).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD) and all(r.license_id is None for r in rows)
+    assert {r.text_digest is None for r in rows if r.doc_id == 1} == {True}
+
+
+def test_odd_rows_language(spark):
+    rows = langid.language_id(odd(spark)).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD)
+    assert all(r.lang_pred == "und" and r.score == 0 for r in rows if r.doc_id in (1, 3))
+
+
+def test_odd_rows_secrets(spark):
+    rows = secrets.scan(odd(spark)).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD) and all(r.spans == "" for r in rows)
+    assert secrets.redacted(odd(spark)).columns == odd(spark).columns
+
+
+def test_odd_rows_join(spark):
+    rows = ngram_join.ngram_join(odd(spark)).collect()
+    want = brute_join([(i, t) for i, t in ODD], 3, 90)
+    assert sorted(map(tuple, rows), key=str) == want
+    kept = ngram_join.deduplicated(odd(spark))
+    assert kept.columns == odd(spark).columns and Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([x for x in ODD if x[1] != "same words here again"] + [(2, "same words here again")])
+
+
+def test_odd_rows_toxicity(spark):
+    labels = extra(spark, [(1, 1), (1, 0), (2, 0), (None, 1), (4, None)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(odd(spark), labels).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in ODD) and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows_pages(spark):
+    pages = spark.createDataFrame([(None, None, "<p>a b c d</p>"), (1, "u", None), (1, "u", None), (2, "v", ""), (3, "w", "<p>" + "word " * 200_000 + "</p>")], "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n", "true AS inside", "'x' AS name")
+    rows = html_extract.main_text(pages).collect()
+    assert Counter((r.page_id, r.n_chars) for r in rows) == {(None, 7): 1, (1, 0): 2, (2, 0): 1, (3, 999_999): 1}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    from ridgeline.llm import common
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class Held:
+                    def getCheckpointDir(self):
+                        return type("Option", (), {"isDefined": lambda self: False})()
+
+                return Held()
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        common.shared_folder(Session())
