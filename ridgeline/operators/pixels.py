@@ -21,7 +21,7 @@ LEAST_PIXELS = 30
 def snapped(columns: DataFrame, ink: DataFrame, key: str, height: Column) -> DataFrame:
     """(key, col, y, snapped): each column's anchor moved to the centroid of the ink near it, weighed towards the anchor.
 
-    Columns without ink near keep the anchor. Jumps over the median of five columns take that median (of plots with seven
+    Centroids have nine decimals, so that no limit depends on the order of a sum. Columns without ink near keep the anchor. Jumps over the median of five columns take that median (of plots with seven
     columns at least), and unsnapped columns before the first and after the last snapped one go.
     """
     rows = columns.where("anchor is not null").select(key, "col", "anchor", height.cast("double").alias("h"))
@@ -29,7 +29,7 @@ def snapped(columns: DataFrame, ink: DataFrame, key: str, height: Column) -> Dat
     near = ink.join(rows, [key, "col"]).where("row >= int(anchor) - reach and row <= int(anchor) + reach and row >= 0 and row < h")
     off = F.abs(F.col("row") - F.col("anchor")) / F.greatest(F.lit(1.0), F.col("reach") / 2)
     weight = 1 / (1 + off * off)
-    found = near.groupBy(key, "col").agg((F.sum(weight * F.col("row")) / F.sum(weight)).alias("found"))
+    found = near.groupBy(key, "col").agg(F.round(F.sum(weight * F.col("row")) / F.sum(weight), 9).alias("found"))
     moved = rows.join(found, [key, "col"], "left").select(key, "col", "h", F.coalesce("found", "anchor").alias("y"), F.col("found").isNotNull().alias("snapped"))
     w, every = Window.partitionBy(key).orderBy("col"), Window.partitionBy(key)
     first, last = F.first("y").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last("y").over(w.rowsBetween(0, Window.unboundedFollowing))

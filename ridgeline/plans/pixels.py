@@ -28,7 +28,7 @@ def g13_trace_fidelity(spark, sf_dir):
 
 
 @query(f"""WITH ink AS ({_INK}), c AS ({_COLUMNS}),
-f AS (SELECT c.user_id, c.col, any_value(anchor) AS anchor, sum(row / (1 + ((row - anchor) / 2.0) ** 2)) / sum(1 / (1 + ((row - anchor) / 2.0) ** 2)) AS found FROM c LEFT JOIN (SELECT * FROM ink) i ON i.user_id = c.user_id AND i.col = c.col AND row BETWEEN trunc(anchor) - 4 AND trunc(anchor) + 4 GROUP BY c.user_id, c.col),
+f AS (SELECT c.user_id, c.col, any_value(anchor) AS anchor, round(sum(row / (1 + ((row - anchor) / 2.0) ** 2)) / sum(1 / (1 + ((row - anchor) / 2.0) ** 2)), 9) AS found FROM c LEFT JOIN (SELECT * FROM ink) i ON i.user_id = c.user_id AND i.col = c.col AND row BETWEEN trunc(anchor) - 4 AND trunc(anchor) + 4 GROUP BY c.user_id, c.col),
 m AS (SELECT user_id, col, coalesce(found, anchor) AS y, found IS NOT NULL AS snapped FROM f),
 n AS (SELECT *, list_sort([coalesce(lag(y, 2) OVER w, first_value(y) OVER w), coalesce(lag(y, 1) OVER w, y), y, coalesce(lead(y, 1) OVER w, y), coalesce(lead(y, 2) OVER w, last_value(y) OVER (PARTITION BY user_id ORDER BY col ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))])[3] AS mid,
 min(CASE WHEN snapped THEN col END) OVER (PARTITION BY user_id) AS a, max(CASE WHEN snapped THEN col END) OVER (PARTITION BY user_id) AS b FROM m WINDOW w AS (PARTITION BY user_id ORDER BY col))
