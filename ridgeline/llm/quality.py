@@ -6,7 +6,7 @@ Text that repeats itself, or is made of few marks, compresses better than prose
 texts compress badly whatever they say, so that the limits depend on the length. Beside the bands stand plain counts:
 words, symbols, repeated lines, words inside repeated three-word windows.
 
-The limits are fixed bands, or fitted (`fitted`) to labelled texts: the usual ratio at each length is that of texts of
+The limits are fixed bands, or fitted (`fitted`) to all labelled texts: the usual ratio at each length is that of texts of
 label 1, and the lower (upper) limit the share of it that tells most texts of label 0 from those, where a text lost counts
 `LOSS` times one caught. Without labels of both kinds, or beyond the labelled lengths, the fixed bands hold.
 
@@ -16,7 +16,6 @@ texts are read whole, chunk by chunk. Repeated rows get equal rows; extra column
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log2
@@ -24,10 +23,10 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import SPACES, cut, in_small_batches, labelled, pruned, tidy
+from ridgeline.llm.common import SPACES, Tables, filter_bit, in_small_batches, membership, passes, pruned, tidy
 
 SYMBOLS = "#*$%&|<>"
 
@@ -48,8 +47,7 @@ CHUNK_BYTES = 1024
 CHUNK = Band(None, 0.30, 0.80)
 #: Share of a text's chunks, by the bytes they stand for, that may lie outside the chunk limits.
 BAD_CHUNKS = 0.5
-#: Labelled ids that limits are fitted to, at most; what a sound text lost weighs against one caught; sound texts a length needs.
-SAMPLE = 10_000
+#: What a sound text lost weighs against one caught; sound texts a length needs.
 LOSS = 10.0
 LEAST_SOUND = 20
 
@@ -147,48 +145,120 @@ def best_limit(sound: np.ndarray, junk: np.ndarray, n_sound: np.ndarray | None =
     return float((values[i - 1] + values[i]) / 2) if gain[i] > 0 else None
 
 
-def fit(size: np.ndarray, whole: np.ndarray, label: np.ndarray, chunks: dict[int, tuple[np.ndarray, np.ndarray]], limits: Limits = Limits()) -> Limits:
-    """Limits for labelled texts by their bytes and ratios; chunks: label to (ratios, how many) of chunks."""
-    x = np.log2(np.maximum(size, 1))
-    good = np.flatnonzero(label == 1)
-    good = good[np.argsort(x[good], kind="stable")]
-    if len(good) < 2 * LEAST_SOUND or not (label == 0).any():
-        return limits
-    parts = np.array_split(good, max(2, min(40, len(good) // LEAST_SOUND)))
-    lengths, usual = [float(x[p].mean()) for p in parts], [float(np.median(whole[p])) for p in parts]
-    lengths[0], lengths[-1] = float(x[good[0]]), float(x[good[-1]])
-    inside = (x >= lengths[0]) & (x <= lengths[-1])
-    share = whole / np.interp(x, lengths, usual)
-    sound, junk = share[inside & (label == 1)], share[inside & (label == 0)]
-    low, high = best_limit(sound, junk), best_limit(-sound, -junk)
-    (a, n), (b, m) = chunks[1], chunks[0]
-    lowest, highest = best_limit(a, b, n, m), best_limit(-a, -b, n, m)
-    chunk = Band(None, limits.chunk.lowest if lowest is None else lowest, limits.chunk.highest if highest is None else -highest)
-    return Limits(limits.bands, chunk, tuple(lengths), tuple(usual), low, None if high is None else -high)
-
-
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, text: str = "text", doc_id: str = "doc_id") -> Limits:
-    """Limits fitted to at most `sample` labelled ids. The driver gets three numbers a text, and a histogram of chunk ratios."""
-
-    @tidy
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=LEVEL)
-        for batch in batches:
-            rows, bins = [], Counter()
-            for t, y in zip(batch.column("text"), batch.column("y").to_pylist()):
-                raw = (t.as_py() or "").encode()
-                whole, parts = ratios(raw, compressor)
-                rows.append((len(raw), whole, y, None))
-                bins.update((y, round(256 * r)) for r in parts)
-            rows += [(n, r / 256, y, True) for (y, r), n in bins.items()]
-            kinds = (pa.int64(), pa.float64(), pa.int32(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=["n", "ratio", "y", "chunk"])
-
-    found = cut(labelled(docs, labels, label, sample, text, doc_id).mapInArrow(measured, "n long, ratio double, y int, chunk boolean"))
-    texts = found.where("chunk is null").select("n", "ratio", "y").toArrow().sort_by([("n", "ascending"), ("ratio", "ascending"), ("y", "ascending")])  # at most `sample` rows
-    bins = found.where("chunk").groupBy("y", "ratio").agg(F.sum("n").alias("n")).orderBy("y", "ratio").collect()  # at most 1024 values of a label
-    of = {y: (np.array([r.ratio for r in bins if r.y == y], float), np.array([r.n for r in bins if r.y == y], float)) for y in (0, 1)}
-    return fit(*(np.asarray(texts[c], float) for c in ("n", "ratio", "y")), of)
+@tidy
+def _measured(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Bytes, ratio and chunk ratios (in 256ths) of the texts whose bit is set in the shared filter."""
+    compressor = zstandard.ZstdCompressor(level=LEVEL)
+    kinds = {"doc_id": pa.int64(), "n": pa.int64(), "ratio": pa.float64(), "chunks": pa.list_(pa.int32())}
+    for batch in batches:
+        rows = []
+        for i in np.flatnonzero(passes(shared.value, np.asarray(batch.column("bit")))):
+            raw = (batch.column("text")[i].as_py() or "").encode()
+            whole, parts = ratios(raw, compressor)
+            rows.append((batch.column("doc_id")[i].as_py(), len(raw), whole, [round(256 * r) for r in parts]))
+        columns = zip(*rows) if rows else [[]] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+
+def measured(tables: Tables, docs: DataFrame, labels: DataFrame, label: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """A table (n, ratio, chunks, y) of every id of label 0 or 1 and its text. Several labels of one id count as their maximum;
+    of several texts of one id that of the least (n, ratio, chunks) stands. No text moves: a filter of the labelled ids spares
+    most others the compression, and only numbers meet the labels."""
+    given = labels.select(labels[doc_id].cast("long").alias("doc_id"), labels[label].cast("int").alias("y")).where("doc_id is not null and y is not null")
+    given = given.groupBy("doc_id").agg(F.max("y").alias("y"))
+    shared = membership(given, filter_bit(F.col("doc_id")))
+    rows = pruned(docs, text, doc_id).where("doc_id is not null").select("doc_id", filter_bit(F.col("doc_id")).alias("bit"), "text")
+    rows = rows.mapInArrow(lambda it: _measured(it, shared), "doc_id long, n long, ratio double, chunks array<int>")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("n", "ratio", "chunks")).alias("of"))
+    out = tables.cut(rows.join(given.hint("merge"), "doc_id").where("y in (0, 1)").select("of.*", "y"))
+    shared.unpersist()
+    return out
+
+
+def cell(value: Column) -> Column:
+    """A few thousand classes of a value above 0, in its order."""
+    return F.floor(256 * F.log2(value))
+
+
+def running(df: DataFrame, cells: list[Column], order: list[str], counts: list[str]) -> DataFrame:
+    """Adds `before_<count>`: the sum of each count over all rows before a row, in the order of cells, then of `order`. The sums
+    of cells give each cell's first number (broadcast, no more than there are cells); a window adds up inside a cell."""
+    keys = [f"__cell{i}" for i in range(len(cells))]
+    dealt = df.withColumns(dict(zip(keys, cells)))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts))
+    first = first.select(*keys, *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{c}") for c in counts))
+    sums = (F.coalesce(F.sum(c).over(inner), F.lit(0)) + F.col(f"__{c}") for c in counts)
+    return dealt.join(F.broadcast(first), keys).select(*df.columns, *(x.alias(f"before_{c}") for x, c in zip(sums, counts)))
+
+
+def usual_ratios(tables: Tables, texts: DataFrame, sound: int) -> tuple[list[float], list[float]]:
+    """Mean log2 of bytes and median ratio of each of up to 40 equal parts of the sound texts, by length, then ratio."""
+    parts = max(2, min(40, sound // LEAST_SOUND))
+    small, more = divmod(sound, parts)
+    start = lambda part: f"({part} * {small}L + least({part}, {more}))"
+    part_of = lambda i: f"if({i} < {more * (small + 1)}L, {i} div {small + 1}L, {more} + ({i} - {more * (small + 1)}L) div {small}L)"
+    sized = F.greatest("n", F.lit(1))
+    placed = running(texts.where("sound > 0"), [cell(sized)], ["n", "ratio"], ["sound"])
+    placed = placed.withColumn("part", F.expr(f"explode(sequence({part_of('before_sound')}, {part_of('(before_sound + sound - 1)')}))"))
+    placed = tables.cut(placed.select("part", "n", "ratio", F.expr(f"least(before_sound + sound, {start('(part + 1)')}) - greatest(before_sound, {start('part')})").alias("sound")))
+    # sums of integers, so that no order of adding shows
+    means = {r.part: r.x / 2**24 for r in placed.groupBy("part").agg(F.sum(F.round(F.log2(sized) * 2**24).cast("long") * F.col("sound")).alias("x")).collect()}
+    lengths = [means[p] / (small + (p < more)) for p in range(parts)]
+    by_ratio = running(placed.groupBy("part", "ratio").agg(F.sum("sound").alias("sound")), [F.col("part"), cell(F.col("ratio"))], ["ratio"], ["sound"])
+    middle = [f"{start('part')} + (({start('(part + 1)')} - {start('part')}) - {1 - i}) div 2" for i in (0, 1)]
+    holds = [F.max(F.expr(f"if(before_sound <= {m} and {m} < before_sound + sound, ratio, null)")) for m in middle]
+    medians = {r.part: (r.low + r.high) / 2 for r in by_ratio.groupBy("part").agg(holds[0].alias("low"), holds[1].alias("high")).collect()}
+    return lengths, [medians[p] for p in range(parts)]
+
+
+def best_limits(shares: DataFrame) -> tuple[float | None, float | None]:
+    """`best_limit` of the shares of sound and junk texts from below, and from above, for any number of (share, sound, junk)."""
+    total = shares.agg(F.sum("sound").alias("sound"), F.sum("junk").alias("junk")).first()
+    if not total.sound or not total.junk:
+        return None, None
+    gain = lambda junk, sound: junk / F.lit(float(total.junk)) - LOSS * (sound / F.lit(float(total.sound)))
+    under = [F.col(f"before_{c}") for c in ("junk", "sound")]
+    over = [F.lit(total[c]) - F.col(f"before_{c}") - F.col(c) for c in ("junk", "sound")]
+    ranked = running(shares, [cell(F.col("share"))], ["share"], ["sound", "junk"])
+    best = ranked.agg(
+        F.max(F.struct(gain(*under).alias("gain"), (-F.col("share")).alias("at"))).alias("low"), F.max(F.struct(gain(*over).alias("gain"), F.col("share").alias("at"))).alias("high")
+    ).first()
+    low, high = -best.low.at, best.high.at
+    near = shares.agg(F.max(F.when(F.col("share") < low, F.col("share"))).alias("low"), F.min(F.when(F.col("share") > high, F.col("share"))).alias("high")).first()
+    return (near.low + low) / 2 if best.low.gain > 0 else None, (near.high + high) / 2 if best.high.gain > 0 else None
+
+
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> Limits:
+    """Limits fitted to every labelled id. The driver gets the parts' lengths and ratios, the limits, and a histogram of chunk
+    ratios; texts of equal numbers are counted once for all, the rest is ranked in cells."""
+    limits, tables = Limits(), Tables(docs.sparkSession)
+    try:
+        found = measured(tables, docs, labels, label, text, doc_id)
+        texts = tables.cut(found.groupBy("n", "ratio").agg(F.sum("y").alias("sound"), F.sum(1 - F.col("y")).alias("junk")))
+        sized, is_sound = F.greatest("n", F.lit(1)), F.col("sound") > 0
+        total = texts.agg(F.sum("sound").alias("sound"), F.sum("junk").alias("junk"), F.min(F.when(is_sound, sized)).alias("least"), F.max(F.when(is_sound, sized)).alias("most")).first()
+        if (total.sound or 0) < 2 * LEAST_SOUND or not total.junk:
+            return limits
+        lengths, usual = usual_ratios(tables, texts, total.sound)
+        first, last = log2(total.least), log2(total.most)
+        lengths = [first, *(min(max(x, first), last) for x in lengths[1:-1]), last]
+
+        @tidy
+        def share(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for n, ratio in batches:
+                yield pa.array(np.asarray(ratio) / np.interp(np.log2(np.asarray(n)), lengths, usual), pa.float64())
+
+        inside = texts.where(sized.between(total.least, total.most)).select(F.arrow_udf(share, "double")(sized, "ratio").alias("share"), "sound", "junk")
+        low, high = best_limits(tables.cut(inside.groupBy("share").agg(F.sum("sound").alias("sound"), F.sum("junk").alias("junk"))))
+        bins = found.select("y", F.explode("chunks").alias("r")).groupBy("y", "r").count().orderBy("y", "r").collect()  # a few hundred values of a label
+        (a, n), (b, m) = ((np.array([x.r / 256 for x in bins if x.y == y], float), np.array([x["count"] for x in bins if x.y == y], float)) for y in (1, 0))
+        lowest, highest = best_limit(a, b, n, m), best_limit(-a, -b, n, m)
+        chunk = Band(None, limits.chunk.lowest if lowest is None else lowest, limits.chunk.highest if highest is None else -highest)
+        return Limits(limits.bands, chunk, tuple(lengths), tuple(usual), low, high)
+    finally:
+        tables.drop(*(x for _, x in list(tables.paths.values())))
 
 
 _SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, whole_ratio double, n_chunks long, reason string"

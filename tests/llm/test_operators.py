@@ -451,6 +451,39 @@ def test_limits_are_fitted_by_length(spark):
     assert quality.fitted(frame(spark, texts), labels.limit(0)) == quality.fitted(frame(spark, []), labels) == quality.Limits()
 
 
+def test_limits_are_fitted_to_every_labelled_text(spark):
+    rng = random.Random(27)
+    words = [a + b + c for a in "ba co di fu ge lo mi nu ta ve".split() for b in "ran ter ling so pe ste".split() for c in ("", "s", "en")]
+    copied, texts, given = prose(rng, 100, words), [], []
+    for i in range(10_600):  # more than any former sample; a third are copies of one text
+        noise = i % 7 == 0
+        bad = noise or i % 5 == 0
+        texts.append("".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF0123456789", k=600)) if noise else copied if i % 3 == 0 and not bad else prose(rng, rng.randrange(20, 260), words[:30] if bad else words))
+        given.append((i, int(not bad)))
+    texts[1], texts[2] = None, ""
+    labels = spark.createDataFrame(given + [(4, 0), (5, 1), (20_000, 1)], "doc_id long, quality int")  # several labels of an id: their maximum
+    label = dict(given) | {5: 1}
+    got = quality.fitted(frame(spark, texts), labels)
+    c = __import__("zstandard").ZstdCompressor(level=3)
+    raw = [(t or "").encode() for t in texts]
+    measured = [quality.ratios(t, c) for t in raw]
+    sound = sorted((len(raw[i]), measured[i][0]) for i in label if label[i] == 1)
+    parts = np.array_split(np.array(sound), 40)
+    lengths, usual = [np.log2(np.maximum(p[:, 0], 1)).mean() for p in parts], [np.median(p[:, 1]) for p in parts]
+    lengths[0], lengths[-1] = np.log2(max(sound[0][0], 1)), np.log2(sound[-1][0])
+    assert got.lengths == pytest.approx(lengths, abs=1e-6) and got.usual == pytest.approx(usual, abs=0)
+    shares = {0: [], 1: []}
+    for i, y in label.items():
+        x = np.log2(max(len(raw[i]), 1))
+        if lengths[0] <= x <= lengths[-1]:
+            shares[y].append(measured[i][0] / np.interp(x, lengths, usual))
+    s, j = np.array(shares[1]), np.array(shares[0])
+    assert got.low == pytest.approx(quality.best_limit(s, j), rel=1e-6) and got.high == pytest.approx(-quality.best_limit(-s, -j), rel=1e-6)
+    chunks = {y: np.array([round(256 * r) / 256 for i in label if label[i] == y for r in measured[i][1]]) for y in (0, 1)}
+    low, high = quality.best_limit(chunks[1], chunks[0]), quality.best_limit(-chunks[1], -chunks[0])
+    assert got.chunk == quality.Band(None, quality.CHUNK.lowest if low is None else low, quality.CHUNK.highest if high is None else -high)
+
+
 def test_good_equals_quality(spark):
     rng = random.Random(2)
     df = frame(spark, [prose(rng, 80), "few words", None, "x " * 300])
