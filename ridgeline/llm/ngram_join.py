@@ -39,6 +39,10 @@ from ridgeline.llm.common import FILTER_BITS, Tables, filter_bit, membership, mi
 SLOTS = 1 << 24
 #: Counters in one row of the sketch.
 CHUNK = 1 << 14
+#: Tokens that wait before a task adds them to its counters: sorting and counting them takes about 30 bytes each.
+WAITING = 1 << 19
+#: Bytes of text that become sets at a time: words and shingles take about 35 bytes for each byte of them.
+SLICE = 1 << 18
 #: Classes in a block of a large tile, and shingles of their whole sets (8 bytes each): long texts make smaller blocks.
 BLOCK = 2048
 BLOCK_SHINGLES = 1 << 19
@@ -58,7 +62,7 @@ _U = np.uint64
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For slices of the batch: first row, end row, distinct shingle hashes, their rows (from the first)."""
     data, offsets = utf8(batch.column(batch.schema.get_field_index("text")))
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, SLICE):
         part = offsets[i : j + 1] - offsets[i]
         yield i, j, *shingles(*words(data[offsets[i] : offsets[j]], part), k)
 
@@ -87,7 +91,7 @@ class _Sketch:
     def add(self, slots: np.ndarray) -> None:
         self.waiting.append(slots.astype(np.uint32))
         self.n += len(slots)
-        if self.n >= 1 << 21:
+        if self.n >= WAITING:
             self.flush()
 
     def flush(self) -> tuple[np.ndarray, np.ndarray]:
@@ -189,21 +193,22 @@ def choose_matches(frequencies: np.ndarray, n: int, base: int, least: int) -> in
     return best
 
 
+#: Counts that the levels of the summed sketch stand for.
+_ABOUT = np.exp2(np.arange(256) / 8) - 1
 _PREFIX = "cls binary, n long, least_matches int, base int, edge_level int, edge long, tokens array<long>"
 
 
 @tidy
-def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, sketch, noise: float) -> Iterator[pa.RecordBatch]:
+    """noise: what a slot of the sketch holds in the mean."""
     levels = sketch.value
-    about = np.exp2(np.arange(256) / 8) - 1
-    noise = float(np.bincount(levels, minlength=256) @ about) / SLOTS
     for batch in batches:
         for i, j, value, row in _sets(batch, k):
             digests, sizes = _digests(value, row, j - i)
             seen = levels[(value & _U(SLOTS - 1)).astype(np.int64)]
             order = np.lexsort((value, seen, row))
             value, level = value[order], seen[order]
-            seen = np.maximum(about[level] - noise - 1, 0)
+            seen = np.maximum(_ABOUT[level] - noise - 1, 0)
             ends = np.cumsum(sizes)
             out = []
             for r in np.flatnonzero(sizes):
@@ -453,15 +458,18 @@ def _linked(docs: DataFrame, k: int, percent: int, text: str, doc_id: str) -> tu
     base = pruned(docs, text, doc_id)
     stats = tables.cut(base.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lambda it: _stats(it, k), _STATS))
     chunks = stats.where("chunk is not null").select("chunk", "payload").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_summed, "chunk int, payload binary")
-    levels = np.zeros(SLOTS, np.uint8)
+    levels, at = np.zeros(SLOTS, np.uint8), np.zeros(256, np.int64)
     for r in chunks.toLocalIterator():
-        levels[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.payload, np.uint8)
+        part = np.frombuffer(r.payload, np.uint8)
+        levels[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = part
+        at += np.bincount(part, minlength=256)
+    noise = float(at @ _ABOUT) / SLOTS  # slots of chunks that nobody sent hold nothing
     sketch = spark.sparkContext.broadcast(levels)
 
     rows = stats.where("chunk is null").select("doc_id", "text_hash", "n", "cls")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), first)
-    prefixes = base.mapInArrow(lambda it: _prefixes(it, k, percent, sketch), _PREFIX)
+    prefixes = base.mapInArrow(lambda it: _prefixes(it, k, percent, sketch, noise), _PREFIX)
     prefixes = prefixes.groupBy("cls").agg(F.first(F.struct("n", "least_matches", "base", "edge_level", "edge", "tokens")).alias("p"), F.count(F.lit(1)).alias("copies"))
     # two classes of one key only share their candidates; sets decide later
     prefixes = tables.cut(prefixes.select(F.xxhash64("cls").alias("key"), "cls", "p.*", "copies"))

@@ -1,11 +1,14 @@
 """Each operator against brute force, with the edge cases that its docstring defines."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ridgeline.llm import decontam, html_extract, langid, licenses, ngram_join, packing, quality, secrets, sharding, toxicity
@@ -141,6 +144,28 @@ def test_sketch_counts_alike_in_small_and_large_tasks(monkeypatch):
     assert sum(int(x.sum()) for x in a.values()) == 9000 and not list(ngram_join._Sketch().chunks())
 
 
+def test_join_workers_hold_little_beside_their_counters():
+    rng, texts = np.random.default_rng(2), [prose(random.Random(i), 400) for i in range(900)]
+    slots = [rng.integers(0, ngram_join.SLOTS, 1 << 16).astype(np.uint64) for _ in range(64)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array(texts)], names=["doc_id", "text"])
+    levels, sketch, peaks = SimpleNamespace(value=np.zeros(ngram_join.SLOTS, np.uint8)), ngram_join._Sketch(), []
+    tracemalloc.start()
+    try:
+        for run in (
+            lambda: [sketch.add(x) for x in slots] and sum(int(x.sum()) for _, x in sketch.chunks()),
+            lambda: sum(map(len, ngram_join._prefixes(iter([batch]), 3, 90, levels, 0.0))),
+            lambda: sum(j - i for i, j, _, _ in ngram_join._sets(batch, 3)),
+        ):
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            found = run()
+            peaks.append((found, (tracemalloc.get_traced_memory()[1] - before) >> 20))
+    finally:
+        tracemalloc.stop()
+    assert [x for x, _ in peaks] == [64 << 16, 900, 900]
+    assert all(mb < most for (_, mb), most in zip(peaks, (64, 32, 32))), peaks
+
+
 def test_deduplicated_tells_texts_of_one_id(spark):
     rng = random.Random(6)
     a, b, c, d = (prose(rng, 40, [f"w{k}{i}" for i in range(50)]) for k in range(4))
