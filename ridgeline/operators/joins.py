@@ -22,12 +22,30 @@ def tiered_match(left: DataFrame, right: DataFrame, key: str, left_name: str, ri
     """For each left row of a shared key: the right row whose name holds, or is held by, its own (the longest wins).
 
     Tier A: one right row matches; A_ambiguous: several; B: no name matches but the key has one right row; C: several.
+    Rows of a key and name count once, and a name that holds another has it as a substring: both ways are equi-joins on the
+    substrings (of lengths that the other side has), so that no pair of rows is ever a row.
     """
+    longest = lambda name: F.min(F.struct((-F.length(name)).alias("n"), F.col("id"))).alias("best")
     a = left.select(F.col(key), F.col(left_id), F.col(left_name).alias("__a"))
-    b = right.select(F.col(key), F.col(right_id), F.col(right_name).alias("__b"))
-    both = a.join(b, key).withColumn("hit", (F.col("__a") != "") & (F.col("__b") != "") & (F.contains("__a", F.col("__b")) | F.contains("__b", F.col("__a"))))
-    best = F.min(F.when(F.col("hit"), F.struct((-F.length("__b")).alias("n"), F.col(right_id).alias("id"))))
-    out = both.groupBy(left_id).agg(best.alias("best"), F.count_if("hit").alias("hits"), F.count(F.lit(1)).alias("candidates"), F.min(right_id).alias("any"))
+    # per key and name its rows and least id, per key all rows: a null name is a row that matches nothing
+    b = right.select(F.col(key), F.col(right_id).alias("id"), F.col(right_name).alias("__b")).groupBy(key, "__b").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("id"))
+    every = b.groupBy(key).agg(F.sum("rows").alias("candidates"), F.min("id").alias("any"))
+    names, others = a.where("__a != ''").select(key, "__a").distinct(), b.where("__b != ''")
+
+    def substrings(df: DataFrame, name: str, other: DataFrame, other_name: str, least: int) -> DataFrame:
+        """df's rows for each distinct substring `__s` that is at least so many characters shorter and as long as some name of the other."""
+        n, lengths = F.col("__n"), other.agg(F.collect_set(F.length(other_name)).alias("__lengths"))
+        sized = df.crossJoin(F.broadcast(lengths)).withColumn("__n", F.explode(F.filter("__lengths", lambda x: x <= F.length(name) - least)))
+        starts = F.sequence(F.lit(1), F.length(name) - n + 1)
+        return sized.withColumn("__s", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(name), i, n))))).drop("__lengths", "__n")
+
+    held = substrings(names, "__a", others, "__b", 0).join(others.withColumnRenamed("__b", "__s"), [key, "__s"])
+    held = held.groupBy(key, "__a").agg(F.sum("rows").alias("hits"), longest("__s"))
+    holds = substrings(others, "__b", names, "__a", 1).groupBy(key, "__s").agg(F.sum("rows").alias("hits"), longest("__b"))
+    holds = holds.withColumnRenamed("__s", "__a").join(names, [key, "__a"], "left_semi")
+    found = held.unionByName(holds).groupBy(key, "__a").agg(F.sum("hits").alias("hits"), F.min("best").alias("best"))
+    both = a.join(every, key).join(found, [key, "__a"], "left")
+    out = both.groupBy(left_id).agg(F.min("best").alias("best"), F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"), F.sum("candidates").alias("candidates"), F.min("any").alias("any"))
     tier = F.when(F.col("hits") == 1, "A").when(F.col("hits") > 1, "A_ambiguous").when(F.col("candidates") == 1, "B").otherwise("C")
     return out.select(left_id, F.when(tier != "C", F.coalesce("best.id", "any")).alias(right_id), tier.alias("match_tier"), F.col("candidates").alias("n_candidates"))
 

@@ -23,6 +23,24 @@ def test_tiered_match_reads_whole_tables(spark, tmp_path):
     assert got == want and {w[2] for w in want} == {"A", "A_ambiguous", "B", "C"}
 
 
+def test_tiered_match_makes_no_pairs(spark):
+    from ridgeline.operators import joins
+
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("ab"), rng.integers(0, 6))) for _ in range(400)]
+    rows = [(i % 390, None if i % 40 == 0 else "xyz"[i % 3], None if i % 31 == 0 else words[i], None if i % 29 == 0 else words[-i]) for i in range(400)]
+    rows = spark.createDataFrame(rows, "i long, k string, a string, b string").cache()
+    left, right = rows.select("i", "k", "a"), rows.select(rows.i.alias("j"), "k", "b")
+    rows.createOrReplaceTempView("tiered")
+    want = spark.sql("""WITH m AS (SELECT l.i, r.i AS j, r.b, coalesce(l.a <> '' AND r.b <> '' AND (contains(l.a, r.b) OR contains(r.b, l.a)), false) AS hit FROM tiered l JOIN tiered r USING (k))
+    SELECT i, count_if(hit) AS hits, count(*) AS n, min(CASE WHEN hit THEN struct(-length(b), j) END).j AS best, min(j) AS any FROM m GROUP BY i""").collect()
+    want = {(w.i, w.best if w.hits else w.any if w.n == 1 else None, "A" if w.hits == 1 else "A_ambiguous" if w.hits else "B" if w.n == 1 else "C", w.n) for w in want}
+    assert {tuple(r) for r in joins.tiered_match(left, right, "k", "a", "b", "i", "j").collect()} == want
+    many = spark.range(60_000).selectExpr("id AS i", "'x' AS k", "'red cup' AS a", "if(id % 2 = 0, 'cup', 'pan') AS b")  # 3.6e9 pairs
+    got = joins.tiered_match(many.select("i", "k", "a"), many.selectExpr("i AS j", "k", "b"), "k", "a", "b", "i", "j")
+    assert [tuple(r) for r in got.groupBy("j", "match_tier", "n_candidates").count().collect()] == [(0, "A_ambiguous", 60_000, 60_000)]
+
+
 def test_enrichment_asks_every_row(spark, tmp_path):
     rng = np.random.default_rng(3)
     n, k = 120, 10
