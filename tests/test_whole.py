@@ -87,3 +87,43 @@ def test_forest_scores_have_means_and_a_shuffled_run(spark):
     got = {(r.run, r.label): r for r in models.forest_scores(rows, ["x"], ["a", "b"], "g", folds=2, trees=3, key="id").collect()}
     assert set(got) == {(run, x) for run in ("given", "shuffled") for x in ("a", "b", "macro", "micro")}
     assert all(got["given", x].f1 == 1.0 > got["shuffled", x].f1 and got["given", x].positives == got["shuffled", x].positives for x in ("a", "b", "macro", "micro"))
+
+
+def _ml_and_own(spark, rows, label, features, trees):
+    """Chances of pyspark.ml's forest and of the operator's, grown from the same bins."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    df = VectorAssembler(inputCols=features, outputCol="both").transform(spark.createDataFrame(rows)).cache()
+    fit = RandomForestClassifier(featuresCol="both", labelCol=label, numTrees=trees, minInstancesPerNode=3, maxDepth=30, seed=1).fit(df)
+    ml = np.array([r.probability[1] for r in fit.transform(df).select("probability").collect()])
+    cuts = [models.split_points(*np.unique(rows[f], return_counts=True)) for f in features]
+    b = np.stack([np.searchsorted(c, rows[f], "left") for c, f in zip(cuts, features)], 1)
+    cells, which = np.unique(b, axis=0, return_inverse=True)
+    n1 = np.bincount(which.ravel(), rows[label], len(cells)).astype(int)
+    n0 = np.bincount(which.ravel(), minlength=len(cells)) - n1
+    own = models.grown(cells, n0, n1, [np.random.default_rng([7, t]) for t in range(trees)]) / trees
+    return ml, own[which.ravel()]
+
+
+def test_forest_of_cells_says_what_the_forest_of_rows_says(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    x, z = rng.integers(0, 50, 1500), rng.normal(size=1500).round(2)
+    rows = pd.DataFrame({"x": x.astype(float), "z": z, "y": ((x > 20) ^ (z > 0.4) ^ (rng.random(1500) < 0.25)).astype(float)})
+    ml, own = _ml_and_own(spark, rows, "y", ["x", "z"], 150)
+    assert abs(ml - own).mean() < 0.02 and abs(ml.mean() - own.mean()) < 0.005 and np.mean((ml > 0.5) == (own > 0.5)) > 0.98
+
+
+def test_forest_scores_take_few_jobs(spark):
+    """One job for each forest and level would be hundreds."""
+    rows = spark.createDataFrame([(i, f"g{i % 12}", float(i % 7) if i % 5 else None, float(i % 31 % 2), float(i % 7 < 2)) for i in range(300)], "id long, g string, x double, a double, b double")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("forests", "")
+    try:
+        got = {(r.run, r.label): r.f1 for r in models.forest_scores(rows, ["x"], ["a", "b"], "g", trees=40, key="id").collect()}
+        assert len(got) == 8 and 0 < len(status.getJobIdsForGroup("forests")) < 60
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert got == {(r.run, r.label): r.f1 for r in models.forest_scores(rows.repartition(3), ["x"], ["a", "b"], "g", trees=40, key="id").collect()}
