@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ ROUND_TO = (1.0, 2.0, 5.0, 10.0)
 STRAY_LEAST, STRAY_SHARE = 5.0, 0.35
 SNAP_LEAST, SNAP_SHARE = 1.5, 0.15
 
+#: Ticks and labels that are fitted at a time.
+PAIRED_AT_ONCE = 1 << 17
+
 # When a secondary trace is refused.
 OVERLAP_MOST, OVERLAP_ALONE = 0.18, 0.08
 SPAN_LEAST, SPAN_SHARE, SPAN_ALONE, SHARE_ALONE = 6.0, 0.22, 10.0, 0.55
@@ -103,38 +107,61 @@ def output_window(ticks: Column, frame_low: Column, frame_high: Column) -> tuple
     return F.greatest(F.array_min(ticks) - 1.25 * gap, frame_low, F.lit(0.2)), F.least(F.array_max(ticks) + 1.25 * gap, frame_high, F.lit(130.0))
 
 
-def paired(ticks: list[float], labels: list[float]) -> tuple[float, float, float] | None:
-    """slope, intercept, rmse of labels on ticks: one to one, or a label every 1, 2 or 5 ticks from some offset.
+def paired_many(ticks: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """slope, intercept, rmse of labels on ticks, a row for each row of both (of one length each, finite), NaN where none fits:
+    one to one, or a label every 1, 2 or 5 ticks from some offset.
 
     Fits need rmse under 0.25; those that span three quarters of the ticks come first, then the least rmse.
     """
-    t, v = sorted(ticks), sorted(labels)
-    if len(v) < 2 or len(t) < len(v):
-        return None
-    best = None
-    for k in (1,) if len(t) == len(v) else (1, 2, 5):
-        for offset in range(len(t) - k * (len(v) - 1)):
-            x = np.array([t[offset + k * i] for i in range(len(v))])
-            fit = robust_line(x, np.array(v), 0)
-            if fit is None or fit[2] >= 0.25:
-                continue
-            wide = (x[-1] - x[0]) >= 0.75 * (t[-1] - t[0]) if t[-1] > t[0] else False
-            rank = (not wide, round(fit[2], 9), k, offset)
-            if best is None or rank < best[0]:
-                best = (rank, fit)
-    return best[1][:3] if best else None
+    t, v = np.sort(ticks, axis=1), np.sort(labels, axis=1)
+    rows, n, m = len(t), t.shape[1], v.shape[1]
+    best = np.full((rows, 3), np.nan)
+    if m < 2 or n < m:
+        return best
+    rank = np.full((rows, 2), np.inf)  # narrow or not, rmse; earlier steps and offsets win ties
+    down = v.mean(1)
+    for k in (1,) if n == m else (1, 2, 5):
+        for offset in range(n - k * (m - 1)):
+            x = np.ascontiguousarray(t[:, offset : offset + k * (m - 1) + 1 : k])
+            over = x.mean(1)
+            flat = x[:, -1] == x[:, 0]
+            xs, ys = x - over[:, None], v - down[:, None]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                slope = (xs * ys).sum(1) / (xs**2).sum(1)
+                start = down - slope * over
+                rmse = np.sqrt((np.abs(v - (slope[:, None] * x + start[:, None])) ** 2).mean(1))
+            narrow = ~((x[:, -1] - x[:, 0] >= 0.75 * (t[:, -1] - t[:, 0])) & (t[:, -1] > t[:, 0]))
+            here = np.stack([narrow, np.round(rmse, 9)], 1)
+            better = ~flat & (rmse < 0.25) & ((here[:, 0] < rank[:, 0]) | (here[:, 0] == rank[:, 0]) & (here[:, 1] < rank[:, 1]))
+            rank[better] = here[better]
+            best[better] = np.stack([slope, start, rmse], 1)[better]
+    return best
+
+
+def paired(ticks: list[float], labels: list[float]) -> tuple[float, float, float] | None:
+    """paired_many of one row."""
+    got = paired_many(np.array([ticks], float), np.array([labels], float))[0]
+    return None if np.isnan(got[0]) else tuple(got.tolist())
 
 
 def pair_ticks(rows: DataFrame, key: str) -> DataFrame:
-    """rows (key, ticks, labels) to (key, slope, intercept, rmse), in Arrow batches without a shuffle."""
+    """rows (key, ticks, labels) to (key, slope, intercept, rmse), in Arrow batches without a shuffle; the rows of a batch that
+    have as many ticks and labels are fitted together. Ticks and labels that are null or not finite go; null arrays fit nothing."""
     kind = rows.schema[key].dataType.simpleString()
+    known = lambda c: F.filter(F.coalesce(F.col(c).cast("array<double>"), F.array().cast("array<double>")), lambda x: F.abs(x) < float("inf")).alias(c)
 
     def fit(batches):
-        for pdf in batches:
-            got = [paired(list(t), list(v)) or (None, None, None) for t, v in zip(pdf["ticks"], pdf["labels"])]
-            yield pd.DataFrame({key: pdf[key], "slope": [g[0] for g in got], "intercept": [g[1] for g in got], "rmse": [g[2] for g in got]})
-
-    return rows.select(key, "ticks", "labels").mapInPandas(fit, f"{key} {kind}, slope double, intercept double, rmse double")
+        for batch in batches:
+            (t, t_from), (v, v_from) = ((np.asarray(c.values), np.asarray(c.offsets)) for c in (batch.column(1), batch.column(2)))
+            sizes = np.stack([np.diff(t_from), np.diff(v_from)], 1)
+            got = np.full((len(sizes), 3), np.nan)
+            for n, m in np.unique(sizes, axis=0).tolist():
+                for at in np.array_split(same := np.flatnonzero((sizes == (n, m)).all(1)), -(-len(same) * (n + m + 1) // PAIRED_AT_ONCE)):
+                    got[at] = paired_many(t[t_from[at][:, None] + np.arange(n)], v[v_from[at][:, None] + np.arange(m)])
+            fits = [pa.array(c, pa.float64(), mask=np.isnan(got[:, 0])) for c in got.T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *fits], names=[key, "slope", "intercept", "rmse"])
+
+    return rows.select(key, known("ticks"), known("labels")).mapInArrow(fit, f"{key} {kind}, slope double, intercept double, rmse double")
 
 
 def trace_rejection(m: dict[str, Column], primary_span: Column, single_curve: Column) -> Column:

@@ -436,6 +436,46 @@ def test_tick_repair(spark, seen, meant):
     assert [(t.px, t.value) for t in got] == [(50.0 * i, float(v)) for i, v in enumerate(meant)]
 
 
+def _paired_one(ticks, labels):
+    """One row at a time, each fit by robust_line."""
+    t, v, best = sorted(ticks), sorted(labels), None
+    if len(v) < 2 or len(t) < len(v):
+        return None
+    for k in (1,) if len(t) == len(v) else (1, 2, 5):
+        for offset in range(len(t) - k * (len(v) - 1)):
+            x = np.array([t[offset + k * i] for i in range(len(v))])
+            fit = calibration.robust_line(x, np.array(v), 0)
+            if fit is None or fit[2] >= 0.25:
+                continue
+            wide = (x[-1] - x[0]) >= 0.75 * (t[-1] - t[0]) if t[-1] > t[0] else False
+            rank = (not wide, round(fit[2], 9), k, offset)
+            if best is None or rank < best[0]:
+                best = (rank, fit)
+    return best[1][:3] if best else None
+
+
+def test_ticks_are_paired_many_rows_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        v = (10.0 + 10 * np.arange(rng.integers(0, 7))).tolist()
+        t = (rng.integers(0, 40) + 7.0 * np.arange(rng.integers(0, 12)) + rng.choice([0, 0.05, 0.5]) * rng.normal(size=1)).tolist()
+        rows.append((i, t[::-1], v) if i % 5 else (i, [4.0] * 6, v))
+    want = {i: _paired_one(t, v) for i, t, v in rows}
+    rows += [(300, None, [1.0, 2.0]), (301, [0.0, 1.0, 2.0], None), (302, [0.0, None, 1.0, float("nan")], [1.0, 2.0])]
+    want |= {300: None, 301: None, 302: (1.0, 1.0, 0.0)}
+    asked = []
+    real = calibration.robust_line
+    monkeypatch.setattr(calibration, "robust_line", lambda *a: asked.append(1) or real(*a))
+    df = spark.createDataFrame(rows, "k long, ticks array<double>, labels array<double>").coalesce(1)
+    got = {r.k: None if r.slope is None else (r.slope, r.intercept, r.rmse) for r in calibration.pair_ticks(df, "k").collect()}
+    assert set(got) == set(want) and all((got[k] is None) == (want[k] is None) and (got[k] is None or got[k] == pytest.approx(want[k], rel=1e-12, abs=1e-12)) for k in want)
+    assert sum(w is not None for w in want.values()) > 60
+    many = np.tile(20.0 + 40 * np.arange(9), (200_000, 1)), np.tile(10.0 + 10 * np.arange(5), (200_000, 1))
+    start = __import__("time").process_time()
+    assert calibration.paired_many(*many)[-1] == pytest.approx([0.125, 7.5, 0]) and __import__("time").process_time() - start < 8 and not asked  # a row at a time: over a minute
+
+
 def test_tick_repair_sorts_and_drops(spark):
     kind = "k int, ticks array<struct<px: double, value: double>>"
     rows = spark.createDataFrame([(1, [(100.0, 30.0), (0.0, 10.0), (50.0, 20.0)]), (2, [(0.0, 10.0), (0.5, 20.0), (1.0, -400.0)]), (3, None)], kind)
