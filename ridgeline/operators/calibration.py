@@ -190,21 +190,36 @@ def _readings(seen: Column, last: Column, line: Column, step: Column) -> Column:
     return F.filter(F.concat(*options), lambda v: v > last)
 
 
+def _once(value: Column, then) -> Column:
+    """then(value), with value computed once however often `then` names it: Spark shares nothing inside a lambda."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _repaired(out: Column, tick: Column, usual: Column) -> Column:
     """The next tick after those of `out`, its value repaired where it falls back or strays from the line of the last two."""
-    seen, last = tick["value"], F.element_at(out, -1)
-    before = F.get(out, F.size(out) - 2)
-    run, rise = last["px"] - before["px"], last["value"] - before["value"]
-    sure = (F.size(out) > 1) & (run > 1) & (rise > 0)
-    step = F.when(sure, rise).otherwise(usual)
-    line = F.when(sure, last["value"] + rise / run * (tick["px"] - last["px"]))
-    fits = (seen > last["value"]) & (line.isNull() | (F.abs(seen - line) <= F.greatest(F.lit(STRAY_LEAST), STRAY_SHARE * step)))
-    options = _readings(seen, last["value"], line, step)
     off = lambda v, place: F.coalesce(F.abs(v - place), F.lit(0.0))
-    cheapest = F.array_min(F.transform(options, lambda v: F.struct(off(v, line).alias("line"), off(v, last["value"] + step).alias("step"), F.when(line.isNull() & step.isNull(), 0.0).otherwise(F.abs(v - seen)).alias("seen"), v.alias("value"))))["value"]
-    chosen, next_ = F.coalesce(cheapest, seen), last["value"] + step
-    snapped = F.when((step > 0) & (F.abs(chosen - next_) <= F.greatest(F.lit(SNAP_LEAST), SNAP_SHARE * step)), next_).otherwise(chosen)
-    return F.struct(tick["px"].alias("px"), F.when((F.size(out) == 0) | fits, seen).otherwise(snapped).alias("value"))
+
+    def lined(s: Column) -> Column:
+        last, before = s["last"], s["before"]
+        run, rise = last["px"] - before["px"], last["value"] - before["value"]
+        sure = (s["n"] > 1) & (run > 1) & (rise > 0)
+        line = F.when(sure, last["value"] + rise / run * (s["tick"]["px"] - last["px"]))
+        return F.struct(s["n"].alias("n"), s["tick"]["value"].alias("seen"), last["value"].alias("last"), F.when(sure, rise).otherwise(s["usual"]).alias("step"), line.alias("line"))
+
+    def cheapest(s: Column) -> Column:
+        seen, last, line, step = (s[c] for c in ("seen", "last", "line", "step"))
+        cost = lambda v: F.struct(off(v, line).alias("line"), off(v, last + step).alias("step"), F.when(line.isNull() & step.isNull(), 0.0).otherwise(F.abs(v - seen)).alias("seen"), v.alias("value"))
+        near, next_ = F.greatest(F.lit(SNAP_LEAST), SNAP_SHARE * step), last + step
+        return _once(F.coalesce(F.array_min(F.transform(_readings(seen, last, line, step), cost))["value"], seen), lambda v: F.when((step > 0) & (F.abs(v - next_) <= near), next_).otherwise(v))
+
+    def value(s: Column) -> Column:
+        seen, last, line = s["seen"], s["last"], s["line"]
+        fits = (seen > last) & (line.isNull() | (F.abs(seen - line) <= F.greatest(F.lit(STRAY_LEAST), STRAY_SHARE * s["step"])))
+        return F.when((s["n"] == 0) | fits, seen).otherwise(cheapest(s))
+
+    n = F.size(out)
+    ends = F.struct(n.alias("n"), F.get(out, n - 1).alias("last"), F.get(out, n - 2).alias("before"), tick.alias("tick"), usual.alias("usual"))
+    return F.struct(tick["px"].alias("px"), _once(_once(ends, lined), value).alias("value"))
 
 
 def repair_ticks(rows: DataFrame, key: str) -> DataFrame:
@@ -217,8 +232,10 @@ def repair_ticks(rows: DataFrame, key: str) -> DataFrame:
     kind = "array<struct<px: double, value: double>>"
     rise = F.transform(F.col("ticks"), lambda t, i: F.round(t["value"] - F.get(F.col("ticks"), i - 1)["value"], 4))
     usual = F.array_max(F.filter(rise, lambda d: d > 0))
-    ready = rows.select(key, F.col("ticks").cast(kind).alias("ticks")).select(key, "ticks", usual.alias("usual"), F.array_sort("ticks", lambda a, b: F.when(a["px"] < b["px"], -1).when(a["px"] > b["px"], 1).otherwise(0)).alias("sorted"))
-    folded = ready.select(key, "ticks", F.aggregate("sorted", F.array().cast(kind), lambda out, t: F.concat(out, F.array(_repaired(out, t, F.col("usual"))))).alias("out"))
+    in_order = F.array_sort("ticks", lambda a, b: F.when(a["px"] < b["px"], -1).when(a["px"] > b["px"], 1).otherwise(0))
+    ready = rows.select(key, F.col("ticks").cast(kind).alias("ticks"))
+    fold = lambda s: F.aggregate(s["sorted"], F.array().cast(kind), lambda out, t: F.concat(out, F.array(_repaired(out, t, s["usual"]))))
+    folded = ready.select(key, "ticks", _once(F.struct(in_order.alias("sorted"), usual.alias("usual")), fold).alias("out"))
     highest = lambda i: F.array_max(F.transform(F.slice("out", F.lit(1), i), lambda t: t["value"]))
     rising = F.filter("out", lambda t, i: F.coalesce(t["value"] > highest(i), F.lit(True)))
     return folded.select(key, F.when(F.size("ticks") < 2, F.col("ticks")).otherwise(rising).alias("ticks"))
