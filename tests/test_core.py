@@ -496,3 +496,19 @@ def test_tick_repair_sorts_and_drops(spark):
 
 def test_label_spread():
     assert calibration.spread_labels([1, 1, 9.5], 2, 0, 10) == [1, 3, 9.5]
+
+
+def test_curves_are_held_in_slices(spark):
+    """A batch of 10,000 curves used to be held as Python tuples all at once: `many` got them in one call."""
+    sizes = [(i % 7) * 9 for i in range(3000)] + [40_000, 0, 3, 50_000, 5]
+    rows = spark.range(len(sizes)).select("id", F.get(F.array(*map(F.lit, [0, 9, 18, 27, 36, 45, 54])), (F.col("id") % 7).cast("int")).alias("n"))
+    for i in range(3000, len(sizes)):
+        rows = rows.withColumn("n", F.when(F.col("id") == i, sizes[i]).otherwise(F.col("n")))
+    curves = rows.select("id", F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), F.col("n")), lambda v: (v + F.col("id")).cast("double"))).when(F.col("id") % 2 == 0, F.array().cast("array<double>")).alias("y")).coalesce(1)
+
+    def many(xs, ys):
+        return [[(len(ys), sum(map(len, ys)), len(v), float(v.sum()))] for v in ys]
+
+    got = signal.per_curve(curves, "id", lambda n: np.arange(n, dtype=float), "y", None, "curves long, samples long, n long, total double", many=many).collect()
+    assert {r.id: (r.n, r.total) for r in got} == {i: (n, n * (n + 1) / 2 + n * i) for i, n in enumerate(sizes)} and len(got) == len(sizes)
+    assert max(r.curves for r in got) <= signal.CURVES_AT_ONCE and all(r.samples <= signal.SAMPLES_AT_ONCE or r.curves == 1 for r in got)
