@@ -264,27 +264,73 @@ def neighbour_enrichment(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return seen.select("*", F.try_divide("paper_observed", "paper_chance").alias("paper_enrichment"), F.try_divide("family_observed", "family_chance").alias("family_enrichment"))
 
 
-def all_neighbours(rows: DataFrame, k: int = 10, block: int = 2048) -> DataFrame:
-    """(q, vec_id, place): exact nearest rows of every row by Euclidean distance over `components`, block against block."""
-    blocks = max(1, -(-rows.count() // block))
-    own, other = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.select(F.col("vec_id").alias("q"), "components", own.cast("int").alias("a"), other.alias("b"))
-    right = rows.select("vec_id", "components", own.cast("int").alias("b"), other.alias("a"))
-
-    def nearest(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        out = {"q": [], "vec_id": [], "d": []}
-        if len(asked) and len(there):
-            there = there.sort_values("vec_id")
-            ids, y = there["vec_id"].to_numpy(), np.stack(there["components"])
-            for q, x in zip(asked["q"], asked["components"]):
-                d = ((y - x) ** 2).sum(1)
-                best = [i for i in np.argsort(d, kind="stable")[: k + 1] if ids[i] != q][:k]
-                out["q"] += [q] * len(best)
-                out["vec_id"] += ids[best].tolist()
-                out["d"] += d[best].tolist()
-        return pd.DataFrame(out).astype({"q": "int64", "vec_id": "int64", "d": "float64"})
-
-    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(nearest, "q long, vec_id long, d double")
+#: Rows of a block of all_neighbours, blocks at least where rows allow it; distances and candidate pairs at a time.
+BLOCK, BLOCKS, BLOCK_LEAST, DISTANCES_AT_ONCE, PAIRS_AT_ONCE = 32_768, 8, 256, 1 << 21, 1 << 15
+
+
+def nearest_of(x: np.ndarray, x_ids: np.ndarray, y: np.ndarray, y_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in x, place in y, squared distance) of the k rows of y nearest to each row of x, its own id left out; ties by id.
+
+    A matrix product in single precision bounds all distances; those that the bound can't rule out are computed exactly."""
+    k1, centre = min(k + 1, len(y)), y.mean(0)
+    a, b = x - centre, y - centre
+    unit = max(np.abs(a).max(), np.abs(b).max()) or 1.0  # single precision would overflow or vanish
+    a, b = (a / unit).astype(np.float32), (b / unit).astype(np.float32)
+    a2, b2 = ((v.astype(float) ** 2).sum(1) for v in (a, b))
+    slack = (x.shape[1] + 16) * 2.0**-22 * (np.sqrt(a2) + np.sqrt(b2.max())) ** 2  # of both bounds together
+    b2, groups = b2.astype(np.float32), max(1, min(len(y) // 16, len(y) // k1))
+    out, strip = [], max(1, DISTANCES_AT_ONCE // len(y))
+    for at in range(0, len(x), strip):
+        d = a[at : at + strip] @ b.T
+        d *= -2
+        d += b2
+        d += a2[at : at + strip, None].astype(np.float32)
+        # k1 groups of rows have a row each under the k1-th least of the groups' minima
+        width = len(y) // max(groups, k1) if len(y) >= 2 * k1 else 1
+        least = d[:, : width * (len(y) // width)].reshape(len(d), width, -1).min(1)
+        limit = np.partition(least, k1 - 1, axis=1)[:, k1 - 1] + slack[at : at + strip]
+        i, j = np.nonzero(d <= limit[:, None].astype(np.float32))
+        exact = np.empty(len(i))
+        for p in range(0, len(i), PAIRS_AT_ONCE):
+            s = slice(p, p + PAIRS_AT_ONCE)
+            exact[s] = ((y[j[s]] - x[at + i[s]]) ** 2).sum(1)
+        other = y_ids[j] != x_ids[at + i]
+        i, j, exact = i[other], j[other], exact[other]
+        order = np.lexsort((y_ids[j], exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out.append((at + i[first], j[first], exact[first]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def all_neighbours(rows: DataFrame, k: int = 10, block: int | None = None) -> DataFrame:
+    """(q, vec_id, place): exact nearest rows of every row by Euclidean distance over `components`, block against block.
+
+    All pairs are looked at, each pair of blocks by one task, which holds two blocks and DISTANCES_AT_ONCE distances. A row goes
+    to as many tasks as there are blocks."""
+    n = rows.count()
+    blocks = max(1, -(-n // block) if block else max(-(-n // BLOCK), min(BLOCKS, n // BLOCK_LEAST)))
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    placed = rows.select("vec_id", F.col("components").cast("array<double>").alias("v"), own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tiles = placed.select("vec_id", "v", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+
+    def nearest(tile: pa.Table) -> pa.Table:
+        tile = tile.combine_chunks()
+        ids, own, a, b = (tile.column(c).to_numpy() for c in ("vec_id", "own", "a", "b"))
+        v = tile.column("v").combine_chunks()
+        v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
+        v = v.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        sides = [np.flatnonzero(own == side) for side in (a[0], b[0])]
+        found = []
+        for p, q in ((0, 1), (1, 0)) if a[0] != b[0] else ((0, 0),):
+            if len(sides[p]) and len(sides[q]):
+                i, j, d = nearest_of(v[sides[p]], ids[sides[p]], v[sides[q]], ids[sides[q]], k)
+                found.append((ids[sides[p]][i], ids[sides[q]][j], d))
+        q, vec_id, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"q": pa.array(q, pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "d": pa.array(d, pa.float64())})
+
+    tasks = blocks * (blocks + 1) // 2
+    found = tiles.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(nearest, "q long, vec_id long, d double")
     return found.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d", "vec_id"))).where(F.col("place") <= k).select("q", "vec_id", "place")
 
 

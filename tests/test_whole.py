@@ -127,3 +127,24 @@ def test_forest_scores_take_few_jobs(spark):
     finally:
         spark.sparkContext._jsc.sc().clearJobGroup()
     assert got == {(r.run, r.label): r.f1 for r in models.forest_scores(rows.repartition(3), ["x"], ["a", "b"], "g", trees=40, key="id").collect()}
+
+
+def test_products_bound_all_neighbours(spark, monkeypatch):
+    """All distances by one subtraction a row, and each row sent twice to every block, took quadratic time and disk."""
+    rng = np.random.default_rng(12)
+    for n, m, scale, shift in ((500, 700, 1, 0), (64, 9, 1, 0), (300, 300, 1e-4, 1e3), (90, 80, 1e30, 0), (90, 80, 1e-30, 0), (200, 400, 0, 5), (1, 1, 1, 0), (50, 23, 1, 0)):
+        x, y = (np.round(rng.normal(size=(c, 12)), 1) * scale + shift for c in (n, m))
+        x_ids, y_ids = rng.permutation(n + m)[:n], rng.permutation(n + m)[:m]
+        monkeypatch.setattr(models, "DISTANCES_AT_ONCE", 7000)
+        i, j, d = models.nearest_of(x, x_ids, y, y_ids, 10)
+        got = {}
+        for a, b in zip(i.tolist(), j.tolist()):
+            got.setdefault(a, []).append(int(y_ids[b]))
+        exact = ((y[None] - x[:, None]) ** 2).sum(2)
+        want = {a: [int(y_ids[b]) for b in np.lexsort((y_ids, exact[a])) if y_ids[b] != x_ids[a]][:10] for a in range(n)}
+        assert got == {a: w for a, w in want.items() if w} and (d == exact[i, j]).all()
+    rows = spark.range(3000).selectExpr("id AS vec_id", "array(cast(id % 97 AS double), cast(id % 13 AS double)) AS components")
+    monkeypatch.undo()
+    got = models.all_neighbours(rows, 3)
+    assert {tuple(r) for r in got.collect()} == {tuple(r)[:3] for r in models.top_neighbours(rows, rows["vec_id"] >= 0, 3).collect()}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1  # a row goes once to each block
