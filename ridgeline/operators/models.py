@@ -265,7 +265,7 @@ def neighbour_enrichment(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 #: Rows of a block of all_neighbours, blocks at least where rows allow it; distances and candidate pairs at a time.
-BLOCK, BLOCKS, BLOCK_LEAST, DISTANCES_AT_ONCE, PAIRS_AT_ONCE = 32_768, 8, 256, 1 << 21, 1 << 15
+BLOCK, BLOCKS, BLOCK_LEAST, DISTANCES_AT_ONCE, PAIRS_AT_ONCE = 32_768, 20, 256, 1 << 20, 1 << 15
 
 
 def nearest_of(x: np.ndarray, x_ids: np.ndarray, y: np.ndarray, y_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -289,7 +289,7 @@ def nearest_of(x: np.ndarray, x_ids: np.ndarray, y: np.ndarray, y_ids: np.ndarra
         width = len(y) // max(groups, k1) if len(y) >= 2 * k1 else 1
         least = d[:, : width * (len(y) // width)].reshape(len(d), width, -1).min(1)
         limit = np.partition(least, k1 - 1, axis=1)[:, k1 - 1] + slack[at : at + strip]
-        i, j = np.nonzero(d <= limit[:, None].astype(np.float32))
+        i, j = np.divmod(np.flatnonzero(d <= limit[:, None].astype(np.float32)), len(y))
         exact = np.empty(len(i))
         for p in range(0, len(i), PAIRS_AT_ONCE):
             s = slice(p, p + PAIRS_AT_ONCE)
